@@ -303,13 +303,13 @@ def inserted_if_absent(lake: Lake) -> DataFrame:
 @query("D2", """with ch as (select o_custkey as id, arg_max(o_orderpriority, o_orderkey) filter (where o_orderstatus = 'F') as company,
    count(*) filter (where o_orderstatus = 'F') as n_company,
    arg_max(o_totalprice, o_orderkey) filter (where o_orderstatus <> 'P') as balance, count(*) filter (where o_orderstatus <> 'P') as n_balance from orders group by 1)
-select coalesce(c.c_custkey, ch.id) as id, case when n_company > 0 then nullif(company, 'LOW') else c.c_mktsegment end as company,
+select coalesce(c.c_custkey, ch.id) as id, case when n_company > 0 then nullif(company, '5-LOW') else c.c_mktsegment end as company,
   case when n_balance > 0 then balance else c.c_acctbal end as balance
 from customer c full outer join ch on ch.id = c.c_custkey""")
 def upserted_fields(lake: Lake) -> DataFrame:
     """Records set some fields each; a field set to null stays null, an absent one is kept."""
     table = lake.sql("select c_custkey as id, c_mktsegment as company, c_acctbal as balance from customer")
-    rows = lake.sql("""select o_custkey as id, o_orderkey as seq, nullif(o_orderpriority, 'LOW') as company, o_totalprice as balance,
+    rows = lake.sql("""select o_custkey as id, o_orderkey as seq, nullif(o_orderpriority, '5-LOW') as company, o_totalprice as balance,
       case o_orderstatus when 'F' then array('company', 'balance') when 'O' then array('balance') else array() end as present from orders""")
     return changes.upsert(table, rows, ["id"], ["seq"], "present").select("id", "company", "balance")
 

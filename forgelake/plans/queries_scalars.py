@@ -140,11 +140,11 @@ def language_bytes(lake: Lake) -> DataFrame:
 
 
 @query("F14", """select o_orderkey as id, cast(o_orderkey as string) as id_text, o_custkey = 7 as is_seven,
-  o_orderpriority = 'LOW' as is_low from orders""")
+  o_orderpriority = '5-LOW' as is_low from orders""")
 def flexible_ids(lake: Lake) -> DataFrame:
     rows = lake.sql("select cast(o_orderkey as string) as id, o_custkey, o_orderpriority from orders")
     return S.as_id(rows, "id").select(
-        "id", "id_text", S.id_eq(F.col("o_custkey"), "7").alias("is_seven"), S.id_eq(F.col("o_orderpriority"), "LOW").alias("is_low")
+        "id", "id_text", S.id_eq(F.col("o_custkey"), "7").alias("is_seven"), S.id_eq(F.col("o_orderpriority"), "5-LOW").alias("is_low")
     )
 
 
