@@ -16,6 +16,7 @@ from forgelake.functions.scalars import blank_to_null, forge_ts, user_type
 from forgelake.operators.changes import fill_null, missing, one_per_key, union_all
 from forgelake.operators.keys import append_with_ids
 from forgelake.operators.lookup import users_by_email
+from forgelake.session import cut_lineage
 
 WEB_LOGIN = "web-flow"  # Fixed value: account of commits made on the web site
 HEX = "0123456789abcdef"
@@ -99,9 +100,10 @@ def earliest(column: str) -> Column:
 
 def resolve_identities(identities: DataFrame, users: DataFrame, raw_users: DataFrame, now: Column) -> Identities:
     """Resolve a batch of identities against the users table and the staged account records."""
-    accounts = account_rows(raw_users, now)
-    rules = classify(identities, users, accounts)
-    winners = merge_winners(rules)
+    # These meet each other many times below, so each is computed once.
+    accounts = cut_lineage(account_rows(raw_users, now), "accounts")
+    rules = cut_lineage(classify(identities, users, accounts), "identities")
+    winners = cut_lineage(merge_winners(rules), "merges")
 
     # Names and e-mails from commits fill what a login lacks.
     fills = rules.filter(F.col("rule").isin("known", "insert", "merge")).groupBy("login").agg(
@@ -112,9 +114,9 @@ def resolve_identities(identities: DataFrame, users: DataFrame, raw_users: DataF
         rules.filter((F.col("rule") == "search_hit")).select(F.col("hit_login").alias("login")),
         rules.filter((F.col("rule") == "web") & ~F.col("in_table")).select("login"),
     ]).distinct()
-    inserted = accounts.join(
+    inserted = cut_lineage(accounts.join(
         missing(new_logins, users, ["login"]).join(winners.select("login"), "login", "left_anti"), "login", "left_semi"
-    )
+    ), "inserted")
 
     # E-mails a login takes over in this batch, so that nameless commits find it.
     lacking = union_all([
@@ -127,7 +129,7 @@ def resolve_identities(identities: DataFrame, users: DataFrame, raw_users: DataF
     open_mails = rules.filter("rule = 'placeholder'").groupBy("email").agg(earliest("name").alias("name")).join(
         claims, "email", "left_anti"
     )
-    placeholders = placeholder_rows(open_mails, users, inserted, now)
+    placeholders = cut_lineage(placeholder_rows(open_mails, users, now), "placeholders")
 
     renamed = winners.select(F.col("row_login").alias("old_login"), F.col("login").alias("new_login"))
     base = (
@@ -153,7 +155,7 @@ def resolve_identities(identities: DataFrame, users: DataFrame, raw_users: DataF
     return Identities(resolution, append_with_ids(filled, new_rows, ["login"]))
 
 
-def placeholder_rows(mails: DataFrame, users: DataFrame, inserted: DataFrame, now: Column) -> DataFrame:
+def placeholder_rows(mails: DataFrame, users: DataFrame, now: Column) -> DataFrame:
     """Placeholder accounts; a login of eight capitals that is taken is extended to 32."""
     lettered = mails.withColumn("letters", placeholder_letters(F.col("email"))).withColumn("login", F.substring("letters", 1, 8))
     shared = lettered.groupBy("login").agg(F.count("*").alias("n")).filter("n > 1").select("login")

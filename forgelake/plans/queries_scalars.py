@@ -10,18 +10,17 @@ from forgelake.operators import handlers, lookup
 from forgelake.plans.catalog import query, secs
 from forgelake.plans.views import Lake
 from forgelake.schemas import struct_of
-from forgelake.sources.entities import parse_lines, repo_events
+from forgelake.sources.entities import read_entity, repo_events
 
 
 def feed(lake: Lake) -> DataFrame:
     """The parsed event feed."""
-    return parse_lines(lake.sql("select value from v_feed_json"), "events")
+    return lake.feed()
 
 
 @query("F1", "select id, actor as login, case when type = 'FollowEvent' then other end as target, actor_id from v_feed")
 def nested_paths(lake: Lake) -> DataFrame:
-    lines = lake.sql("select value from v_feed_json")
-    parsed = parse_lines(lines, "events", keep_raw=True)
+    parsed = read_entity(lake.spark, "events", lake.feed_files(), keep_raw=True)
     return parsed.select(
         F.col("id").try_cast("bigint").alias("id"), S.path(F.col("actor"), "login").alias("login"),
         S.variant_path(F.col("raw"), "payload.target.login").alias("target"),

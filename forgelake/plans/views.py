@@ -10,7 +10,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from forgelake.session import prepare
+from forgelake.session import new_path, prepare
+from forgelake.sources.entities import read_events
 
 BASE_TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
@@ -220,6 +221,9 @@ def expand(sql: str, spark_dir: str | None = None) -> str:
     return f"with {parts}\n{sql}"
 
 
+_feeds: dict[tuple[str, str], str] = {}
+
+
 class Lake:
     """The driver tables of one folder and the views over them."""
 
@@ -230,6 +234,20 @@ class Lake:
     def sql(self, text: str) -> DataFrame:
         return self.spark.sql(expand(text, self.folder))
 
+    def feed_files(self) -> str:
+        """Folder with the event feed as JSON lines, written once per session and table folder."""
+        key = (self.spark.sparkContext.applicationId, self.folder)
+        if key not in _feeds:
+            path = new_path(self.spark, "feed")
+            lines = self.sql("select value from v_feed_json")
+            lines.repartition(self.spark.sparkContext.defaultParallelism).write.text(path)
+            _feeds[key] = path
+        return _feeds[key]
+
+    def feed(self) -> DataFrame:
+        """The event feed as the handlers take it."""
+        return read_events(self.spark, self.feed_files())
+
     def __getitem__(self, name: str) -> DataFrame:
         if name in BASE_TABLES:
             return self.spark.read.parquet(f"{self.folder}/{name}.parquet")

@@ -51,9 +51,12 @@ def new_path(spark: SparkSession, label: str) -> str:
     return os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint; the result survives the loss of any executor."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, label: str = "stage") -> DataFrame:
+    """Write an intermediate result to the shared folder and read it back.
+
+    The rows are computed once however often they are used, survive the loss of
+    any executor, and come with a measured size for the join strategies.
+    """
+    path = new_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

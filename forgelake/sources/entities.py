@@ -27,25 +27,36 @@ def parse_lines(lines: DataFrame, name: str, keep_raw: bool = False, keep_corrup
     )
 
 
+def json_reader(reader, name: str, keep_corrupt: bool = False):
+    """Schema and options for the JSON source; unread paths are skipped while parsing."""
+    schema = schemas.raw_schema(name)
+    if keep_corrupt:
+        schema = StructType([*schema.fields, StructField(CORRUPT, StringType())])
+    return reader.schema(schema).option("columnNameOfCorruptRecord", CORRUPT)
+
+
 def read_entity(spark: SparkSession, name: str, path: str, keep_raw: bool = False) -> DataFrame:
     """A raw collection by name; an unknown name is an error."""
-    schemas.raw_schema(name)
-    return parse_lines(spark.read.text(path), name, keep_raw)
+    if keep_raw:
+        schemas.raw_schema(name)
+        return parse_lines(spark.read.text(path), name, keep_raw=True)
+    return json_reader(spark.read, name).json(path)
 
 
 def read_events(
-    spark: SparkSession, path: str | None = None, streaming: bool = False, source: str = "text",
+    spark: SparkSession, path: str | None = None, streaming: bool = False, source: str = "json",
     options: dict[str, str] | None = None, keep_corrupt: bool = False,
 ) -> DataFrame:
     """The event feed, in batch or as a stream, with one schema.
 
-    `source` is `text` for JSON-lines files or another built-in source such as
-    `kafka`, whose value column then holds the JSON.
+    `source` is `json` for files, or another built-in source such as `kafka`,
+    whose value column then holds the JSON.
     """
-    reader = spark.readStream if streaming else spark.read
-    loaded = reader.format(source).options(**(options or {}))
-    lines = loaded.load(path) if path else loaded.load()
-    return parse_lines(lines.select(F.col("value").cast("string").alias("value")), "events", keep_corrupt=keep_corrupt)
+    reader = (spark.readStream if streaming else spark.read).options(**(options or {}))
+    if source == "json":
+        return json_reader(reader, "events", keep_corrupt).json(path)
+    loaded = reader.format(source).load(path) if path else reader.format(source).load()
+    return parse_lines(loaded.select(F.col("value").cast("string").alias("value")), "events", keep_corrupt=keep_corrupt)
 
 
 def repo_events(events: DataFrame, full_name: str | Column) -> DataFrame:
