@@ -59,7 +59,7 @@ def next_projects(table: DataFrame, repos: DataFrame, users: DataFrame, now: Col
     """
     owners = users.select(F.col("login").alias("owner"), F.col("id").alias("owner_id"))
     owned = repos.join(owners, "owner")
-    fresh = missing(owned, table, ["owner_id", "name"])
+    fresh = cut_lineage(missing(owned, table, ["owner_id", "name"]), "new_projects")
     flat = fresh.select(
         "url", "owner_id", "name", "description", "language", "created_at", F.lit(False).alias("deleted"),
         now.alias("updated_at"),
@@ -94,7 +94,7 @@ def fork_rows(raw_forks: DataFrame) -> DataFrame:
 
 def next_forks(table: DataFrame, raw_forks: DataFrame, users: DataFrame, now: Column) -> DataFrame:
     """Projects for listed forks that are new, and forked_from for those that lack it."""
-    edges = fork_rows(raw_forks)
+    edges = cut_lineage(fork_rows(raw_forks), "fork_edges")
     bare = edges.select(
         "owner", "name", F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("description"),
         F.lit(None).cast("string").alias("language"), F.lit(None).cast("timestamp").alias("created_at"),

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from forgelake.operators.changes import missing
+from forgelake.session import cut_lineage
 
 BUCKET_DIGITS = 3  # hexadecimal digits: 4,096 buckets
 
@@ -41,7 +42,11 @@ def assign_dense_ids(
 
 
 def append_with_ids(table: DataFrame, rows: DataFrame, keys: list[str], id_col: str = "id") -> DataFrame:
-    """Insert the rows whose key is new, with fresh ids; `rows` has one row per key."""
+    """Insert the rows whose key is new, with fresh ids; `rows` has one row per key.
+
+    The new rows are computed once and written; the steps that follow read them
+    beside the stored table.
+    """
     ids = assign_dense_ids(rows, table, keys, id_col)
-    fresh = rows.drop(id_col).join(ids, keys)
+    fresh = cut_lineage(rows.drop(id_col).join(ids, keys), "new_rows")
     return table.unionByName(fresh, allowMissingColumns=True)

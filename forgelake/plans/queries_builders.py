@@ -13,6 +13,7 @@ from forgelake.operators.repair import missing_issue_labels
 from forgelake.plans.catalog import query, secs
 from forgelake.plans.queries_scalars import LOCATION_SQL, feed
 from forgelake.plans.views import Lake
+from forgelake.session import cut_lineage
 
 NOW = "timestamp '2024-06-01 00:00:00'"
 NOW_SECS = 1717200000
@@ -284,13 +285,13 @@ from f left join w_users a on a.login = 'u' || substr(f.author, 2) left join mai
 left join w_projects p on p.name = f.project and p.owner_id in (select id from w_users)""")
 def commits_table(lake: Lake) -> DataFrame:
     """First occurrence of each sha with author and committer resolved through their identities."""
-    users = lake.sql("select w_users.*, cast(null as string) as company from w_users")
-    commits = code.first_commits(lake.sql(RAW_COMMITS))
+    users = lake["w_users"].withColumn("company", F.lit(None).cast("string"))
+    commits = cut_lineage(code.first_commits(lake.sql(RAW_COMMITS)), "commits")
     accounts = lake.sql("select login, name, cast(null as string) as company, email, location, type, cast(created_at as string) as created_at from v_users").limit(0)
     found = identity.resolve_identities(code.commit_identities(commits), users, accounts, now())
-    known = found.resolution.filter("rule <> 'placeholder'")
+    known = cut_lineage(found.resolution.filter("rule <> 'placeholder'"), "resolution")
     table = lake["w_commits"].limit(0)
-    rows = code.next_commits(table, commits, known, lake["w_projects"], found.users)
+    rows = code.next_commits(table, commits, known, lake["w_projects"], cut_lineage(found.users, "users"))
     return rows.select("id", "sha", "author_id", "committer_id", "project_id", secs("created_at").alias("created_at"))
 
 
@@ -384,7 +385,7 @@ def languages_table(lake: Lake) -> DataFrame:
 @query("E27 J6", f"""with e as (select actor_id as owner_id, 'f' || cast(k as string) as name, min(('u' || cast(k % 10 as string), name)) as p, min(k) as parent from v_feed where type = 'ForkEvent' group by 1, 2),
  n as (select * from e where owner_id in (select id from w_users))
 select id, owner_id, name, forked_from from w_projects union all
-select {new_id('w_projects', "cast(owner_id as string) || chr(1) || n.name", 'owner_id, n.name')}, n.owner_id, n.name, coalesce(q.id, -1)
+select {new_id('w_projects', "cast(n.owner_id as string) || chr(1) || n.name", 'n.owner_id, n.name')}, n.owner_id, n.name, coalesce(q.id, -1)
 from n left join w_projects q on q.name = 'r' || cast(n.parent as string) and q.owner_id = n.parent % 10""")
 def forks_table(lake: Lake) -> DataFrame:
     """Fork events add projects with their parent."""
@@ -570,8 +571,8 @@ GEO_RESPONSES = """select location, provider, case provider
       named_struct('long_name', n_name, 'short_name', 'CC', 'types', array('country'))), 'geometry', named_struct('location', named_struct('lat', 4.5D, 'lng', cast(key as double)))))))
   else '[]' end as body
 from (select raw as location, n_name, n_nationkey as key, case n_nationkey % 4 when 0 then 'osm' when 1 then 'bing' when 2 then 'gmaps' else 'none' end as provider
-  from v_locations join nation on raw like '%' || n_name || '%')"""
-GEO_SQL = f"""select {LOCATION_SQL.format('raw')} as key, n_name, n_nationkey as n, n_nationkey % 4 as provider from v_locations join nation on raw like '%' || n_name || '%'"""
+  from v_locations join nation on raw like '%' || n_name || ',%' or raw like '%(' || n_name || ')%')"""
+GEO_SQL = f"""select {LOCATION_SQL.format('raw')} as key, n_name, n_nationkey as n, n_nationkey % 4 as provider from v_locations join nation on raw like '%' || n_name || ',%' or raw like '%(' || n_name || ')%'"""
 
 
 @query("E21 O2 J17", f"""select distinct key, case provider when 0 then n + 0.25 when 1 then n when 2 then n end as long, case provider when 0 then 2.5 when 1 then 3.5 when 2 then 4.5 end as lat,
@@ -588,7 +589,7 @@ def geo_cache_table(lake: Lake) -> DataFrame:
 @query("E21 J16 F12", f"""select u.id, cast(c.n as double) as long, c.city from w_users u left join (select key, min(n) as n, 'city' || cast(min(n) as string) as city from ({GEO_SQL}) g group by 1) c
 on c.key = {LOCATION_SQL.format('u.location')}""")
 def located_users(lake: Lake) -> DataFrame:
-    cache = lake.sql("select raw, n_nationkey as n from v_locations join nation on raw like '%' || n_name || '%'").groupBy(
+    cache = lake.sql("select raw, n_nationkey as n from v_locations join nation on raw like '%' || n_name || ',%' or raw like '%(' || n_name || ')%'").groupBy(
         location_key(F.col("raw")).alias("key")
     ).agg(F.min("n").alias("long")).select(
         "key", "long", F.lit(1.0).alias("lat"), F.lit("cc").alias("country_code"), F.lit("s").alias("state"),

@@ -221,7 +221,7 @@ def expand(sql: str, spark_dir: str | None = None) -> str:
     return f"with {parts}\n{sql}"
 
 
-_feeds: dict[tuple[str, str], str] = {}
+_written: dict[tuple[str, str, str], str] = {}
 
 
 class Lake:
@@ -236,13 +236,22 @@ class Lake:
 
     def feed_files(self) -> str:
         """Folder with the event feed as JSON lines, written once per session and table folder."""
-        key = (self.spark.sparkContext.applicationId, self.folder)
-        if key not in _feeds:
+        key = (self.spark.sparkContext.applicationId, self.folder, "feed")
+        if key not in _written:
             path = new_path(self.spark, "feed")
             lines = self.sql("select value from v_feed_json")
             lines.repartition(self.spark.sparkContext.defaultParallelism).write.text(path)
-            _feeds[key] = path
-        return _feeds[key]
+            _written[key] = path
+        return _written[key]
+
+    def stored(self, name: str) -> DataFrame:
+        """A relational table, written once per session and table folder: builders work on stored tables."""
+        key = (self.spark.sparkContext.applicationId, self.folder, name)
+        if key not in _written:
+            path = new_path(self.spark, name)
+            self.sql(f"select * from {name}").write.parquet(path)
+            _written[key] = path
+        return self.spark.read.parquet(_written[key])
 
     def feed(self) -> DataFrame:
         """The event feed as the handlers take it."""
@@ -251,4 +260,6 @@ class Lake:
     def __getitem__(self, name: str) -> DataFrame:
         if name in BASE_TABLES:
             return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name.startswith("w_"):
+            return self.stored(name)
         return self.sql(f"select * from {name}")

@@ -45,14 +45,18 @@ class TableSet:
     def has_batch(self, batch_id: int) -> bool:
         return not self._commits().filter(F.col("batch_id") == batch_id).isEmpty()
 
-    def read(self, name: str) -> DataFrame:
-        version = self.current()
+    def read(self, name: str, version: int | None = None) -> DataFrame:
+        """A table of the newest version, or of an earlier one."""
+        version = version or self.current()
         if version is None:
             return empty_table(self.spark, name)
         return self.spark.read.schema(schemas.table_schema(name)).parquet(f"{self.root}/v{version:09d}/{name}")
 
     def read_all(self) -> dict[str, DataFrame]:
-        return {name: self.read(name) for name in schemas.TABLE_ORDER}
+        version = self.current()
+        if version is None:
+            return empty_tables(self.spark)
+        return {name: self.read(name, version) for name in schemas.TABLE_ORDER}
 
     def write_all(self, tables: dict[str, DataFrame], batch_id: int) -> bool:
         """Write a version; false when the batch is already in."""
