@@ -12,6 +12,7 @@ from forgelake.operators.changes import insert_missing, missing, one_per_key, ti
 from forgelake.operators.history import TOLERANCE_SECONDS, build_history
 from forgelake.operators.keys import append_with_ids
 from forgelake.operators.lookup import latest, pr_lookup, project_keys, user_keys
+from forgelake.session import cut_lineage
 
 
 def first_per(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -92,7 +93,7 @@ def next_history(
     rows = rebuilt.drop("id").join(actors, "actor", "left").drop("actor")
     kept = old.select("id", "pull_request_id", "action", "created_at")
     keys = ["pull_request_id", "action", "created_at"]
-    with_old_ids = rows.join(kept, keys, "left")
+    with_old_ids = cut_lineage(rows.join(kept, keys, "left"), "histories")
     untouched = table.join(touched, "pull_request_id", "left_anti")
     known = untouched.unionByName(with_old_ids.filter("id is not null").select(*table.columns))
     return append_with_ids(known, with_old_ids.filter("id is null").drop("id"), keys)

@@ -575,7 +575,7 @@ from (select raw as location, n_name, n_nationkey as key, case n_nationkey % 4 w
 GEO_SQL = f"""select {LOCATION_SQL.format('raw')} as key, n_name, n_nationkey as n, n_nationkey % 4 as provider from v_locations join nation on raw like '%' || n_name || ',%' or raw like '%(' || n_name || ')%'"""
 
 
-@query("E21 O2 J17", f"""select distinct key, case provider when 0 then n + 0.25 when 1 then n when 2 then n end as long, case provider when 0 then 2.5 when 1 then 3.5 when 2 then 4.5 end as lat,
+@query("E21 O2 J17", f"""select distinct key, cast(case provider when 0 then n + 0.25 when 1 then n when 2 then n end as double) as long, cast(case provider when 0 then 2.5 when 1 then 3.5 when 2 then 4.5 end as double) as lat,
   case when provider < 3 then 'c' || cast(n as string) end as city, case provider when 0 then 'cc' when 1 then lower(substr(n_name, 1, 3)) when 2 then 'cc' end as country_code,
   case when provider < 3 then 'ok' else 'failed' end as status from ({GEO_SQL}) g""")
 def geo_cache_table(lake: Lake) -> DataFrame:

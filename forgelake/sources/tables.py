@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from forgelake import schemas
 
-COMMIT_SCHEMA = "version bigint, batch_id bigint"
+COMMIT_SCHEMA = "version bigint, batch_id bigint, places map<string,bigint>"
 
 
 def empty_table(spark: SparkSession, name: str) -> DataFrame:
@@ -23,9 +23,10 @@ def empty_tables(spark: SparkSession) -> dict[str, DataFrame]:
 class TableSet:
     """Tables below one folder. A version becomes visible by one appended commit row.
 
-    All tables of a version are written first; the row that names the version
-    comes last, so a reader never sees half a version, and a batch that is
-    repeated after a failure is recognised by its id.
+    The changed tables of a version are written first; the row that names the
+    version and where each of its tables lies comes last. A reader never sees half
+    a version, unchanged tables are not rewritten, and a batch that is repeated
+    after a failure is recognised by its id.
     """
 
     def __init__(self, spark: SparkSession, root: str) -> None:
@@ -38,38 +39,52 @@ class TableSet:
         except AnalysisException:
             return self.spark.createDataFrame([], COMMIT_SCHEMA)
 
-    def current(self) -> int | None:
-        """Number of the newest complete version."""
-        return self._commits().agg(F.max("version")).first()[0]
+    def newest(self) -> tuple[int, dict[str, int]]:
+        """The newest complete version and the place of each of its tables; 0 when there is none."""
+        row = self._commits().agg(F.max_by(F.struct("version", "places"), "version").alias("c")).first()["c"]
+        return (row["version"], dict(row["places"])) if row else (0, {})
+
+    def current(self) -> int:
+        return self.newest()[0]
 
     def has_batch(self, batch_id: int) -> bool:
         return not self._commits().filter(F.col("batch_id") == batch_id).isEmpty()
 
-    def read(self, name: str, version: int | None = None) -> DataFrame:
-        """A table of the newest version, or of an earlier one."""
-        version = version or self.current()
-        if version is None:
-            return empty_table(self.spark, name)
-        return self.spark.read.schema(schemas.table_schema(name)).parquet(f"{self.root}/v{version:09d}/{name}")
+    def _path(self, name: str, version: int) -> str:
+        return f"{self.root}/{name}/v{version:09d}"
 
     def read_all(self) -> dict[str, DataFrame]:
-        version = self.current()
-        if version is None:
-            return empty_tables(self.spark)
-        return {name: self.read(name, version) for name in schemas.TABLE_ORDER}
-
-    def write_all(self, tables: dict[str, DataFrame], batch_id: int) -> bool:
-        """Write a version; false when the batch is already in."""
+        """All tables of the newest version; empty where it has none."""
+        _, places = self.newest()
+        return {
+            name: self.spark.read.schema(schemas.table_schema(name)).parquet(self._path(name, places[name]))
+            if name in places else empty_table(self.spark, name)
+            for name in schemas.TABLE_ORDER
+        }
+
+    def write_all(self, tables: dict[str, DataFrame], batch_id: int, base: dict[str, DataFrame] | None = None) -> bool:
+        """Write a version; false when the batch is already in.
+
+        Tables that are missing, or the very frames of `base`, stay where they are.
+        """
         if self.has_batch(batch_id):
             return False
-        version = (self.current() or 0) + 1
+        previous, places = self.newest()
+        version = previous + 1
         for name in schemas.TABLE_ORDER:
-            fields = schemas.table_schema(name).fields
-            df = tables.get(name, empty_table(self.spark, name))
+            if name not in tables or (base is not None and tables[name] is base.get(name)):
+                continue
+            df = tables[name]
             shaped = df.select(*[
-                (F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in fields
+                (F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                for f in schemas.table_schema(name).fields
             ])
-            shaped.write.mode("overwrite").parquet(f"{self.root}/v{version:09d}/{name}")
-        row = self.spark.range(1).select(F.lit(version).cast("bigint").alias("version"), F.lit(batch_id).cast("bigint").alias("batch_id"))
+            shaped.write.mode("overwrite").parquet(self._path(name, version))
+            places[name] = version
+        entries = [e for name, place in sorted(places.items()) for e in (F.lit(name), F.lit(place).cast("bigint"))]
+        row = self.spark.range(1).select(
+            F.lit(version).cast("bigint").alias("version"), F.lit(batch_id).cast("bigint").alias("batch_id"),
+            F.create_map(*entries).alias("places"),
+        )
         row.write.mode("append").json(f"{self.root}/commits")
         return True

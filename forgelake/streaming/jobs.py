@@ -122,7 +122,8 @@ def tables_sink(
         if table_set.has_batch(batch_id):
             return
         events = cut_lineage(batch, "batch")
-        table_set.write_all(apply(table_set.read_all(), events), batch_id)
+        tables = table_set.read_all()
+        table_set.write_all(apply(tables, events), batch_id, tables)
 
     return write
 
@@ -152,7 +153,8 @@ def history_sink(candidates: str, histories: str, tolerance: int = TOLERANCE_SEC
 def worker_sink(states: str) -> Callable[[DataFrame, int], None]:
     """foreachBatch over log lines (seq, line): the state of each worker after every batch.
 
-    The stored state of a worker stands for all its earlier lines.
+    The stored state of a worker stands for all its earlier lines; a worker's
+    lines must arrive in order, as the tail of a log gives them.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
