@@ -20,7 +20,7 @@ HEADLINE = [
     "commit_parents_table", "fork_points", "own_fork_commits", "inherited_commits", "pull_request_histories", "issue_events_table",
     "merged_by_commits", "dense_ids", "upserted_fields", "resolved_identities", "request_points", "worker_states", "sync_decisions", "text_dump_round_trip",
 ]
-RUNS = int(os.environ.get("BENCH_RUNS", "3"))
+RUNS = int(os.environ.get("BENCH_RUNS", "2"))
 
 
 def main() -> None:

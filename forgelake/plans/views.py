@@ -7,6 +7,7 @@ views that exist for Spark only (JSON documents) or avoid a cross join there.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -181,7 +182,14 @@ from v_feed""",
 _NAME = re.compile(r"\b(?:[vw]_[a-z_]+|" + "|".join(BASE_TABLES) + r")\b")
 
 
-def _definition(name: str, spark_dir: str | None) -> str | None:
+def is_stored(name: str) -> bool:
+    """Relational tables and staged commits are written once; other views are computed in place."""
+    return name.startswith("w_") or name in ("v_commits", "v_parents")
+
+
+def _definition(name: str, spark_dir: str | None, place: Callable[[str], str] | None = None) -> str | None:
+    if place is not None and is_stored(name) and name in VIEWS:
+        return f"select * from parquet.`{place(name)}`"
     if spark_dir is not None:
         if name in SPARK_VIEWS:
             return SPARK_VIEWS[name]
@@ -190,28 +198,31 @@ def _definition(name: str, spark_dir: str | None) -> str | None:
     return VIEWS.get(name)
 
 
-def expand(sql: str, spark_dir: str | None = None) -> str:
+def expand(sql: str, spark_dir: str | None = None, place: Callable[[str], str] | None = None) -> str:
     """The statement with the views it uses as common table expressions.
 
     With `spark_dir` base tables are read from that folder; without it they are
-    expected to be registered, as in DuckDB.
+    expected to be registered, as in DuckDB. `place` gives the folder of a stored view.
     """
     ordered: list[str] = []
+    bodies: dict[str, str] = {}
 
     def visit(text: str) -> None:
         for name in _NAME.findall(text):
-            body = _definition(name, spark_dir)
-            if body is None or name in ordered:
+            if name in bodies:
                 continue
-            if name not in BASE_TABLES:
+            body = _definition(name, spark_dir, place)
+            if body is None:
+                continue
+            bodies[name] = body
+            if name not in BASE_TABLES and not (place and is_stored(name)):
                 visit(body)
-            if name not in ordered:
-                ordered.append(name)
+            ordered.append(name)
 
     visit(sql)
     if not ordered:
         return sql
-    parts = ",\n".join(f"{name} as (\n{_definition(name, spark_dir)}\n)" for name in ordered)
+    parts = ",\n".join(f"{name} as (\n{bodies[name]}\n)" for name in ordered)
     recursive = re.match(r"\s*with\s+recursive\s", sql, re.IGNORECASE)
     plain = re.match(r"\s*with\s", sql, re.IGNORECASE)
     if recursive:
@@ -232,7 +243,7 @@ class Lake:
         self.folder = folder.rstrip("/")
 
     def sql(self, text: str) -> DataFrame:
-        return self.spark.sql(expand(text, self.folder))
+        return self.spark.sql(expand(text, self.folder, self.place))
 
     def feed_files(self) -> str:
         """Folder with the event feed as JSON lines, written once per session and table folder."""
@@ -244,14 +255,14 @@ class Lake:
             _written[key] = path
         return _written[key]
 
-    def stored(self, name: str) -> DataFrame:
-        """A relational table, written once per session and table folder: builders work on stored tables."""
+    def place(self, name: str) -> str:
+        """Folder of a stored view, written once per session and table folder: builders work on stored tables."""
         key = (self.spark.sparkContext.applicationId, self.folder, name)
         if key not in _written:
             path = new_path(self.spark, name)
-            self.sql(f"select * from {name}").write.parquet(path)
+            self.sql(VIEWS[name]).write.parquet(path)
             _written[key] = path
-        return self.spark.read.parquet(_written[key])
+        return _written[key]
 
     def feed(self) -> DataFrame:
         """The event feed as the handlers take it."""
@@ -260,6 +271,6 @@ class Lake:
     def __getitem__(self, name: str) -> DataFrame:
         if name in BASE_TABLES:
             return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
-        if name.startswith("w_"):
-            return self.stored(name)
+        if is_stored(name):
+            return self.spark.read.parquet(self.place(name))
         return self.sql(f"select * from {name}")
