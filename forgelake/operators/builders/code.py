@@ -9,7 +9,7 @@ from forgelake.functions.scalars import (
     DESCRIPTION_LENGTH, blank_to_null, explode_languages, forge_ts, fork_name, full_name_owner, full_name_repo, left, url_owner,
     url_repo, url_sha,
 )
-from forgelake.operators.changes import insert_missing, missing, one_per_key, tiebreak
+from forgelake.operators.changes import insert_missing, missing, one_per_key, tiebreak, union_all
 from forgelake.operators.keys import append_with_ids
 from forgelake.operators.lookup import latest, no_longer_listed, project_keys, union_distinct
 from forgelake.session import cut_lineage
@@ -39,16 +39,16 @@ def with_parents(requested: DataFrame, repos: DataFrame, max_depth: int = MAX_FO
     found in the round before. Raises when chains are longer than the limit.
     """
     edges = repos.filter("parent_owner is not null").select("owner", "name", "parent_owner", "parent_name")
-    found = cut_lineage(requested.select("owner", "name").distinct())
-    frontier = found
+    levels = [cut_lineage(requested.select("owner", "name").distinct(), "fork_level")]
     for _ in range(max_depth):
-        parents = frontier.join(edges, ["owner", "name"]).select(
+        parents = levels[-1].join(edges, ["owner", "name"]).select(
             F.col("parent_owner").alias("owner"), F.col("parent_name").alias("name")
         ).distinct()
-        frontier = cut_lineage(parents.join(found, ["owner", "name"], "left_anti"))
-        if frontier.isEmpty():
+        found = union_all(levels)
+        level = cut_lineage(parents.join(found, ["owner", "name"], "left_anti"), "fork_level")
+        if level.isEmpty():
             return found
-        found = cut_lineage(found.unionByName(frontier))
+        levels.append(level)
     raise RuntimeError(f"fork chains are deeper than {max_depth}")
 
 

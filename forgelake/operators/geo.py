@@ -55,7 +55,7 @@ def parse_bing(responses: DataFrame, country_codes: DataFrame) -> DataFrame:
     )
     codes = last_codes(country_codes).withColumnRenamed("name", "country_name")
     b = F.col("b")
-    return rows.join(F.broadcast(codes), "country_name", "left").select(*cache_row(
+    return rows.join(codes, "country_name", "left").select(*cache_row(
         b.isNotNull(), long=F.get(b["point"]["coordinates"], F.lit(1)), lat=F.get(b["point"]["coordinates"], F.lit(0)),
         city=b["address"]["locality"], country=F.col("country_name"), state=b["address"]["adminDistrict"], country_code=F.col("code"),
     ))
@@ -81,10 +81,7 @@ def parse_gmaps(responses: DataFrame) -> DataFrame:
 
 
 def last_codes(country_codes: DataFrame) -> DataFrame:
-    """Country names (name, code, line) to codes; a name listed twice has the code of its last line.
-
-    The number of countries bounds the result, so it may be broadcast.
-    """
+    """Country names (name, code, line) to codes; a name listed twice has the code of its last line."""
     return country_codes.groupBy("name").agg(F.max_by("code", "line").alias("code"))
 
 
