@@ -136,9 +136,9 @@ def fake_flags(users: DataFrame, accounts: DataFrame) -> DataFrame:
 
 
 def reload_comments(table: DataFrame, raw: DataFrame, commits: DataFrame, users: DataFrame) -> DataFrame:
-    """Delete the comments that occur in the fresh records and store them again."""
+    """Delete the listed comments and store again those whose commit and author are known."""
     rows = commit_comment_rows(raw, commits, users)
-    kept = table.join(rows.select("comment_id"), "comment_id", "left_anti").select(*table.columns)
+    kept = table.join(raw.select(F.col("id").alias("comment_id")), "comment_id", "left_anti").select(*table.columns)
     return append_with_ids(kept, rows, ["comment_id"])
 
 
