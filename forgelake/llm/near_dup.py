@@ -8,7 +8,8 @@ tokens has a common one among the COORDINATES - MATCH + 1 rarest of either docum
 only these are posted, and the other coordinates are compared only for pairs met there.
 
 With 64 coordinates and a threshold of 34, a pair of similarity 0.8 is missed with a
-probability below 1e-6, a closer pair with less.
+probability below 1e-6, a closer pair with less. Pairs that met must agree in 124 of 192
+coordinates, which a pair of similarity 0.8 misses as seldom.
 """
 
 from __future__ import annotations
@@ -26,11 +27,17 @@ from forgelake.llm.text import mix, ngram_hashes, hash_words, text_blocks
 
 COORDINATES = 64
 MATCH = 34
+#: Coordinates compared of pairs that met, the posted ones among them, and how many must agree.
+CHECKED = 192
+CHECK_MATCH = 124
+#: Members of a posting list that are compared in one piece of work.
+BLOCK = 4096
 #: Counters of the sketch that orders tokens from rare to frequent; the order only has to be the same everywhere.
 SKETCH_BITS = 20
 SLICES = 64
-_ODD = mix(np.arange(1, COORDINATES + 1, dtype=np.uint64)) | np.uint64(1)
-_ADD = mix(np.arange(COORDINATES + 1, 2 * COORDINATES + 1, dtype=np.uint64))
+HEAD_ROUNDS = 3
+_ODD = mix(np.arange(1, CHECKED + 1, dtype=np.uint64)) | np.uint64(1)
+_ADD = mix(np.arange(CHECKED + 1, 2 * CHECKED + 1, dtype=np.uint64))
 
 
 def shingle_sets(column: pa.Array, shingle: int) -> Iterator[np.ndarray]:
@@ -43,10 +50,10 @@ def shingle_sets(column: pa.Array, shingle: int) -> Iterator[np.ndarray]:
 
 
 def signature(grams: np.ndarray) -> np.ndarray:
-    """Least value of each of COORDINATES hash functions over a set that is not empty."""
-    low = np.full(COORDINATES, np.iinfo(np.uint64).max, dtype=np.uint64)
-    for at in range(0, len(grams), 4096):
-        part = grams[at : at + 4096]
+    """Least value of each of CHECKED hash functions over a set that is not empty."""
+    low = np.full(CHECKED, np.iinfo(np.uint64).max, dtype=np.uint64)
+    for at in range(0, len(grams), 1024):
+        part = grams[at : at + 1024]
         low = np.minimum(low, (part[:, None] * _ODD[None, :] + _ADD[None, :]).min(axis=0))
     return (mix(low) >> np.uint64(32)).astype(np.uint32)
 
@@ -57,27 +64,30 @@ def tokens(signatures: np.ndarray) -> np.ndarray:
 
 
 def _signed(docs: DataFrame, shingle: int) -> DataFrame:
-    """doc_id, set size, fingerprint of the set and signature of each row."""
+    """doc_id, set size, fingerprint of the set, posted coordinates and a byte of each checked one (bytes never agree too seldom)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, prints, signatures = [], [], []
+            sizes, prints, signatures, lows = [], [], [], []
             for grams in shingle_sets(batch.column(1), shingle):
                 sizes.append(len(grams))
                 if not len(grams):
                     prints.append(None)
                     signatures.append(None)
+                    lows.append(None)
                     continue
                 mixed = mix(grams)
                 total, other = mixed.sum(dtype=np.uint64), mix(mixed + np.uint64(7)).sum(dtype=np.uint64)
                 prints.append(np.array([total, other, len(grams)], dtype=np.uint64).tobytes())
-                signatures.append(signature(grams).tobytes())
+                whole = signature(grams)
+                signatures.append(whole[:COORDINATES].tobytes())
+                lows.append(whole.astype(np.uint8).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()), pa.array(signatures, pa.binary())],
-                names=["doc_id", "n", "fp", "sig"],
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()), pa.array(signatures, pa.binary()), pa.array(lows, pa.binary())],
+                names=["doc_id", "n", "fp", "sig", "low"],
             )
 
-    return docs.mapInArrow(run, "doc_id long, n long, fp binary, sig binary")
+    return docs.mapInArrow(run, "doc_id long, n long, fp binary, sig binary, low binary")
 
 
 def _rarity(representatives: DataFrame) -> np.ndarray:
@@ -132,26 +142,85 @@ def _posted(representatives: DataFrame, sketch) -> DataFrame:
     return representatives.select("rep", "n", "sig").mapInArrow(run, "token long, rep long, n long")
 
 
-def _agreeing(pairs: DataFrame, representatives: DataFrame) -> DataFrame:
-    """Pairs (a, b) that agree in MATCH coordinates at least; a byte per coordinate never counts too few."""
+def _agree(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    return (left == right).sum(axis=-1, dtype=np.int64) >= CHECK_MATCH
 
-    def shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            low = np.frombuffer(b"".join(batch.column("sig").to_pylist()), dtype=np.uint32).astype(np.uint8).tobytes()
-            yield pa.RecordBatch.from_arrays([batch.column("rep"), pa.array([low[i * COORDINATES : (i + 1) * COORDINATES] for i in range(batch.num_rows)], pa.binary())], names=["rep", "low"])
+
+def _low_rows(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8).reshape(-1, CHECKED)
+
+
+def _agreeing(pairs: DataFrame, representatives: DataFrame) -> DataFrame:
+    """Pairs (a, b) that agree in CHECK_MATCH coordinates at least."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint8).reshape(-1, COORDINATES) for c in ("low_a", "low_b"))
-            keep = pa.array((left == right).sum(axis=1) >= MATCH)
+            keep = pa.array(_agree(_low_rows(batch.column("low_a")), _low_rows(batch.column("low_b"))))
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
 
-    low = representatives.select("rep", "sig").mapInArrow(shorten, "rep long, low binary")
-    left = low.select(F.col("rep").alias("a"), F.col("low").alias("low_a"))
-    right = low.select(F.col("rep").alias("b"), F.col("low").alias("low_b"))
+    left = representatives.select(F.col("rep").alias("a"), F.col("low").alias("low_a"))
+    right = representatives.select(F.col("rep").alias("b"), F.col("low").alias("low_b"))
     return pairs.join(right, "b").join(left, "a").select("a", "b", "low_a", "low_b").mapInArrow(count, "a long, b long")
 
 
+def _list_pairs(rep: np.ndarray, n: np.ndarray, comp: np.ndarray, block: np.ndarray, low: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of one list (or of two of its blocks) that are in different components and agree, a few rows at a time."""
+    found = []
+    two = block.min() != block.max()
+    step = max(1, 2048 // len(rep))
+    for at in range(0, len(rep), step):
+        here = slice(at, at + step)
+        fit = (comp[here, None] != comp[None]) & (rep[here, None] < rep[None]) & (n[here, None] * 100 >= n[None] * percent) & (n[None] * 100 >= n[here, None] * percent)
+        if two:  # pairs inside a block belong to the block's own piece of work
+            fit &= block[here, None] != block[None]
+        i, j = np.nonzero(fit)
+        for k in range(0, len(i), 1 << 16):
+            x, y = i[k : k + (1 << 16)] + at, j[k : k + (1 << 16)]
+            keep = _agree(low[x], low[y])
+            found.append((rep[x[keep]], rep[y[keep]]))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else (rep[:0], rep[:0])
+
+
+def _across(lists: DataFrame, representatives: DataFrame, percent: int) -> DataFrame:
+    """Agreeing pairs of all lists that have members of different components.
+
+    Lists are compared block by block in tasks; a list of up to BLOCK members is one piece
+    of work, a longer one a piece for each two of its blocks.
+    """
+    mixed = lists.groupBy("key").agg(F.min("comp").alias("least"), F.max("comp").alias("most"), F.count("*").alias("members")).where("least <> most")
+    blocks = F.ceil(F.col("members") / BLOCK)
+    own = F.pmod(F.xxhash64("rep"), blocks)
+    rows = lists.join(mixed.select("key", "members"), "key").withColumn("block", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    rows = rows.select("key", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "block", "rep", "n", "comp")
+    rows = rows.join(representatives.select("rep", "low"), "rep").repartition("key", "p", "q").sortWithinPartitions("key", "p", "q")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        columns = ("key", "p", "q", "rep", "n", "comp", "block")
+        kept = None
+        for batch in batches:
+            got = [batch.column(c).to_numpy() for c in columns] + [_low_rows(batch.column("low"))]
+            if kept is not None:
+                got = [np.concatenate(x) for x in zip(kept, got, strict=True)]
+            change = np.flatnonzero(np.any([g[1:] != g[:-1] for g in got[:3]], axis=0)) + 1
+            bounds = np.concatenate([[0], change])
+            yield compared(got, bounds)
+            kept = [g[bounds[-1] :].copy() for g in got]
+        if kept is not None:
+            yield compared(kept, np.array([0, len(kept[0])]))
+
+    def compared(got: list[np.ndarray], bounds: np.ndarray) -> pa.RecordBatch:
+        a, b = [got[3][:0]], [got[3][:0]]
+        for s, e in zip(bounds[:-1], bounds[1:], strict=True):
+            if e > s + 1:
+                x, y = _list_pairs(*[g[s:e] for g in got[3:]], percent)
+                a.append(x)
+                b.append(y)
+        pairs = np.unique(np.stack([np.concatenate(a), np.concatenate(b)], axis=1), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(pairs[:, 0])), pa.array(np.ascontiguousarray(pairs[:, 1]))], names=["a", "b"])
+
+    return rows.select("key", "p", "q", "rep", "n", "comp", "block", "low").mapInArrow(run, "a long, b long").distinct()
+
+
 def _confirmed(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Pairs whose full sets reach the similarity; only the texts of these pairs are read again."""
 
@@ -177,13 +246,36 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) ->
     return joined.select("a", "b", "left", "right").mapInArrow(compare, "a long, b long")
 
 
+def _heads(lists: DataFrame, salt: int) -> DataFrame:
+    """Pairs (a, b): each document with the head that most of its posting lists have.
+
+    The head of a list is the member that stands in most lists, give or take a salted hash:
+    the copy that has most in common with the others. One pair per document at most,
+    whatever the size of its lists; lists of one component are passed over.
+    """
+    count = lists.groupBy("rep").agg(F.count("*").alias("stands"))
+    lists = lists.join(count, "rep").withColumn("stands", F.col("stands") + F.pmod(F.xxhash64(F.lit(salt), "rep"), F.lit(2 * salt + 1)))
+    order = F.struct((-F.col("stands")).alias("stands"), F.xxhash64(F.lit(salt), "rep").alias("h"), "rep", "comp")
+    head = lists.groupBy("key").agg(F.min(order).alias("head"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
+    met = lists.join(head.select("key", "head"), "key").where("comp <> head.comp")
+    counted = met.groupBy("rep", F.col("head.rep").alias("head")).agg(F.count("*").alias("times"))
+    most = counted.groupBy("rep").agg(F.max(F.struct("times", F.xxhash64(F.lit(salt), "head").alias("h"), "head")).alias("x"))
+    return most.select(F.least("rep", "x.head").alias("a"), F.greatest("rep", "x.head").alias("b")).distinct()
+
+
+def _with_components(keyed: DataFrame, found: DataFrame) -> DataFrame:
+    placed = keyed.drop("comp").join(found.select(F.col("node").alias("rep"), "component"), "rep", "left")
+    return cut_lineage(placed.select("key", "rep", "n", F.coalesce("component", "rep").alias("comp")), "lists")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
     """One row per doc_id: n_shingles (set size), component_id (smallest id reachable over links), kept, n_class, class_id.
 
     Texts with equal sets form a class, which its smallest id stands for; only these
-    representatives are posted and compared. A first round links the members of every
-    posting list to its smallest member, so a large group of copies costs a row per copy;
-    the second round compares what then is still in different components.
+    representatives are posted and compared. Two rounds compare each document
+    with the head of one of its posting lists only, so a large group of copies costs a row
+    per copy. What then still is in different components of a list is compared in full,
+    block by block.
 
     A null or blank text has an empty set and is linked with nothing. Rows that repeat an
     id count once (the one with the smallest fingerprint). A null id stands alone: its
@@ -196,32 +288,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = single.where("fp is not null").groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n_class"))
     members = cut_lineage(single.join(classes, "fp", "left").select("doc_id", "n", "rep", "n_class"), "classes")
     representatives = cut_lineage(
-        rows.join(classes.select("fp", F.col("rep").alias("doc_id")), ["fp", "doc_id"]).select(F.col("doc_id").alias("rep"), "n", "sig").dropDuplicates(["rep"]), "representatives"
+        rows.join(classes.select("fp", F.col("rep").alias("doc_id")), ["fp", "doc_id"]).select(F.col("doc_id").alias("rep"), "n", "sig", "low").dropDuplicates(["rep"]), "representatives"
     )
     sketch = spark.sparkContext.broadcast(_rarity(representatives))
     posted = _posted(representatives, sketch)
-    heads = posted.groupBy("token").agg(F.min("rep").alias("head"), F.count("*").alias("posted")).where("posted > 1")
-    shared = cut_lineage(posted.join(heads.select("token", "head"), "token"), "postings")
-
-    def near_size(a: str, b: str) -> F.Column:
-        return (F.col(a) * 100 >= F.col(b) * percent) & (F.col(b) * 100 >= F.col(a) * percent)
-
-    size_of_head = shared.where("rep = head").select("token", F.col("n").alias("n_head"))
-    star = shared.where("rep <> head").join(size_of_head, "token").where(near_size("n", "n_head")).select(F.col("head").alias("a"), F.col("rep").alias("b")).distinct()
-    links = cut_lineage(_confirmed(cut_lineage(_agreeing(star, representatives), "pairs"), docs, shingle, percent), "links")
-    first = components(links)
-
-    placed = shared.join(first.select(F.col("node").alias("rep"), "component"), "rep", "left").select("token", "rep", "n", "head", F.coalesce("component", "rep").alias("comp"))
-    placed = cut_lineage(placed, "postings")
-    mixed = placed.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("token")
-    # Sizes in steps of the similarity: partners are in the same step or the next.
-    step = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)) + F.lit(1e-9))
-    rest = cut_lineage(placed.join(mixed, "token", "left_semi").where("rep <> head").withColumn("step", step), "postings")
-    left = rest.select("token", F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("comp").alias("comp_a"), F.explode(F.array(F.col("step") - 1, "step", F.col("step") + 1)).alias("step"))
-    right = rest.select("token", "step", F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("comp").alias("comp_b"))
-    across = left.join(right, ["token", "step"]).where("comp_a <> comp_b and a < b").where(near_size("n_a", "n_b")).select("a", "b").distinct()
-    more = _confirmed(cut_lineage(_agreeing(across, representatives), "pairs"), docs, shingle, percent)
-    final = components(links.unionByName(cut_lineage(more, "links")))
+    met = posted.groupBy("token").agg(F.count("*").alias("posted")).where("posted > 1")
+    lists = cut_lineage(posted.join(met.select("token"), "token").select(F.col("token").alias("key"), "rep", "n", F.col("rep").alias("comp")), "lists")
+
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        return cut_lineage(_confirmed(pairs, docs, shingle, percent), "links")
+
+    links = None
+    for salt in range(HEAD_ROUNDS):
+        found = confirmed(cut_lineage(_agreeing(_heads(lists, salt), representatives), "pairs"))
+        links = found if links is None else links.unionByName(found)
+        lists = _with_components(lists, components(links))
+    final = components(links.unionByName(confirmed(cut_lineage(_across(lists, representatives, percent), "pairs"))))
 
     placed_docs = members.join(final.select(F.col("node").alias("rep"), "component"), "rep", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "doc_id").alias("component_id"), F.coalesce("n_class", F.lit(1)).alias("n_class"), F.coalesce("rep", "doc_id").alias("class_id")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forgelake.llm import near_dup, ngram_lm
+from forgelake.llm import decontaminate, language, metric_tree, mixing, near_dup, ngram_lm, private
 from forgelake.llm.shared import read_table
 
 Runner = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,15 @@ def remainder(modulus: int) -> F.Column:
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(modulus))
 
 
+def op1_metric_tree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metric_tree.top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = read_table(spark, sf_dir, "labels")
+    return mixing.mix_sources(read_table(spark, sf_dir, "documents"), mixing.quality_weights(labels))
+
+
 def op3_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Perplexity of all documents under a model of those whose remainder is not 2; a null id counts as held out."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -30,9 +39,31 @@ def op4_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=2, percent=80)
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns from documents whose remainder is not 0; a null id counts as held out."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.fit(docs.where(remainder(5) != 0))
+    scored = language.score(docs, model)
+    return scored.withColumn("held_out", F.coalesce(remainder(5) == 0, F.lit(True)))
+
+
+def op9_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return private.find_private(docs, private.fit(docs))
+
+
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 RUNNERS: dict[str, Runner] = {
+    "op1_metric_tree_top_k": op1_metric_tree_top_k,
+    "op2_mix_sources": op2_mix_sources,
     "op3_ngram_lm": op3_ngram_lm,
     "op4_minhash_near_dup": op4_minhash_near_dup,
+    "op5_language_id": op5_language_id,
+    "op9_private_data": op9_private_data,
+    "op10_decontaminate": op10_decontaminate,
 }
 
 
@@ -41,4 +72,4 @@ def runners() -> dict[str, Runner]:
 
 
 def checks() -> dict[str, str]:
-    return {}
+    return {"op1_metric_tree_top_k": metric_tree.SQL, "op2_mix_sources": mixing.SQL}

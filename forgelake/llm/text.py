@@ -26,28 +26,30 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: Breaks between words for `hash_words`: all ASCII other than letters and digits.
+PUNCTUATED = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 #: One random value per byte, A-Z as a-z; the hash of a word is a polynomial in BASE over these values.
-_VALUE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))[_LOWER]
-_BASE = 0x9E3779B97F4A7C1B
-_UNBASE = pow(_BASE, -1, 1 << 64)
+VALUE_OF_BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))[_LOWER]
+BASE = 0x9E3779B97F4A7C1B
+_UNBASE = pow(BASE, -1, 1 << 64)
 _powers: dict[str, np.ndarray] = {}
 
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     if "up" not in _powers or len(_powers["up"]) < n:
         size = max(n, BLOCK_BYTES + 4096)
-        for name, base in (("up", _BASE), ("down", _UNBASE)):
+        for name, base in (("up", BASE), ("down", _UNBASE)):
             table = np.full(size, base, dtype=np.uint64)
             table[0] = 1
             _powers[name] = np.multiply.accumulate(table)
     return _powers["up"], _powers["down"]
 
 
-def _hash_piece(data: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _hash_piece(data: np.ndarray, breaks: np.ndarray, gaps: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash, first byte and end of each word; no word crosses a position in breaks."""
-    solid = ~_SPACE[data]
+    solid = ~gaps[data]
     first = solid.copy()
     first[1:] &= ~solid[:-1]
     inner = breaks[(breaks > 0) & (breaks < len(data))]
@@ -58,16 +60,17 @@ def _hash_piece(data: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.nd
     ends = np.flatnonzero(last) + 1
     up, down = _power_tables(len(data) + 1)
     sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(_VALUE[data] * up[: len(data)], out=sums[1:])
+    np.cumsum(VALUE_OF_BYTE[data] * up[: len(data)], out=sums[1:])
     raw = (sums[ends] - sums[starts]) * down[starts]
     return mix(raw + (ends - starts).astype(np.uint64)), starts, ends
 
 
-def hash_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def hash_words(data: np.ndarray, offsets: np.ndarray, gaps: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Words of the texts that lie at `offsets` in `data`.
 
     Returns hash, start and end byte of each word, and per text the number of its first
-    word (one entry more than texts). Long data is cut at white space into pieces.
+    word (one entry more than texts). Bytes marked in `gaps` part words. Long data is cut
+    at gaps into pieces.
     """
     offsets = np.asarray(offsets, dtype=np.int64)
     low, high = int(offsets[0]), int(offsets[-1])
@@ -76,14 +79,14 @@ def hash_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     while at < high:
         to = min(at + BLOCK_BYTES, high)
         if to < high:
-            gap = np.flatnonzero(_SPACE[data[at:to]])
+            gap = np.flatnonzero(gaps[data[at:to]])
             if len(gap):
                 to = at + int(gap[-1]) + 1
             else:  # one word longer than a block
-                while to < high and not _SPACE[data[to]]:
-                    more = np.flatnonzero(_SPACE[data[to : min(to + BLOCK_BYTES, high)]])
+                while to < high and not gaps[data[to]]:
+                    more = np.flatnonzero(gaps[data[to : min(to + BLOCK_BYTES, high)]])
                     to = to + int(more[0]) if len(more) else min(to + BLOCK_BYTES, high)
-        h, s, e = _hash_piece(data[at:to], offsets - at)
+        h, s, e = _hash_piece(data[at:to], offsets - at, gaps)
         parts.append((h, s + at, e + at))
         at = to
     if not parts:
