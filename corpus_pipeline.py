@@ -1,23 +1,74 @@
-"""The corpus pipeline: STAGES in order, each on all its predecessor kept."""
+"""The corpus pipeline: STAGES in order, each on all that its predecessor kept."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forgelake.llm import near_dup
-from forgelake.llm.shared import new_path, read_table
+from forgelake.llm import decontaminate, language, mixing, near_dup, private
+from forgelake.llm.shared import new_path, read_table, tune
+
+
+def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Documents whose id is not among some; a null id stays."""
+    return docs.join(ids.select("doc_id").where("doc_id is not null").distinct(), "doc_id", "left_anti").select(*docs.columns)
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no language can be recognised (null texts, texts without a letter) go.
+
+    Learns from the documents' own labels. Without any labelled document nothing is judged
+    but the letters.
+    """
+    tune(spark)
+    model = language.fit(docs)
+    judged = language.score(docs, model)
+    # `und` for want of a learned language is no reason to go.
+    rejected = judged.where("lang_pred = 'und'") if model.languages else docs.where(~F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
+    return _without(docs, rejected).where(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (five words, 0.8) stays: the one with the smallest id."""
-    kept = near_dup.near_duplicates(docs, shingle=5, percent=80).where("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    """One document of each group of near duplicates (five words, 0.8) stays: the one with the smallest id.
+
+    Of rows that repeat an id, one stays; rows with a null id all stay.
+    """
+    kept = near_dup.near_duplicates(docs, shingle=5, percent=80).where("kept and doc_id is not null").select("doc_id")
+    named = docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    repeated = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    once = named.join(repeated, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
+    return named.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(once).unionByName(docs.where("doc_id is null"))
+
+
+def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold at least half of a test item, also edited, go."""
+    found = decontaminate.contaminated(docs, read_table(spark, sf_dir, "benchmark"))
+    return _without(docs, found)
+
+
+def redact_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data is replaced by its kind in the text; n_chars follows the new text."""
+    redacted = private.find_private(docs, private.fit(docs), replace=True).select(*docs.columns)
+    return redacted.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else redacted
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix: the columns of documents, and size, source_size, target and taken; documents of which the mix takes nothing go."""
+    weights = mixing.quality_weights(read_table(spark, sf_dir, "labels"))
+    others = tuple(c for c in docs.columns if c not in ("doc_id", "source"))
+    mixed = mixing.mix_sources(docs, weights, keep=others)
+    return mixed.where("taken > 0").select(*docs.columns, "size", "source_size", "target", "taken")
 
 
-STAGES = [("near_duplicates", near_duplicates)]
+STAGES = [
+    ("language", identify_language),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontaminate_benchmark),
+    ("private_data", redact_private),
+    ("mixing", mix),
+]
 
-#: SQL cannot express the learned stages; tests hold the pipeline against plain versions.
+#: SQL cannot express the learned stages; tests hold each stage against a plain version.
 ORACLE_SQL = None
 
 

@@ -38,6 +38,12 @@ REMEMBERED = 400_000
 _CHUNK = 4096
 
 
+def _powers(base: int, n: int) -> np.ndarray:
+    table = np.full(n, base, dtype=np.uint64)
+    table[0] = 1
+    return np.multiply.accumulate(table)
+
+
 class Pieces:
     """The vocabulary as sorted hashes of byte strings; single bytes are always pieces."""
 
@@ -50,8 +56,8 @@ class Pieces:
             if not (model.is_control(k) or model.is_unknown(k) or model.is_byte(k)):
                 texts.add(model.id_to_piece(k).encode())
         self.lengths = sorted({len(t) for t in texts if len(t) <= UNIT_BYTES})
-        powers = np.multiply.accumulate(np.concatenate([[1], np.full(UNIT_BYTES, BASE, dtype=np.uint64)]).astype(np.uint64))
-        self.powers = powers
+        self.powers = _powers(BASE, UNIT_BYTES + 1)
+        self.inverse = _powers(pow(BASE, -1, 1 << 64), UNIT_BYTES + 1)
         hashes = np.array([self._hash(np.frombuffer(t, np.uint8)) for t in sorted(texts) if len(t) <= UNIT_BYTES], dtype=np.uint64)
         self.hashes = np.sort(hashes)
 
@@ -64,8 +70,7 @@ class Pieces:
     def grid(self, units: np.ndarray, lengths: np.ndarray) -> dict[int, np.ndarray]:
         """For each piece length, the piece (or -1) that starts at each place of each padded unit."""
         n, width = units.shape
-        inverse = pow(int(BASE), -1, 1 << 64)
-        down = np.multiply.accumulate(np.concatenate([[1], np.full(width, inverse, dtype=np.uint64)]).astype(np.uint64))
+        down = self.inverse
         sums = np.zeros((n, width + 1), dtype=np.uint64)
         np.cumsum(VALUE_OF_BYTE[units] * self.powers[:width], axis=1, out=sums[:, 1:])
         out = {}

@@ -54,7 +54,6 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MO
         .withColumn("open", (F.col("total") - F.col("capped")) * F.col("weight") <= F.col("source_size") * most * F.col("weight_left"))
     )
     # From the first open source on, all are open, at the level of that first one.
-    first = F.min(F.when(F.col("open"), F.struct(F.row_number().over(fill).alias("at"), "capped", "weight_left"))).over(whole)
     level = F.col("weight") * (F.col("total") - F.col("first.capped")).cast("double") / F.col("first.weight_left")
     placed = shares.withColumn("at", F.row_number().over(fill)).withColumn("first_open", F.when(F.col("open"), F.struct("at", "capped", "weight_left")))
     placed = placed.withColumn("first", F.min("first_open").over(whole))
@@ -120,14 +119,14 @@ ranked as (
   select source, sum(size)::bigint as source_size, row_number() over (order by source is null, source collate "C") - 1 as place from keyed group by source),
 weighed as (select *, case place % 3 when 0 then 5 when 1 then 2 else 1 end as weight from ranked),
 filled as (
-  select *, row_number() over o as at, coalesce(sum(source_size * 3) over p, 0) as capped,
+  select *, row_number() over o as pos, coalesce(sum(source_size * 3) over p, 0) as capped,
     sum(weight) over () - coalesce(sum(weight) over p, 0) as weight_left, sum(source_size) over () as total
   from weighed
   window o as (order by source_size::double / weight, place), p as (order by source_size::double / weight, place rows between unbounded preceding and 1 preceding)),
 opened as (select *, (total - capped) * weight <= source_size * 3 * weight_left as open from filled),
-level as (select at as first_at, capped as first_capped, weight_left as first_left from opened where open order by at limit 1),
+level as (select pos as first_pos, capped as first_capped, weight_left as first_left from opened where open order by pos limit 1),
 targets as (
-  select source, source_size, case when at >= first_at then weight * (total - first_capped)::double / first_left else (source_size * 3)::double end as target
+  select source, source_size, case when pos >= first_pos then weight * (total - first_capped)::double / first_left else (source_size * 3)::double end as target
   from opened left join level on true),
 placed as (
   select k.*, t.source_size, t.target, case when t.source_size > 0 then floor(t.target / t.source_size)::bigint else 0 end as epochs,

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forgelake.llm import decontaminate, language, metric_tree, mixing, near_dup, ngram_lm, private
+from forgelake.llm import chunks, decontaminate, language, licenses, metric_tree, mixing, near_dup, ngram_lm, private, secrets
 from forgelake.llm.shared import read_table
 
 Runner = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +47,18 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("held_out", F.coalesce(remainder(5) == 0, F.lit(True)))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read_table(spark, sf_dir, "documents"))
+
+
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(read_table(spark, sf_dir, "documents"), path_col="source")
+
+
+def op8_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunks.repeated_passages(read_table(spark, sf_dir, "documents"))
+
+
 def op9_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return private.find_private(docs, private.fit(docs))
@@ -62,6 +74,9 @@ RUNNERS: dict[str, Runner] = {
     "op3_ngram_lm": op3_ngram_lm,
     "op4_minhash_near_dup": op4_minhash_near_dup,
     "op5_language_id": op5_language_id,
+    "op6_license_scan": op6_license_scan,
+    "op7_secret_scan": op7_secret_scan,
+    "op8_chunk_dedup": op8_chunk_dedup,
     "op9_private_data": op9_private_data,
     "op10_decontaminate": op10_decontaminate,
 }
