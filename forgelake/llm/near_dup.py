@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from forgelake.llm.graph import components
@@ -35,7 +35,9 @@ BLOCK = 4096
 #: Counters of the sketch that orders tokens from rare to frequent; the order only has to be the same everywhere.
 SKETCH_BITS = 20
 SLICES = 64
-HEAD_ROUNDS = 3
+HEAD_ROUNDS = 2
+#: Heads that a document is compared with in a round.
+HEADS = 4
 _ODD = mix(np.arange(1, CHECKED + 1, dtype=np.uint64)) | np.uint64(1)
 _ADD = mix(np.arange(CHECKED + 1, 2 * CHECKED + 1, dtype=np.uint64))
 
@@ -239,7 +241,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) ->
             keep = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
 
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    needed = pairs.select(F.col("a").alias("doc_id")).distinct().unionByName(pairs.select(F.col("b").alias("doc_id")).distinct()).distinct()
     texts = docs.join(needed, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(rebuild, "rep long, grams binary")
     sets = cut_lineage(texts.dropDuplicates(["rep"]), "sets")
     joined = pairs.join(sets.select(F.col("rep").alias("b"), F.col("grams").alias("right")), "b").join(sets.select(F.col("rep").alias("a"), F.col("grams").alias("left")), "a")
@@ -247,20 +249,26 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) ->
 
 
 def _heads(lists: DataFrame, salt: int) -> DataFrame:
-    """Pairs (a, b): each document with the head that most of its posting lists have.
+    """Pairs (a, b): each document with up to HEADS heads that most of its posting lists have.
 
-    The head of a list is the member that stands in most lists, give or take a salted hash:
-    the copy that has most in common with the others. One pair per document at most,
-    whatever the size of its lists; lists of one component are passed over.
+    The heads of a list are the members that stand in most lists, give or take salted
+    hashes: copies that have most in common with the others. HEADS pairs per document at
+    most, whatever the size of its lists; lists of one component are passed over.
     """
     count = lists.groupBy("rep").agg(F.count("*").alias("stands"))
-    lists = lists.join(count, "rep").withColumn("stands", F.col("stands") + F.pmod(F.xxhash64(F.lit(salt), "rep"), F.lit(2 * salt + 1)))
-    order = F.struct((-F.col("stands")).alias("stands"), F.xxhash64(F.lit(salt), "rep").alias("h"), "rep", "comp")
-    head = lists.groupBy("key").agg(F.min(order).alias("head"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
-    met = lists.join(head.select("key", "head"), "key").where("comp <> head.comp")
+    lists = lists.join(count, "rep")
+
+    def head(k: int) -> F.Column:
+        hashed = F.xxhash64(F.lit(salt * HEADS + k), "rep")
+        return F.min(F.struct((F.pmod(hashed, F.lit(2 * (salt + k) + 1)) - F.col("stands")).alias("order"), hashed.alias("h"), "rep", "comp"))
+
+    heads = lists.groupBy("key").agg(*[head(k).alias(f"h{k}") for k in range(HEADS)], F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
+    heads = heads.select("key", F.array_distinct(F.array(*[F.struct(f"h{k}.rep", f"h{k}.comp") for k in range(HEADS)])).alias("heads"))
+    met = lists.join(heads, "key").select("rep", "comp", F.explode("heads").alias("head")).where("comp <> head.comp")
     counted = met.groupBy("rep", F.col("head.rep").alias("head")).agg(F.count("*").alias("times"))
-    most = counted.groupBy("rep").agg(F.max(F.struct("times", F.xxhash64(F.lit(salt), "head").alias("h"), "head")).alias("x"))
-    return most.select(F.least("rep", "x.head").alias("a"), F.greatest("rep", "x.head").alias("b")).distinct()
+    order = Window.partitionBy("rep").orderBy(F.desc("times"), F.xxhash64(F.lit(salt), "head"))
+    most = counted.withColumn("place", F.row_number().over(order)).where(F.col("place") <= HEADS)
+    return most.select(F.least("rep", "head").alias("a"), F.greatest("rep", "head").alias("b")).distinct()
 
 
 def _with_components(keyed: DataFrame, found: DataFrame) -> DataFrame:
@@ -273,7 +281,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Texts with equal sets form a class, which its smallest id stands for; only these
     representatives are posted and compared. Two rounds compare each document
-    with the head of one of its posting lists only, so a large group of copies costs a row
+    with a few heads of its posting lists only, so a large group of copies costs a few rows
     per copy. What then still is in different components of a list is compared in full,
     block by block.
 

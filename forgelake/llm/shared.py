@@ -59,8 +59,10 @@ def open_array(folder: str, name: str, dtype: str) -> np.ndarray:
     """Map an array of the shared folder into memory, read only; of an object store, by way of a local file without a name."""
     fs, path = _place(folder)
     full = f"{path}/{name}"
-    size = fs.get_file_info(full).size
-    if not size:
+    info = fs.get_file_info(full)
+    if info.type == pafs.FileType.NotFound:
+        raise FileNotFoundError(full)
+    if not info.size:
         return np.empty(0, dtype=dtype)
     if isinstance(fs, pafs.LocalFileSystem):
         return np.memmap(full, dtype=dtype, mode="r")
