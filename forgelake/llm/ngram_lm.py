@@ -378,7 +378,7 @@ class Scorer:
         seen = np.zeros(len(own), dtype=np.int64)
         seen[place[:-1]] = counts
         endings = np.where(own < v, stats[3], 0)
-        lower = ((endings - _discount(endings, m.word_discounts)) / m.types if m.types else 0.0) + m.word_gamma / (v + 1)
+        lower = (endings - _discount(endings, m.word_discounts)) / max(m.types, 1) + m.word_gamma / (v + 1)
         # Position of each token's word, and of the word before it, among `own`.
         now = place[:-1][back]
         before = np.concatenate([now[:0], now[-1:], now[:-1]])
