@@ -35,7 +35,8 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """doc_id, at (number of the word), candidate, before (the two words before), path."""
     words = F.split(F.col(text_col), r"[\x20\x09-\x0D]+")
     numbered = F.filter(F.transform("words", lambda w, i: F.struct(i.alias("at"), w.alias("word"))), lambda x: (F.length(x["word"]) >= LEAST) & x["word"].rlike(_RUN) & x["word"].rlike("[0-9]"))
-    rows = docs.where(F.col(text_col).rlike(rf"(?=[A-Za-z+/_=.@-]*[0-9]){_RUN}"))
+    # No look-ahead over whole runs here: a long run without a digit would cost the square of its length.
+    rows = docs.where(F.col(text_col).rlike(_RUN) & F.col(text_col).rlike("[0-9]"))
     path = F.lit(None).cast("string") if path_col is None else F.col(path_col).cast("string")
     rows = rows.select(F.col(id_col).alias("doc_id"), path.alias("path"), words.alias("words"))
     found = rows.select("doc_id", "path", "words", F.explode(numbered).alias("x"))
@@ -44,7 +45,7 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     split = found.select("doc_id", "path", F.col("x.at").alias("at"), F.col("x.word").alias("word"), F.when(F.col("x.at") > 0, F.lower(before)).otherwise("").alias("before"))
     # What stands in front of a run inside its own word, as in password=..., counts as a word before it.
     split = split.select("doc_id", "path", "at", "before", "word", value.alias("run"))
-    value = F.regexp_replace("run", r"^[A-Za-z_]+=|[.=@/+-]+$", "")
+    value = F.regexp_replace("run", r"^[A-Za-z_]+=|(?<![.=@/+-])[.=@/+-]+$", "")
     own = F.lower(F.concat_ws(" ", "before", F.regexp_extract("run", r"^([A-Za-z_]+)=", 1), F.regexp_extract("word", r"^([A-Za-z_]+)[:=\"']", 1)))
     return split.select("doc_id", "at", value.alias("candidate"), own.alias("before"), "path").where(F.length("candidate") >= LEAST)
 
@@ -64,7 +65,7 @@ def with_features(found: DataFrame) -> DataFrame:
         "transitions": (count("[a-z](?=[A-Z0-9])") + count("[A-Z](?=[a-z0-9])") + count("[0-9](?=[A-Za-z])")) / length, "longest_letters": longest,
         "hex": v.rlike("^[0-9a-f]+$").cast("double"), "covered": covered / length, "pathlike": v.rlike(r"/|\.[a-z]{2,4}$").cast("double"),
         "origin_path": F.coalesce(F.col("path").rlike(r"(?i)(test|example|fixture|mock)").cast("double"), F.lit(0.0)),
-        "telling": _any(TELLING), "harmless": _any(HARMLESS), "assigned": F.col("before").rlike(r"[=:]\s*[\"']?\s*$|\w+ =").cast("double"),
+        "telling": _any(TELLING), "harmless": _any(HARMLESS), "assigned": F.col("before").rlike(r"[=:]\s*[\"']?\s*$|\w =").cast("double"),
     })
 
 
