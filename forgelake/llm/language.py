@@ -59,7 +59,7 @@ class Pieces:
         self.powers = _powers(BASE, UNIT_BYTES + 1)
         self.inverse = _powers(pow(BASE, -1, 1 << 64), UNIT_BYTES + 1)
         hashes = np.array([self._hash(np.frombuffer(t, np.uint8)) for t in sorted(texts) if len(t) <= UNIT_BYTES], dtype=np.uint64)
-        self.hashes = np.sort(hashes)
+        self.hashes = np.unique(hashes)  # upper and lower case have one hash
 
     def __len__(self) -> int:
         return len(self.hashes)
