@@ -15,7 +15,6 @@ from forgelake.operators.lookup import latest, no_longer_listed, project_keys, u
 from forgelake.session import cut_lineage
 
 MISSING_PARENT = -1  # Fixed value: forked_from of a fork whose parent is unknown
-MAX_FORK_DEPTH = 32
 
 
 def repo_rows(raw_repos: DataFrame) -> DataFrame:
@@ -32,15 +31,16 @@ def repo_rows(raw_repos: DataFrame) -> DataFrame:
     return one_per_key(flat, ["owner", "name"], tiebreak(flat, ["seq"] if "seq" in flat.columns else ["created_at"]))
 
 
-def with_parents(requested: DataFrame, repos: DataFrame, max_depth: int = MAX_FORK_DEPTH) -> DataFrame:
+def with_parents(requested: DataFrame, repos: DataFrame) -> DataFrame:
     """(owner, name) of the requested repositories and of all their staged ancestors.
 
     One round per level of the fork chain; each round looks up only the parents
-    found in the round before. Raises when chains are longer than the limit.
+    found in the round before, and the last one finds nothing new: chains of any
+    length end, cycles too.
     """
     edges = repos.filter("parent_owner is not null").select("owner", "name", "parent_owner", "parent_name")
     levels = [cut_lineage(requested.select("owner", "name").distinct(), "fork_level")]
-    for _ in range(max_depth):
+    while True:
         parents = levels[-1].join(edges, ["owner", "name"]).select(
             F.col("parent_owner").alias("owner"), F.col("parent_name").alias("name")
         ).distinct()
@@ -49,7 +49,6 @@ def with_parents(requested: DataFrame, repos: DataFrame, max_depth: int = MAX_FO
         if level.isEmpty():
             return found
         levels.append(level)
-    raise RuntimeError(f"fork chains are deeper than {max_depth}")
 
 
 def next_projects(table: DataFrame, repos: DataFrame, users: DataFrame, now: Column) -> DataFrame:

@@ -25,15 +25,19 @@ def extract(c: Column, pattern: str, group: int) -> Column:
     return F.nullif(F.regexp_extract(c, pattern, group), F.lit(""))
 
 
+def once(*columns: Column) -> Column:
+    """Columns computed once per row: a generator is not merged into what uses its output, a projection is."""
+    return F.inline(F.array(F.struct(*columns)))
+
+
 def parse_logs(lines: DataFrame) -> DataFrame:
     """severity, time, client, stage, message and is_parsed of every line; other columns stay."""
     line = F.col("line")
-    return lines.select(
-        *[c for c in lines.columns if c != "line"],
+    return lines.select(*[c for c in lines.columns if c != "line"], once(
         extract(line, LINE, 1).alias("severity"), extract(line, LINE, 2).alias("time"), extract(line, LINE, 3).alias("client"),
         F.get(F.split(extract(line, LINE, 4), r"\."), F.lit(0)).alias("stage"), extract(line, LINE, 5).alias("message"),
         line.rlike(LINE).alias("is_parsed"),
-    )
+    ))
 
 
 def useful(parsed: DataFrame) -> DataFrame:
@@ -134,9 +138,9 @@ def parse_worker_lines(lines: DataFrame) -> DataFrame:
     stage = F.coalesce(F.get(F.split(F.get(url, F.lit(6)), r"\?"), F.lit(0)), F.lit("repo"))
     asked = F.col("kind") == "request"
     slept = F.col("kind") == "sleep"
-    rows = lines.filter(line.contains("api_client.rb")).withColumn("kind", kind).select(
+    rows = lines.filter(line.contains("api_client.rb")).withColumn("kind", kind).select(once(
         F.coalesce(F.when(asked, extract(line, REQUEST, 2)).when(slept, extract(line, SLEEPING, 2)).otherwise(extract(line, WORKER, 1))).alias("pid"),
-        "seq", "kind",
+        F.col("seq"), F.col("kind"),
         F.unix_seconds(F.try_to_timestamp(F.when(asked, extract(line, REQUEST, 1)).when(slept, extract(line, SLEEPING, 1)))).alias("ts"),
         F.when(asked, extract(line, REQUEST, 3)).alias("ip"),
         F.when(asked, F.concat_ws("/", F.get(url, F.lit(4)), F.get(url, F.lit(5)))).alias("repo"),
@@ -145,7 +149,7 @@ def parse_worker_lines(lines: DataFrame) -> DataFrame:
         F.when(asked, extract(line, REQUEST, 6).try_cast("bigint")).alias("ms"),
         F.when(slept, extract(line, SLEEPING, 3).try_cast("bigint")).alias("sleep"),
         F.lit(1).cast("bigint").alias("weight"),
-    )
+    ))
     return rows.filter("pid is not null")
 
 
@@ -216,3 +220,11 @@ def active_workers(states: DataFrame) -> DataFrame:
 
 def sleeping_workers(states: DataFrame) -> DataFrame:
     return states.filter("status = 'S'").orderBy("sleep_remaining", "pid")
+
+
+def ordered_workers(states: DataFrame) -> DataFrame:
+    """Active workers by time in their task, longest first, then sleeping ones by what is left."""
+    active, sleeping = F.col("status") == "A", F.col("status") == "S"
+    return states.filter(active | sleeping).orderBy(
+        "status", F.when(active, F.col("time_in")).desc_nulls_last(), F.when(sleeping, F.col("sleep_remaining")), "pid"
+    )

@@ -54,7 +54,7 @@ def commits_behind_large_pushes(lake: Lake) -> DataFrame:
     known = rows.filter("substr(sha, 1, 1) in ('0', '1', '2')")
     commits = known.select("sha", F.hash("sha").alias("id")).distinct()
     projects = lake.sql("select distinct k as id, k % 10 as owner_id, name, created_at from (select k, name, min(created_at) as created_at from v_feed group by 1, 2)")
-    places = known.select("sha", F.substring("repo", 2, 10).cast("bigint").alias("project_id")).distinct()
+    places = known.select("sha", F.substr("repo", F.lit(2)).cast("bigint").alias("project_id")).distinct()
     associations = places.select("project_id", F.hash("sha").alias("commit_id"))
     return handlers.older_commits(feed(lake), rows.select("owner", "repo", "pos", "sha"), commits, associations, projects, lake["w_users"])
 
@@ -377,7 +377,7 @@ def languages_table(lake: Lake) -> DataFrame:
     per_language = lake.sql("select source, lang, sum(n_chars) as n from documents group by 1, 2")
     staged = per_language.groupBy("source").agg(
         F.map_from_entries(F.collect_list(F.struct(F.upper("lang"), F.col("n").cast("string")))).alias("languages")
-    ).select(F.concat(F.lit("u"), F.substring("source", 4, 9)).alias("owner"), F.concat(F.lit("r"), F.substring("source", 4, 9)).alias("repo"), "languages")
+    ).select(F.concat(F.lit("u"), F.substr("source", F.lit(4))).alias("owner"), F.concat(F.lit("r"), F.substr("source", F.lit(4))).alias("repo"), "languages")
     rows = code.language_rows(staged, lake["w_projects"], lake["w_users"], now())
     return rows.select("project_id", "language", "bytes", secs("created_at").cast("int").alias("created_at"))
 

@@ -11,7 +11,7 @@ from forgelake.plans.queries_builders import HISTORY_SQL, HISTORY_TOLERANCE, NOW
 from forgelake.plans.refresh import apply_events, refresh_repos
 from forgelake.plans.views import Lake
 from forgelake.schemas import struct_of, table_schema
-from forgelake.session import new_path
+from forgelake.session import cut_lineage, new_path
 from forgelake.sources import dump
 from forgelake.sources.entities import json_reader, read_entity, read_events, read_worklist
 from forgelake.sources.logs import keep_log_lines, read_logs, write_points
@@ -95,8 +95,8 @@ STATE = ["pid", "status", "repo", "remaining", "not_found", "time_in", "sleep_re
 @query("G5 O3", WORKER_SQL)
 def worker_states(lake: Lake) -> DataFrame:
     """State of each worker after its last line; active ones by time in task, then sleeping ones."""
-    states = logs.worker_latest(logs.parse_worker_lines(lake.sql(WORKER_LINES)))
-    return logs.active_workers(states).select(*STATE).unionByName(logs.sleeping_workers(states).select(*STATE))
+    parsed = cut_lineage(logs.parse_worker_lines(lake.sql(WORKER_LINES)), "worker_lines")
+    return logs.ordered_workers(logs.worker_latest(parsed)).select(*STATE)
 
 
 @query("G6", f"""select cast(pid as varchar) as pid, count(*) as requests, round(avg(user_id), 6) as mean_ms, max(user_id) as max_ms from (
@@ -174,12 +174,24 @@ def repaired_texts(lake: Lake) -> DataFrame:
     return dump.normalise_dump(lake.sql("select doc_id, text, '0000-00-00 00:00:00' as created_at from documents"))
 
 
+def load_orders(lake: Lake) -> tuple[DataFrame, DataFrame]:
+    """Orders loaded from text, and the rejected rows."""
+    path, rejects = new_path(lake.spark, "load"), new_path(lake.spark, "rejects")
+    lake.sql("select o_orderkey || ',' || case when o_orderstatus = 'P' and o_totalprice >= 490000 then 'word' else cast(o_custkey as string) end as value from orders").write.text(path)
+    loaded = dump.load_typed(lake.spark, path, struct_of("id bigint, k bigint"), new_path(lake.spark, "loaded"), rejects, max_bad=None)
+    return loaded, lake.spark.read.parquet(rejects)
+
+
 @query("S7", "select o_orderkey as id, o_custkey as k from orders where o_orderstatus <> 'P' or o_totalprice < 490000")
 def typed_load(lake: Lake) -> DataFrame:
-    """Rows with a word in a number column are dropped, within the budget."""
-    path = new_path(lake.spark, "load")
-    lake.sql("select o_orderkey || ',' || case when o_orderstatus = 'P' and o_totalprice >= 490000 then 'word' else cast(o_custkey as string) end as value from orders").write.text(path)
-    return dump.load_typed(lake.spark, path, struct_of("id bigint, k bigint"), new_path(lake.spark, "loaded"), max_bad=1_000_000)
+    """Rows with a word in a number column go to the reject folder."""
+    return load_orders(lake)[0]
+
+
+@query("S7", "select cast(o_orderkey as varchar) as id, 'word' as k, 'k' as reason from orders where o_orderstatus = 'P' and o_totalprice >= 490000")
+def rejected_rows(lake: Lake) -> DataFrame:
+    """What a load leaves out: source texts and the column at fault."""
+    return load_orders(lake)[1]
 
 
 @query("S11", """select 'users' as name, count(*) as n, 2::bigint as version from w_users union all select 'projects', count(*), 2 from w_projects union all select 'watchers', count(*), 2 from w_watchers""")
@@ -224,7 +236,7 @@ def synced_projects(lake: Lake) -> DataFrame:
     projects = lake["w_projects"].filter("language <> 'ECONOMY'")
     feed = lake.sql(FEED).select(
         "owner", "name", "description", "language", "is_error", F.lit("url").alias("url"), F.col("updated_at").alias("created_at"),
-        F.col("parent").alias("parent_name"), F.concat(F.lit("u"), F.substring("parent", 2, 9)).alias("parent_owner"),
+        F.col("parent").alias("parent_name"), F.concat(F.lit("u"), F.substr("parent", F.lit(2))).alias("parent_owner"),
     )
     points = lake.sql("select owner, name, cast(null as bigint) as fork_commit_id from v_projects")
     synced = sync.sync_projects(projects, users, lake.sql(RAW_STORE), feed, points, now())
@@ -420,7 +432,7 @@ def quarantined_events(lake: Lake) -> DataFrame:
     kind = F.get_json_object(v, "$.type")
     broken = (
         F.when(kind == "FollowEvent", F.regexp_replace(v, '"target":\\{[^}]*\\}', '"target":{}'))
-        .when(kind == "PushEvent", F.substring(v, 2, 1_000_000))
+        .when(kind == "PushEvent", F.substr(v, F.lit(2)))
         .when(kind == "GollumEvent", F.regexp_replace(v, '"created_at":"[^"]*"', '"created_at":"soon"'))
         .when(kind == "PullRequestEvent", F.regexp_replace(v, '^\\{"id":"[^"]*",', "{"))
         .otherwise(v)
@@ -430,20 +442,45 @@ def quarantined_events(lake: Lake) -> DataFrame:
     return bad.groupBy("reason").agg(F.count("*").alias("n"))
 
 
+FEED_SKIP = ["commit_lists", "forks", "issue_events", "languages", "repo_labels", "topics", "watchers"]  # not staged for the feed
+
+
 def feed_raw(lake: Lake) -> dict[str, DataFrame]:
-    """Staged account and repository records for the feed."""
+    """Staged records for the feed: accounts, repositories, and what comments, issues and pushes point to."""
+    text = "cast(null as string)"
+    person = "named_struct('login', owner) as user"
+    repo = f"named_struct('sha', {text}, 'repo', named_struct('name', name, 'full_name', repo, 'owner', named_struct('login', owner)))"
+    commits = f"""select md5(cast(k as string)) as sha, repo, owner, min(id) as seq, min(created_at) as created_at from v_feed where type = 'CommitCommentEvent' group by all
+      union all select md5(concat(id, '-1')) || substr(md5(cast(id as string)), 1, 8), repo, owner, id, created_at from v_feed where type = 'PushEvent' and n_commits > 0"""
+    mail = f"named_struct('name', owner, 'email', {text}, 'date', cast(created_at as string))"
     return {
+        "commits": lake.sql(f"""select sha, 'https://api.github.com/repos/' || repo || '/commits/' || sha as url, named_struct('login', owner) as author, named_struct('login', owner) as committer,
+            named_struct('author', {mail}, 'committer', {mail}) as commit, cast(array() as array<struct<sha:string,url:string>>) as parents, seq from ({commits}) c"""),
+        "commit_comments": lake.sql(f"""select id + 1000000 as id, md5(cast(k as string)) as commit_id, {person}, 'text' as body, 1 as line, 1 as position, cast(created_at as string) as created_at
+            from v_feed where type = 'CommitCommentEvent'"""),
+        "pull_requests": lake.sql(f"""select owner, name as repo, k as number, cast(min(created_at) as string) as created_at, {text} as merged_at, {text} as closed_at, named_struct('login', {text}) as user,
+            named_struct('login', {text}) as merged_by, {repo} as head, {repo} as base from v_feed where type = 'PullRequestReviewCommentEvent' group by owner, name, repo, k"""),
+        "pull_request_comments": lake.sql(f"""select cast(id + 1000000 as string) as id, owner, name as repo, cast(k as string) as pullreq_id, {text} as issue_id, {person}, 'text' as body, 1 as original_position,
+            {text} as original_commit_id, cast(created_at as string) as created_at from v_feed where type = 'PullRequestReviewCommentEvent'"""),
+        "issues": lake.sql(f"""select owner, name as repo, k as number, cast(min(created_at) as string) as created_at, {person}, named_struct('login', {text}) as assignee,
+            named_struct('patch_url', {text}) as pull_request, cast(array() as array<struct<name:string>>) as labels from v_feed where type in ('IssuesEvent', 'IssueCommentEvent') group by owner, name, k"""),
+        "issue_comments": lake.sql(f"""select id + 1000000 as id, owner, name as repo, k as issue_id, {person}, cast(created_at as string) as created_at from v_feed where type = 'IssueCommentEvent'"""),
         "users": lake.sql("select login, name, cast(null as string) as company, email, location, type, cast(created_at as string) as created_at from v_users"),
         "repos": lake.sql("""select named_struct('login', owner) as owner, name, 'url' as url, 'd' as description, 'l' as language, cast(min(created_at) as string) as created_at,
             named_struct('name', cast(null as string), 'owner', named_struct('login', cast(null as string))) as parent from v_feed group by owner, name"""),
     }
 
 
+FEED_TABLES = ["followers", "watchers", "pull_requests", "issues", "pull_request_history", "issue_comments", "commit_comments", "pull_request_comments", "commits"]
 TABLES_SQL = """with u as (select id from w_users), r as (select k, k % 10 as owner, min(created_at) as created_at from v_feed group by 1, 2)
 select 'followers' as name, count(*) as n from (select distinct f.actor_id, f.k from v_feed f join u a on a.id = f.actor_id join u b on b.id = f.k where type = 'FollowEvent') x
 union all select 'watchers', count(*) from (select distinct f.actor_id, f.k from v_feed f join u on u.id = f.actor_id where type = 'WatchEvent') x
-union all select 'pull_requests', count(*) from v_feed where type = 'PullRequestEvent'
-union all select 'issues', count(*) from v_feed where type = 'PullRequestEvent'
+union all select 'pull_requests', count(*) from (select k, id from v_feed where type = 'PullRequestEvent' union select k, k from v_feed where type = 'PullRequestReviewCommentEvent') x
+union all select 'issues', count(*) from (select k, id from v_feed where type = 'PullRequestEvent' union select k, k from v_feed where type in ('PullRequestReviewCommentEvent', 'IssuesEvent', 'IssueCommentEvent')) x
+union all select 'issue_comments', count(*) from v_feed where type = 'IssueCommentEvent'
+union all select 'commit_comments', count(*) from v_feed where type = 'CommitCommentEvent'
+union all select 'pull_request_comments', count(*) from v_feed where type = 'PullRequestReviewCommentEvent'
+union all select 'commits', count(*) from (select md5(cast(k as varchar)) as sha from v_feed where type = 'CommitCommentEvent' union select md5(cast(id as varchar) || '-1') from v_feed where type = 'PushEvent' and n_commits > 0) x
 union all select 'pull_request_history', sum(case action when 'merged' then 3 when 'closed' then 2 when 'opened' then 1 else 2 end)::bigint from v_feed f join u on u.id = f.actor_id where type = 'PullRequestEvent'"""
 
 
@@ -453,18 +490,16 @@ def stream_tables(lake: Lake) -> DataFrame:
     store = TableSet(lake.spark, new_path(lake.spark, "tables"))
     raw = feed_raw(lake)
     stream = json_reader(lake.spark.readStream.option("maxFilesPerTrigger", 4), "events").json(lake.feed_files())
-    jobs.run_to_end(stream, jobs.tables_sink(store, lambda tables, events: apply_events(tables, events, raw, now())), new_path(lake.spark, "checkpoint"))
+    jobs.run_to_end(stream, jobs.tables_sink(store, lambda tables, events: apply_events(tables, events, raw, now(), FEED_SKIP), new_path(lake.spark, "rejects")), new_path(lake.spark, "checkpoint"))
     tables = store.read_all()
-    names = ["followers", "watchers", "pull_requests", "issues", "pull_request_history"]
-    return lookup.entity_counts({n: tables[n] for n in names}).select(F.col("entity").alias("name"), F.col("items").alias("n"))
+    return lookup.entity_counts({n: tables[n] for n in FEED_TABLES}).select(F.col("entity").alias("name"), F.col("items").alias("n"))
 
 
 @query("H1-H11 E1 E2 E8 E10 E16 E17 E18", TABLES_SQL)
 def applied_events(lake: Lake) -> DataFrame:
     """The same feed in one batch."""
-    tables = apply_events(empty_tables(lake.spark), lake.feed(), feed_raw(lake), now())
-    names = ["followers", "watchers", "pull_requests", "issues", "pull_request_history"]
-    return lookup.entity_counts({n: tables[n] for n in names}).select(F.col("entity").alias("name"), F.col("items").alias("n"))
+    tables = apply_events(empty_tables(lake.spark), lake.feed(), feed_raw(lake), now(), FEED_SKIP)
+    return lookup.entity_counts({n: tables[n] for n in FEED_TABLES}).select(F.col("entity").alias("name"), F.col("items").alias("n"))
 
 
 @query("T6", HISTORY_SQL)
@@ -513,7 +548,7 @@ def refreshed_repos(lake: Lake) -> DataFrame:
             from (select *, base.repo.name as owner_repo from ({RAW_PRS})) p join orders on o_orderkey = number"""),
     }
     worklist = projects.filter("id < 20").select(F.concat(F.lit("u"), F.col("owner_id").cast("string")).alias("owner"), F.col("name").alias("repo"))
-    result = refresh_repos(tables, raw, worklist, now())
+    result = refresh_repos(tables, raw, worklist, now(), skip=["commits", "issues", "issue_events", "issue_comments", "watchers", "repo_labels", "forks"])
     names = ["project_topics", "project_languages", "pull_requests", "issues"]
     counts = lookup.entity_counts({**{n: result[n] for n in names}, "refreshed": result["projects"].filter(secs("updated_at") == NOW_SECS)})
     return counts.select(F.col("entity").alias("name"), F.col("items").alias("n"))

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from forgelake.functions.scalars import url_owner, url_repo
 from forgelake.operators import handlers, identity
 from forgelake.operators.builders import code, people, tracker
 from forgelake.operators.changes import union_all
@@ -26,7 +27,7 @@ def ensure_users(users: DataFrame, logins: DataFrame, raw_users: DataFrame, now:
 
 
 def mentioned_logins(staged: handlers.Staged) -> DataFrame:
-    """Logins named by staged rows, as owners, actors or members."""
+    """Logins named by staged rows, as owners (of forks too), actors or members."""
     columns = {
         "commits": ["owner"], "watchers": ["owner", "login"], "followers": ["follower", "followed"],
         "project_members": ["owner", "login"], "pull_requests": ["owner", "event_actor"], "forks": ["owner"],
@@ -37,13 +38,18 @@ def mentioned_logins(staged: handlers.Staged) -> DataFrame:
     if "pull_requests" in staged:
         prs = staged["pull_requests"]
         parts += [prs.select(F.col(c).alias("login")) for c in ("user.login", "merged_by.login", "head.repo.owner.login")]
+    if "forks" in staged:
+        parts.append(code.fork_rows(staged["forks"]).select(F.col("owner").alias("login")))
     return union_all(parts).distinct()
 
 
 def mentioned_repos(staged: handlers.Staged) -> DataFrame:
-    """(owner, name) of repositories named by staged rows."""
+    """(owner, name) of repositories named by staged rows, forks among them."""
     names = ["commits", "watchers", "project_members", "forks", "issues", "issue_comments", "pull_request_comments", "commit_comments", "repos", "pull_requests"]
-    return union_all([staged[n].select("owner", F.col("repo").alias("name")) for n in names if n in staged]).distinct()
+    parts = [staged[n].select("owner", F.col("repo").alias("name")) for n in names if n in staged]
+    if "forks" in staged:
+        parts.append(code.fork_rows(staged["forks"]).select("owner", "name"))
+    return union_all(parts).distinct()
 
 
 def store_commits(tables: Tables, raw_commits: DataFrame, raw_users: DataFrame, now: Column) -> Tables:
@@ -62,45 +68,132 @@ def store_commits(tables: Tables, raw_commits: DataFrame, raw_users: DataFrame,
     }
 
 
-def apply_events(tables: Tables, events: DataFrame, raw: dict[str, DataFrame], now: Column) -> Tables:
+# Raw collections that a batch of events draws on, beside those of the refresh of created repositories.
+EVENT_COLLECTIONS = ["users", "repos", "commits", "commit_lists", "commit_comments", "pull_requests", "pull_request_comments", "issues", "issue_events", "issue_comments", "repo_labels"]
+
+
+def check_collections(raw: dict[str, DataFrame], needed: list[str], skip: Collection[str]) -> None:
+    """An error when a collection is neither staged nor named as one to do without."""
+    absent = sorted(set(needed) - set(raw) - set(skip))
+    if absent:
+        raise ValueError(f"not staged, and not to be skipped: {', '.join(absent)}")
+
+
+def picked(raw: Tables, name: str, keys: DataFrame) -> DataFrame | None:
+    """Staged records of a collection under the given keys."""
+    return raw[name].join(keys.distinct(), keys.columns, "left_semi") if name in raw else None
+
+
+def picked_records(raw: Tables, staged: handlers.Staged) -> Tables:
+    """Staged records that the events of a batch call for, by collection.
+
+    A comment brings its pull request or issue, and an issue event all of the issue's
+    own events and comments.
+    """
+    comments, issues, reviews = staged["issue_comments"], staged["issues"], staged["pull_request_comments"]
+    wanted_issues = issues.select("owner", "repo", "number").unionByName(comments.select("owner", "repo", "number"))
+    of_issues = issues.select("owner", "repo", F.col("number").alias("issue_id"))
+    found = {
+        "commit_comments": picked(raw, "commit_comments", staged["commit_comments"].select(F.col("comment_id").alias("id"), F.col("sha").alias("commit_id"))),
+        "pull_requests": picked(raw, "pull_requests", reviews.select("owner", "repo", "number")),
+        "pull_request_comments": picked(raw, "pull_request_comments", reviews.select("owner", "repo", F.col("comment_id").cast("string").alias("id"))),
+        "issues": picked(raw, "issues", wanted_issues),
+        "issue_events": picked(raw, "issue_events", of_issues),
+        "repo_labels": picked(raw, "repo_labels", wanted_issues.select("owner", "repo")),
+    }
+    if "issue_comments" in raw:
+        single = picked(raw, "issue_comments", comments.select("owner", "repo", F.col("number").alias("issue_id"), F.col("comment_id").alias("id")))
+        found["issue_comments"] = single.unionByName(picked(raw, "issue_comments", of_issues))
+    return {name: cut_lineage(rows, name) for name, rows in found.items() if rows is not None}
+
+
+def people_of_records(records: Tables) -> list[DataFrame]:
+    """Logins named by staged records."""
+    columns = {
+        "commit_comments": ["user.login"], "pull_requests": ["user.login", "merged_by.login", "head.repo.owner.login"],
+        "pull_request_comments": ["user.login"], "issues": ["user.login", "assignee.login"], "issue_events": ["actor.login"],
+        "issue_comments": ["user.login"],
+    }
+    return [records[n].select(F.col(c).alias("login")) for n, cs in columns.items() if n in records for c in cs]
+
+
+def apply_events(tables: Tables, events: DataFrame, raw: dict[str, DataFrame], now: Column, skip: Collection[str] = ()) -> Tables:
     """Next tables after a batch of events, given the staged raw collections.
 
-    `raw` holds users, repos and commits (with seq); absent collections are skipped.
+    `raw` holds the staged collections (commits with seq; commit_lists with owner, repo,
+    pos and sha). A collection that is not staged is an error, unless `skip` names it;
+    what hangs on it is then left out.
     """
+    check_collections(raw, [*EVENT_COLLECTIONS, *(c for cs in STAGE_COLLECTIONS.values() for c in cs)], skip)
     staged = handlers.stage_events(events)
+    records = picked_records(raw, staged)
     next_tables = dict(tables)
-    users = ensure_users(tables["users"], mentioned_logins(staged), raw["users"], now)
-    next_tables["users"] = users
     repos = code.repo_rows(raw["repos"])
-    wanted = code.with_parents(mentioned_repos(staged), repos)
+    wanted = cut_lineage(code.with_parents(mentioned_repos(staged), repos), "wanted_repos")
+    logins = union_all([mentioned_logins(staged), wanted.select(F.col("owner").alias("login")), *people_of_records(records)])
+    users = cut_lineage(ensure_users(tables["users"], logins, raw["users"], now), "users")
+    next_tables["users"] = users
     projects = code.next_projects(tables["projects"], repos.join(wanted, ["owner", "name"], "left_semi"), users, now)
     next_tables["projects"] = cut_lineage(code.next_forks(projects, staged["forks"], users, now), "projects")
     if "commits" in raw:
-        wanted_commits = raw["commits"].join(staged["commits"].select("sha").distinct(), "sha", "left_semi")
-        next_tables = store_commits(next_tables, wanted_commits, raw["users"], now)
+        shas = staged["commits"].select("sha").unionByName(staged["commit_comments"].select("sha"))
+        if "commit_lists" in raw:
+            older = handlers.older_commits(events, raw["commit_lists"], tables["commits"], tables["project_commits"], next_tables["projects"], users)
+            shas = shas.unionByName(older.select("sha"))
+        next_tables = store_commits(next_tables, raw["commits"].join(shas.distinct(), "sha", "left_semi"), raw["users"], now)
     users, projects, commits = next_tables["users"], next_tables["projects"], next_tables["commits"]
 
     next_tables["followers"] = people.next_followers(tables["followers"], staged["followers"], users)
     next_tables["watchers"] = people.next_watchers(tables["watchers"], staged["watchers"], projects, users)
     next_tables["project_members"] = people.next_project_members(tables["project_members"], staged["project_members"], projects, users)
-
-    staged_prs = cut_lineage(staged["pull_requests"], "pull_requests")
-    prs = tracker.next_pull_requests(tables["pull_requests"], staged_prs, projects, users, commits)
+    if "commit_comments" in records:
+        next_tables["commit_comments"] = tracker.next_commit_comments(tables["commit_comments"], records["commit_comments"], commits, users)
+
+    staged_prs = staged["pull_requests"]
+    if "pull_requests" in records:
+        record_columns = [c for c in staged_prs.columns if c in records["pull_requests"].columns]
+        staged_prs = staged_prs.unionByName(records["pull_requests"].select(*record_columns), allowMissingColumns=True)
+    staged_prs = cut_lineage(staged_prs, "pull_requests")
+    prs = cut_lineage(tracker.next_pull_requests(tables["pull_requests"], staged_prs, projects, users, commits), "next_pull_requests")
     numbers = pr_lookup(prs, projects, users)
     named = cut_lineage(staged_prs.join(numbers, ["owner", "repo", "number"]), "named_pull_requests")
     dates = named.join(project_keys(projects, users).select("owner", "repo", F.col("project_id").alias("base_repo_id")), ["owner", "repo"]).groupBy(
         F.col("number").alias("pullreq_id"), "base_repo_id"
     ).agg(F.min(tracker.stamp("created_at")).alias("created_at"))
     next_tables["pull_requests"] = prs
-    next_tables["issues"] = tracker.next_shadow_issues(tables["issues"], prs, dates)
-    reported = named.select(
+    next_tables["issues"] = cut_lineage(tracker.next_shadow_issues(tables["issues"], prs, dates), "issues")
+    reported = named.filter("event_id is not null").select(
         "pull_request_id", F.col("event_action").alias("action"), F.col("event_actor").alias("actor"),
         F.col("event_ts").alias("created_at"), F.col("event_id").alias("id"),
     )
     next_tables["pull_request_history"] = tracker.next_history(
         tables["pull_request_history"], cut_lineage(history_candidates(named, reported), "candidates"), users
     )
-    return next_tables
+    if "pull_request_comments" in records:
+        next_tables["pull_request_comments"] = tracker.next_pull_request_comments(
+            tables["pull_request_comments"], records["pull_request_comments"], prs, projects, users, commits
+        )
+    if "issues" in records:
+        next_tables |= store_issues(next_tables, records)
+    created = cut_lineage(staged["repos"].select("owner", "repo").distinct(), "created_repos")
+    return next_tables if created.isEmpty() else refresh_repos(next_tables, raw, created, now, skip=skip)
+
+
+def store_issues(tables: Tables, records: Tables) -> Tables:
+    """Issues with their events, assignees, comments and labels, as far as their records are staged."""
+    projects, users = tables["projects"], tables["users"]
+    issues = cut_lineage(tracker.next_issues(tables["issues"], records["issues"], projects, users, tables["pull_requests"]), "issues")
+    result = {"issues": issues}
+    if "issue_events" in records:
+        result["issue_events"] = cut_lineage(tracker.next_issue_events(tables["issue_events"], records["issue_events"], issues, projects, users), "issue_events")
+        result["issues"] = tracker.with_assignees(issues, result["issue_events"])
+    if "issue_comments" in records:
+        result["issue_comments"] = tracker.next_issue_comments(tables["issue_comments"], records["issue_comments"], issues, projects, users)
+    if "repo_labels" in records:
+        labels = cut_lineage(tracker.next_repo_labels(tables["repo_labels"], records["repo_labels"], projects, users), "repo_labels")
+        links = tracker.issue_label_rows(tracker.labelled_issues(records["issues"]), labels, issues, projects, users)
+        result |= {"repo_labels": labels, "issue_labels": tracker.next_issue_labels(tables["issue_labels"], links)}
+    return result
 
 
 Stage = Callable[[Tables, dict[str, DataFrame], DataFrame, Column], Tables]
@@ -112,7 +205,9 @@ def staged_for(raw: dict[str, DataFrame], name: str, repos: DataFrame) -> DataFr
 
 
 def commits_stage(tables: Tables, raw: dict[str, DataFrame], repos: DataFrame, now: Column) -> Tables:
-    rows = staged_for(raw, "commits", repos)
+    # A commit record names its repository in its URL only.
+    placed = {n: rows.withColumns({"owner": url_owner(F.col("url")), "repo": url_repo(F.col("url"))}) for n, rows in raw.items() if n == "commits"}
+    rows = staged_for(placed, "commits", repos)
     return tables if rows is None else store_commits(tables, rows, raw["users"], now)
 
 
@@ -209,17 +304,32 @@ STAGES: dict[str, Stage] = {
 }
 
 
+# Collections that the stages read.
+STAGE_COLLECTIONS: dict[str, list[str]] = {
+    "commits": ["commits", "users"],
+    "topics": ["topics"],
+    "languages": ["languages"],
+    "pull_requests": ["pull_requests"],
+    "issues": ["issues", "issue_events", "issue_comments"],
+    "watchers": ["watchers"],
+    "labels": ["repo_labels", "issues"],
+    "forks": ["forks"],
+}
+
+
 def refresh_repos(
     tables: Tables, raw: dict[str, DataFrame], worklist: DataFrame, now: Column, only_stage: str | None = None,
-    quarantined: DataFrame | None = None,
+    quarantined: DataFrame | None = None, skip: Collection[str] = (),
 ) -> Tables:
     """All stages, in order, for every listed repository (owner, repo) at once.
 
     An empty stage does not end a repository's refresh. Quarantined repositories
-    are left out. A single stage leaves the refresh date alone.
+    are left out. A single stage leaves the refresh date alone. A collection that is
+    not staged is an error, unless `skip` names it.
     """
     if only_stage is not None and only_stage not in STAGES:
         raise ValueError(f"not a stage: {only_stage}")
+    check_collections(raw, [c for n, cs in STAGE_COLLECTIONS.items() if only_stage in (None, n) for c in cs], skip)
     repos = worklist.select("owner", "repo").distinct()
     if quarantined is not None:
         repos = repos.join(quarantined, ["owner", "repo"], "left_anti")

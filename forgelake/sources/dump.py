@@ -8,12 +8,12 @@ from pyspark.sql.types import BooleanType, StringType, StructType, TimestampType
 
 from forgelake import schemas
 from forgelake.operators.changes import PRIVATE_USER_COLUMNS, PUBLIC_USER_COLUMNS, split_private
+from forgelake.session import cut_lineage
 
 # Dump format.
 NULL = "\\N"
 ZERO_DATE = "0000-00-00 00:00:00"
 EPOCH = "1970-01-01 00:00:00"
-MAX_BAD_ROWS = 1000
 
 
 def dump_columns(table: str) -> list[str]:
@@ -129,29 +129,41 @@ def write_plain_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").csv(path, quote='"', escape='"', nullValue="", emptyValue='""')
 
 
-def bad_rows(text: DataFrame, schema: StructType) -> Column:
-    """A row is bad when a non-null text does not fit the column's type."""
-    bad = F.lit(False)
+def bad_column(schema: StructType) -> Column:
+    """Name of the first column whose non-null text does not fit its type; null for a sound row."""
+    reasons = []
     for f in schema.fields:
         c = F.col(f"`{f.name}`")
         if not isinstance(f.dataType, StringType):
-            bad = bad | (c.isNotNull() & typed_column(c, f.dataType, "epoch").isNull())
-    return bad
+            reasons.append(F.when(c.isNotNull() & typed_column(c, f.dataType, "epoch").isNull(), f.name))
+    return F.coalesce(*reasons, F.lit(None).cast("string"))
 
 
-def good_rows(text: DataFrame, schema: StructType, max_bad: int = MAX_BAD_ROWS) -> DataFrame:
-    """Typed rows without the bad ones; an error when there are more bad ones than allowed."""
-    flagged = text.withColumn("is_bad", bad_rows(text, schema))
-    n_bad = flagged.agg(F.count_if("is_bad").alias("n")).first()["n"]
-    if n_bad > max_bad:
+def check_budget(flagged: DataFrame, max_bad: int | None) -> None:
+    """An error when there are more bad rows than allowed; no limit without a number."""
+    n_bad = 0 if max_bad is None else flagged.agg(F.count("reason").alias("n")).first()["n"]
+    if max_bad is not None and n_bad > max_bad:
         raise ValueError(f"{n_bad} bad rows, {max_bad} allowed")
-    return typed(flagged.filter(~F.col("is_bad")).drop("is_bad"), schema, "epoch")
+
+
+def good_rows(text: DataFrame, schema: StructType, max_bad: int = 0) -> DataFrame:
+    """Typed rows without the bad ones; an error when there are more bad ones than allowed."""
+    flagged = text.withColumn("reason", bad_column(schema))
+    check_budget(flagged, max_bad)
+    return typed(flagged.filter("reason is null").drop("reason"), schema, "epoch")
 
 
 def load_typed(
-    spark: SparkSession, path: str, schema: StructType, target: str, max_bad: int = MAX_BAD_ROWS
+    spark: SparkSession, path: str, schema: StructType, target: str, rejects: str, max_bad: int | None = 0
 ) -> DataFrame:
-    """Load a repaired dump into a Parquet table, replacing it."""
-    text = read_text_dump(spark, path, schema.fieldNames())
-    good_rows(text, schema, max_bad).write.mode("overwrite").parquet(target)
+    """Load a repaired dump into a Parquet table, replacing it.
+
+    Every bad row lands in the `rejects` folder, with its source texts and, as
+    `reason`, the column at fault. The budget only decides whether the load fails;
+    the rejects are written also then.
+    """
+    flagged = cut_lineage(read_text_dump(spark, path, schema.fieldNames()).withColumn("reason", bad_column(schema)), "flagged")
+    flagged.filter("reason is not null").write.mode("overwrite").parquet(rejects)
+    check_budget(flagged, max_bad)
+    typed(flagged.filter("reason is null").drop("reason"), schema, "epoch").write.mode("overwrite").parquet(target)
     return spark.read.parquet(target)

@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forgelake.functions.scalars import project_message, route_key
+from forgelake.functions.scalars import forge_ts, project_message, route_key
 from forgelake.operators.changes import replace
 from forgelake.operators.history import TOLERANCE_SECONDS, build_history
 from forgelake.operators.logs import WORKER_COLUMNS, parse_worker_lines, state_lines, worker_latest
@@ -67,7 +67,7 @@ def defect(events: DataFrame) -> Column:
     """Why an event cannot be processed; null for a sound one."""
     reason = F.when(F.col(CORRUPT).isNotNull(), "unparsable") if CORRUPT in events.columns else F.when(F.lit(False), "")
     reason = reason.when(F.col("id").isNull(), "no id").when(F.col("type").isNull(), "no type")
-    reason = reason.when(F.try_to_timestamp("created_at").isNull(), "bad timestamp")
+    reason = reason.when(forge_ts(F.col("created_at").cast("string")).isNull(), "bad timestamp")
     for event_type, paths in REQUIRED.items():
         for dotted in paths:
             reason = reason.when((F.col("type") == event_type) & F.col(dotted).isNull(), f"no {dotted}")
@@ -81,12 +81,38 @@ def quarantine(events: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def read_or_empty(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    """The table of a folder, or an empty one when there is no such folder; any other failure is an error."""
     try:
         return spark.read.schema(like.schema).parquet(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], like.schema)
 
 
+def previous_batch(spark: SparkSession, folder: str, prefix: str, batch_id: int) -> int | None:
+    """Id of the newest complete batch stored before this one; earlier ids need not be consecutive.
+
+    A later one than this means that the stream's checkpoint is not the one the store was
+    written with; going on would overwrite the store, so that is an error.
+    """
+    root = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(root):
+        return None
+    places = [s.getPath() for s in files.listStatus(root) if s.getPath().getName().startswith(prefix)]
+    done = [int(p.getName()[len(prefix):]) for p in places if files.exists(p.suffix("/_SUCCESS"))]
+    if any(n > batch_id for n in done):
+        raise RuntimeError(f"{folder} already holds batch {max(done)}, after batch {batch_id}: the checkpoint is another one")
+    return max((n for n in done if n < batch_id), default=None)
+
+
+def previous_version(spark: SparkSession, folder: str, batch_id: int, like: DataFrame) -> DataFrame:
+    """The newest complete version before a batch; empty when there is none."""
+    before = previous_batch(spark, folder, "v", batch_id)
+    return spark.createDataFrame([], like.schema) if before is None else spark.read.schema(like.schema).parquet(f"{folder}/v{before:09d}")
+
+
 def append_batch(path: str, batch_id: int, rows: DataFrame) -> None:
     """Store a batch under its own id, so that a repeated batch replaces itself."""
     rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
@@ -105,6 +131,7 @@ def exact_dedup_sink(path: str, key: str = "id") -> Callable[[DataFrame, int], N
     """foreachBatch: store events whose key no earlier batch stored, however late they come."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        previous_batch(batch.sparkSession, path, "batch_id=", batch_id)
         stored = read_or_empty(batch.sparkSession, path, batch)
         earlier = stored.filter(F.col("batch_id") < batch_id) if "batch_id" in stored.columns else stored
         fresh = batch.dropDuplicates([key]).join(earlier.select(key), key, "left_anti").select(*batch.columns)
@@ -114,16 +141,20 @@ def exact_dedup_sink(path: str, key: str = "id") -> Callable[[DataFrame, int], N
 
 
 def tables_sink(
-    table_set: TableSet, apply: Callable[[dict[str, DataFrame], DataFrame], dict[str, DataFrame]]
+    table_set: TableSet, apply: Callable[[dict[str, DataFrame], DataFrame], dict[str, DataFrame]], rejects: str
 ) -> Callable[[DataFrame, int], None]:
-    """foreachBatch: current tables and a batch of events give the next version; a repeated batch is skipped."""
+    """foreachBatch: current tables and the sound events of a batch give the next version; a repeated batch is skipped.
+
+    Events that cannot be processed go to the `rejects` folder, with their reason.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if table_set.has_batch(batch_id):
             return
-        events = cut_lineage(batch, "batch")
+        sound, broken = quarantine(cut_lineage(batch, "batch"))
+        append_batch(rejects, batch_id, broken)
         tables = table_set.read_all()
-        table_set.write_all(apply(tables, events), batch_id, tables)
+        table_set.write_all(apply(tables, sound), batch_id, tables)
 
     return write
 
@@ -140,11 +171,12 @@ def history_sink(candidates: str, histories: str, tolerance: int = TOLERANCE_SEC
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        previous_batch(spark, histories, "v", batch_id)
         append_batch(candidates, batch_id, batch)
         touched = batch.select(*HISTORY_KEYS).distinct()
         rows = spark.read.schema(batch.schema).parquet(candidates).join(touched, HISTORY_KEYS, "left_semi")
         fresh = build_history(rows, tolerance)
-        previous = read_or_empty(spark, f"{histories}/v{batch_id - 1:09d}", fresh)
+        previous = previous_version(spark, histories, batch_id, fresh)
         replace(previous, fresh, HISTORY_KEYS).write.mode("overwrite").parquet(f"{histories}/v{batch_id:09d}")
 
     return write
@@ -160,7 +192,7 @@ def worker_sink(states: str) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         lines = parse_worker_lines(batch).select(*WORKER_COLUMNS)
-        previous = read_or_empty(spark, f"{states}/v{batch_id - 1:09d}", worker_latest(lines))
+        previous = previous_version(spark, states, batch_id, worker_latest(lines))
         touched = previous.join(lines.select("pid").distinct(), "pid", "left_semi")
         fresh = worker_latest(state_lines(touched).unionByName(lines))
         replace(previous, fresh, ["pid"]).write.mode("overwrite").parquet(f"{states}/v{batch_id:09d}")
