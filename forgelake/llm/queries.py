@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forgelake.llm import chunks, decontaminate, language, licenses, metric_tree, mixing, near_dup, ngram_lm, private, secrets
+from forgelake.llm import bisectors, chat, chunks, decontaminate, divergence, language, licenses, metric_tree, mixing, near_dup, ngram_lm, private, secrets
 from forgelake.llm.shared import read_table
 
 Runner = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +68,19 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = chat.with_probe(read_table(spark, sf_dir, "conversations"))
+    return chat.read_back(chat.format_conversations(turns))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read_table(spark, sf_dir, "documents"))
+
+
+def op13_bisector_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bisectors.cluster(read_table(spark, sf_dir, "embeddings"))
+
+
 RUNNERS: dict[str, Runner] = {
     "op1_metric_tree_top_k": op1_metric_tree_top_k,
     "op2_mix_sources": op2_mix_sources,
@@ -79,6 +92,9 @@ RUNNERS: dict[str, Runner] = {
     "op8_chunk_dedup": op8_chunk_dedup,
     "op9_private_data": op9_private_data,
     "op10_decontaminate": op10_decontaminate,
+    "op11_chat_format": op11_chat_format,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_bisector_clusters": op13_bisector_clusters,
 }
 
 
@@ -87,4 +103,7 @@ def runners() -> dict[str, Runner]:
 
 
 def checks() -> dict[str, str]:
-    return {"op1_metric_tree_top_k": metric_tree.SQL, "op2_mix_sources": mixing.SQL}
+    return {
+        "op1_metric_tree_top_k": metric_tree.SQL, "op2_mix_sources": mixing.SQL, "op11_chat_format": chat.SQL,
+        "op12_source_divergence": divergence.SQL, "op13_bisector_clusters": bisectors.SQL,
+    }
