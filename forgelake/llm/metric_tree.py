@@ -33,7 +33,11 @@ SAMPLE = 2048
 PAGE = 1024
 LEAF = 64
 QUERY_BLOCK = 256
-_EPS = 1e-6
+
+
+def _slack(m2: float) -> float:
+    """More than rounding can take from a distance between vectors of squared length up to m2."""
+    return 1e-6 * (1 + np.sqrt(m2))
 
 
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
@@ -62,7 +66,7 @@ def _spread(sample: np.ndarray, count: int) -> np.ndarray:
     chosen = [0] if len(sample) else []
     if chosen:
         away = _distances(sample, sample[:1])[:, 0]
-        while len(chosen) < count and away.max() > _EPS:
+        while len(chosen) < count and away.max() > 1e-6:
             chosen.append(int(away.argmax()))
             away = np.minimum(away, _distances(sample, sample[chosen[-1:]])[:, 0])
     return sample[chosen]
@@ -103,16 +107,16 @@ def search_page(page: dict[str, bytes | float], queries: np.ndarray, query_ids:
     least = least.astype(np.float64).copy()
     found = [(np.empty(0, np.int64), np.empty(0, np.int64))] * len(q)
 
-    def reach(least: np.ndarray) -> np.ndarray:
-        """Distance at which a score equals the bound."""
-        return np.sqrt(np.maximum(level - 2 * least, 0)) + _EPS
+    def reach(rows: np.ndarray | slice = slice(None)) -> np.ndarray:
+        """Distance at which a score equals the bound, for some of the queries."""
+        return np.sqrt(np.maximum(level[rows] - 2 * least[rows], 0)) + _slack(m2)
 
     # The page by its stored distance to the pivot first, then by its own.
-    alive = np.abs(_distances(q, pivot[None])[:, 0] - page["from_pivot"]) - page["radius"] <= reach(least)
+    alive = np.abs(_distances(q, pivot[None])[:, 0] - page["from_pivot"]) - page["radius"] <= reach()
     route = np.frombuffer(page["route"]).reshape(1, dim + 1)
     to_route = np.full(len(q), np.inf)
     to_route[alive] = _distances(q[alive], route)[:, 0]
-    alive &= to_route - page["radius"] <= reach(least)
+    alive &= to_route - page["radius"] <= reach()
     rows = np.flatnonzero(alive)
     if not len(rows):
         return found
@@ -121,7 +125,7 @@ def search_page(page: dict[str, bytes | float], queries: np.ndarray, query_ids:
     vectors, away = np.frombuffer(page["vectors"], np.int32).reshape(-1, dim), np.frombuffer(page["parent"])
     near = np.maximum(_distances(q[rows], leaves) - radius[None], np.abs(to_route[rows][:, None] - parent[None]) - radius[None])
     for leaf in np.argsort(near.min(axis=0), kind="stable"):
-        bound = reach(least[rows])
+        bound = reach(rows)
         open_rows = np.flatnonzero(near[:, leaf] <= bound)
         if not len(open_rows):
             continue
@@ -244,7 +248,7 @@ def top_k(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", vec
             for i in range(batch.num_rows):
                 q = np.frombuffer(batch.column("query_vectors")[i].as_py(), np.int32).reshape(-1, dim).astype(np.float64)
                 q = np.hstack([q, np.zeros((len(q), 1))])
-                reach = np.sqrt(np.maximum((q * q).sum(axis=1) + m2 - 2 * np.frombuffer(batch.column("least")[i].as_py()), 0)) + _EPS
+                reach = np.sqrt(np.maximum((q * q).sum(axis=1) + m2 - 2 * np.frombuffer(batch.column("least")[i].as_py()), 0)) + _slack(m2)
                 to_pivots = _distances(q, pivots.value)
                 for region, radius in spans.value.items():
                     if (to_pivots[:, region] - radius <= reach).any():

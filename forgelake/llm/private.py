@@ -60,7 +60,7 @@ def _holds(kind: str, text: str) -> bool:
     if kind == "email":
         return True
     if kind == "ip":
-        return all(p.isdigit() and len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in text.split("."))
+        return all(p.isdigit() and len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or "0") <= 255 for p in text.split("."))
     digits = "".join(_DIGIT.findall(text))
     if kind == "card":
         return 14 <= len(digits) <= 19 and luhn(digits)

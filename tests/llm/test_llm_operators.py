@@ -148,6 +148,22 @@ def test_metric_tree_is_exact_with_ties_and_bad_vectors(spark):
     assert metric_tree.top_k(df.where("vec_id = 5001"), F.lit(True)).count() == 0
 
 
+def test_metric_tree_when_a_page_rules_out_a_part_of_a_block(spark):
+    """Clusters far apart: of the queries of one block some need a page and others don't."""
+    rng = np.random.default_rng(11)
+    centres = rng.normal(size=(6, 8)) * 40
+    vectors = [(i, (centres[i % 6] + rng.normal(size=8) * (0.1 if i % 5 else 12)).astype(np.float32)) for i in range(3000)]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in vectors], "vec_id long, embedding array<float>")
+    found = sorted(collected(metric_tree.top_k(df, F.col("vec_id") % 20 == 0, k=5), "query_id", "rank", "vec_id", "score"))
+    whole = np.floor(np.stack([v for _, v in vectors]).astype(np.float64) * 64).astype(np.int64)
+    want = []
+    for q in range(0, 3000, 20):
+        scores = whole @ whole[q]
+        best = sorted((-int(s), i) for i, s in enumerate(scores) if i != q)[:5]
+        want += [(q, rank, i, -s) for rank, (s, i) in enumerate(best, 1)]
+    assert found == want
+
+
 def test_mixing_meets_targets_and_bounds(spark, rows):
     docs = rows(ODD, source="a").unionByName(rows([(k, "w " * (k % 50)) for k in range(100, 900)], source="b")).unionByName(rows([(k, "w " * 7) for k in range(1000, 1400)]))
     found = mixing.mix_sources(docs).collect()
@@ -247,6 +263,11 @@ def test_private_base_spans_are_the_patterns():
         assert private.base_spans(text) == sorted(want, key=lambda s: (s[0], list(EXPECTED).index(s[2]))), text
 
 
+def test_private_address_parts_of_any_length():
+    text = "0" * 5000 + ".1.1.1"
+    assert [tuple(s) for s in private.base_spans(text)] == [(0, len(text), "ip")]
+
+
 def test_private_adds_and_keeps(rows):
     docs = rows([*ODD, *[(50 + i, f"call me on +1 ({200 + i}) 555-{1000 + i} or write a{i}.b@mail{i}.example.com today") for i in range(40)], (99, "call me on 1 (321) 555-2485 today"), (98, "nothing at all to find in 2024 or at 10 dot")])
     model = private.fit(docs)
