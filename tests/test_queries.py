@@ -46,7 +46,8 @@ def test_query_matches_sql(spark, duck, name):
 
 
 def test_every_query_has_a_check():
-    assert set(entry_point.queries()) == set(entry_point.oracle_sql())
+    assert [name for name, entry in CATALOG.items() if not entry.check] == []
+    assert set(CATALOG) <= set(entry_point.queries()) & set(entry_point.oracle_sql())
 
 
 @pytest.mark.parametrize("name", ["handled_event_ratio", "followers_table", "fork_points", "pull_request_histories", "merge_flags", "worker_states", "sync_decisions", "unique_review_comments"])
