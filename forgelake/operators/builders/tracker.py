@@ -218,11 +218,16 @@ def next_issue_comments(table: DataFrame, raw: DataFrame, issues: DataFrame, pro
     return insert_missing(table, issue_comment_rows(raw, issues, projects, users), ["issue_id", "comment_id"])
 
 
+def review_number() -> Column:
+    """Pull request number of a staged review comment, which older records call an issue number."""
+    return F.coalesce(F.col("pullreq_id").try_cast("bigint"), F.col("issue_id").try_cast("bigint"))
+
+
 def pull_request_comment_rows(raw: DataFrame, prs: DataFrame, projects: DataFrame, users: DataFrame, commits: DataFrame) -> DataFrame:
     """Review comments of known pull requests and authors; body cut to 255 characters."""
     flat = first_per(raw.select(
         F.col("id").try_cast("bigint").alias("comment_id"), "owner", "repo",
-        F.coalesce(F.col("pullreq_id").try_cast("bigint"), F.col("issue_id").try_cast("bigint")).alias("number"),
+        review_number().alias("number"),
         F.col("user.login").alias("login"), F.col("original_position").alias("position"),
         left(F.col("body"), PULL_REQUEST_COMMENT_LENGTH).alias("body"), F.col("original_commit_id").alias("sha"),
         stamp("created_at").alias("created_at"),

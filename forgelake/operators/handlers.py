@@ -143,17 +143,20 @@ def review_comment(events: DataFrame) -> Staged:
     """Review comment keys; the pull request number is the last segment of its link."""
     return {"pull_request_comments": of_type(events, "PullRequestReviewCommentEvent").select(
         *repo_columns(), F.col("payload.comment.id").alias("comment_id"),
-        last_segment(F.col("payload.comment._links.pull_request.href")).try_cast("bigint").alias("number"),
+        last_segment(F.col("payload.comment._links.pull_request.href")).try_cast("bigint").alias("number"), event_number().alias("event_id"),
     )}
 
 
 def issue(events: DataFrame) -> Staged:
-    return {"issues": of_type(events, "IssuesEvent").select(*repo_columns(), F.col("payload.issue.number").alias("number"))}
+    return {"issues": of_type(events, "IssuesEvent").select(
+        *repo_columns(), F.col("payload.issue.number").alias("number"), event_number().alias("event_id")
+    )}
 
 
 def issue_comment(events: DataFrame) -> Staged:
     return {"issue_comments": of_type(events, "IssueCommentEvent").select(
-        *repo_columns(), F.col("payload.issue.number").alias("number"), F.col("payload.comment.id").alias("comment_id")
+        *repo_columns(), F.col("payload.issue.number").alias("number"), F.col("payload.comment.id").alias("comment_id"),
+        event_number().alias("event_id"),
     )}
 
 

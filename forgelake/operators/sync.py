@@ -59,16 +59,18 @@ class Synced(NamedTuple):
 
 
 def sync_projects(
-    projects: DataFrame, users: DataFrame, raw: DataFrame, feed: DataFrame, fork_points: DataFrame, now: Column
+    projects: DataFrame, users: DataFrame, raw: DataFrame, feed: DataFrame, fork_points: DataFrame, now: Column,
+    worklist: DataFrame | None = None,
 ) -> Synced:
     """Apply the presence decision to the table and to the raw store.
 
     `raw` has owner, name and its record columns; `feed` the same columns plus
     parent_owner and parent_name, and is_error. `fork_points` has owner, name and
-    fork_commit_id.
+    fork_commit_id. With a `worklist` (owner, name) only its projects are synchronised,
+    without one everything that any side knows.
     """
     keys = project_keys(projects, users).withColumnRenamed("repo", "name")
-    plan = full_presence(raw, feed, keys)
+    plan = full_presence(raw, feed, keys) if worklist is None else presence(worklist, raw, feed, keys)
     owners = users.select(F.col("login").alias("owner"), F.col("id").alias("owner_id"))
     answered = feed.join(plan.filter("in_feed").select(*PROJECT, "action"), PROJECT).join(owners, "owner")
 

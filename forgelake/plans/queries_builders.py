@@ -94,17 +94,17 @@ def fork_edges(lake: Lake) -> DataFrame:
 
 @query("H8 F23", "select owner, name as repo, id + 1000000 as comment_id, k as number from v_feed where type = 'PullRequestReviewCommentEvent'")
 def review_comment_keys(lake: Lake) -> DataFrame:
-    return handlers.review_comment(feed(lake))["pull_request_comments"]
+    return handlers.review_comment(feed(lake))["pull_request_comments"].drop("event_id")
 
 
 @query("H9", "select owner, name as repo, k as number from v_feed where type = 'IssuesEvent'")
 def issue_keys(lake: Lake) -> DataFrame:
-    return handlers.issue(feed(lake))["issues"]
+    return handlers.issue(feed(lake))["issues"].drop("event_id")
 
 
 @query("H10", "select owner, name as repo, k as number, id + 1000000 as comment_id from v_feed where type = 'IssueCommentEvent'")
 def issue_comment_keys(lake: Lake) -> DataFrame:
-    return handlers.issue_comment(feed(lake))["issue_comments"]
+    return handlers.issue_comment(feed(lake))["issue_comments"].drop("event_id")
 
 
 @query("H11 P8", "select owner, name as repo from v_feed where type = 'CreateEvent' and k % 2 = 0")

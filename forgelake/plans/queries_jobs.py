@@ -7,15 +7,14 @@ from pyspark.sql import functions as F
 
 from forgelake.operators import logs, lookup, repair, sync
 from forgelake.plans.catalog import query, secs
-from forgelake.plans.queries_builders import HISTORY_SQL, HISTORY_TOLERANCE, NOW_SECS, RAW_COMMENTS, RAW_PRS, now
-from forgelake.plans.refresh import apply_events, refresh_repos
+from forgelake.plans.queries_builders import HISTORY_SQL, HISTORY_TOLERANCE, NOW_SECS, RAW_COMMENTS, now
 from forgelake.plans.views import Lake
 from forgelake.schemas import struct_of, table_schema
 from forgelake.session import cut_lineage, new_path
 from forgelake.sources import dump
 from forgelake.sources.entities import json_reader, read_entity, read_events, read_worklist
 from forgelake.sources.logs import keep_log_lines, read_logs, write_points
-from forgelake.sources.tables import TableSet, empty_tables
+from forgelake.sources.tables import TableSet
 from forgelake.streaming import jobs
 
 # ---- logs ----------------------------------------------------------------
@@ -254,20 +253,6 @@ def rebuilt_fork_commits(lake: Lake) -> DataFrame:
     return sync.rebuild_fork_commits(lake["w_project_commits"], forks.select("project_id"), inherited)
 
 
-@query("E26 X2 D4 D6", """with l as (select distinct o_custkey as id from orders where o_orderstatus = 'F' and o_totalprice > 450000)
-select u.id, u.login, case when l.id is not null and v.type is not null then 'fresh ' || u.name else u.name end as name, l.id is not null and v.type is null as deleted
-from w_users u join v_users v on v.login = u.login left join l on l.id = u.id""")
-def refreshed_users(lake: Lake) -> DataFrame:
-    """Listed users take the fresh profile; those absent upstream are soft-deleted."""
-    users = lake["w_users"].withColumns({c: F.lit(None).cast("string") for c in ("company", "country_code", "state", "city")}).withColumns(
-        {c: F.lit(None).cast("decimal(11,8)") for c in ("long", "lat")}
-    )
-    listed = lake.sql("select distinct 'u' || o_custkey as login from orders where o_orderstatus = 'F' and o_totalprice > 450000")
-    feed = lake.sql("select login, 'fresh ' || name as name, cast(null as string) as company, email, location, type, cast(created_at as string) as created_at from v_users where type is not null")
-    cache = lake.sql("select 'nowhere' as key, 1D as long, 1D as lat, 'c' as city, 's' as state, 'cc' as country_code from region limit 0")
-    return sync.refresh_users(users, listed, feed, cache, now()).select("id", "login", "name", "deleted")
-
-
 # ---- repair --------------------------------------------------------------
 
 RAW_PR_COMMENTS = """select cast(user_id as string) as id, event_id as seq, case when event_type = 'view' then cast(k as string) end as pullreq_id,
@@ -442,66 +427,6 @@ def quarantined_events(lake: Lake) -> DataFrame:
     return bad.groupBy("reason").agg(F.count("*").alias("n"))
 
 
-FEED_SKIP = ["commit_lists", "forks", "issue_events", "languages", "repo_labels", "topics", "watchers"]  # not staged for the feed
-
-
-def feed_raw(lake: Lake) -> dict[str, DataFrame]:
-    """Staged records for the feed: accounts, repositories, and what comments, issues and pushes point to."""
-    text = "cast(null as string)"
-    person = "named_struct('login', owner) as user"
-    repo = f"named_struct('sha', {text}, 'repo', named_struct('name', name, 'full_name', repo, 'owner', named_struct('login', owner)))"
-    commits = f"""select md5(cast(k as string)) as sha, repo, owner, min(id) as seq, min(created_at) as created_at from v_feed where type = 'CommitCommentEvent' group by all
-      union all select md5(concat(id, '-1')) || substr(md5(cast(id as string)), 1, 8), repo, owner, id, created_at from v_feed where type = 'PushEvent' and n_commits > 0"""
-    mail = f"named_struct('name', owner, 'email', {text}, 'date', cast(created_at as string))"
-    return {
-        "commits": lake.sql(f"""select sha, 'https://api.github.com/repos/' || repo || '/commits/' || sha as url, named_struct('login', owner) as author, named_struct('login', owner) as committer,
-            named_struct('author', {mail}, 'committer', {mail}) as commit, cast(array() as array<struct<sha:string,url:string>>) as parents, seq from ({commits}) c"""),
-        "commit_comments": lake.sql(f"""select id + 1000000 as id, md5(cast(k as string)) as commit_id, {person}, 'text' as body, 1 as line, 1 as position, cast(created_at as string) as created_at
-            from v_feed where type = 'CommitCommentEvent'"""),
-        "pull_requests": lake.sql(f"""select owner, name as repo, k as number, cast(min(created_at) as string) as created_at, {text} as merged_at, {text} as closed_at, named_struct('login', {text}) as user,
-            named_struct('login', {text}) as merged_by, {repo} as head, {repo} as base from v_feed where type = 'PullRequestReviewCommentEvent' group by owner, name, repo, k"""),
-        "pull_request_comments": lake.sql(f"""select cast(id + 1000000 as string) as id, owner, name as repo, cast(k as string) as pullreq_id, {text} as issue_id, {person}, 'text' as body, 1 as original_position,
-            {text} as original_commit_id, cast(created_at as string) as created_at from v_feed where type = 'PullRequestReviewCommentEvent'"""),
-        "issues": lake.sql(f"""select owner, name as repo, k as number, cast(min(created_at) as string) as created_at, {person}, named_struct('login', {text}) as assignee,
-            named_struct('patch_url', {text}) as pull_request, cast(array() as array<struct<name:string>>) as labels from v_feed where type in ('IssuesEvent', 'IssueCommentEvent') group by owner, name, k"""),
-        "issue_comments": lake.sql(f"""select id + 1000000 as id, owner, name as repo, k as issue_id, {person}, cast(created_at as string) as created_at from v_feed where type = 'IssueCommentEvent'"""),
-        "users": lake.sql("select login, name, cast(null as string) as company, email, location, type, cast(created_at as string) as created_at from v_users"),
-        "repos": lake.sql("""select named_struct('login', owner) as owner, name, 'url' as url, 'd' as description, 'l' as language, cast(min(created_at) as string) as created_at,
-            named_struct('name', cast(null as string), 'owner', named_struct('login', cast(null as string))) as parent from v_feed group by owner, name"""),
-    }
-
-
-FEED_TABLES = ["followers", "watchers", "pull_requests", "issues", "pull_request_history", "issue_comments", "commit_comments", "pull_request_comments", "commits"]
-TABLES_SQL = """with u as (select id from w_users), r as (select k, k % 10 as owner, min(created_at) as created_at from v_feed group by 1, 2)
-select 'followers' as name, count(*) as n from (select distinct f.actor_id, f.k from v_feed f join u a on a.id = f.actor_id join u b on b.id = f.k where type = 'FollowEvent') x
-union all select 'watchers', count(*) from (select distinct f.actor_id, f.k from v_feed f join u on u.id = f.actor_id where type = 'WatchEvent') x
-union all select 'pull_requests', count(*) from (select k, id from v_feed where type = 'PullRequestEvent' union select k, k from v_feed where type = 'PullRequestReviewCommentEvent') x
-union all select 'issues', count(*) from (select k, id from v_feed where type = 'PullRequestEvent' union select k, k from v_feed where type in ('PullRequestReviewCommentEvent', 'IssuesEvent', 'IssueCommentEvent')) x
-union all select 'issue_comments', count(*) from v_feed where type = 'IssueCommentEvent'
-union all select 'commit_comments', count(*) from v_feed where type = 'CommitCommentEvent'
-union all select 'pull_request_comments', count(*) from v_feed where type = 'PullRequestReviewCommentEvent'
-union all select 'commits', count(*) from (select md5(cast(k as varchar)) as sha from v_feed where type = 'CommitCommentEvent' union select md5(cast(id as varchar) || '-1') from v_feed where type = 'PushEvent' and n_commits > 0) x
-union all select 'pull_request_history', sum(case action when 'merged' then 3 when 'closed' then 2 when 'opened' then 1 else 2 end)::bigint from v_feed f join u on u.id = f.actor_id where type = 'PullRequestEvent'"""
-
-
-@query("T5 T4 T7", TABLES_SQL)
-def stream_tables(lake: Lake) -> DataFrame:
-    """Tables maintained from an event stream: each batch gives a version; here the row counts at the end."""
-    store = TableSet(lake.spark, new_path(lake.spark, "tables"))
-    raw = feed_raw(lake)
-    stream = json_reader(lake.spark.readStream.option("maxFilesPerTrigger", 4), "events").json(lake.feed_files())
-    jobs.run_to_end(stream, jobs.tables_sink(store, lambda tables, events: apply_events(tables, events, raw, now(), FEED_SKIP), new_path(lake.spark, "rejects")), new_path(lake.spark, "checkpoint"))
-    tables = store.read_all()
-    return lookup.entity_counts({n: tables[n] for n in FEED_TABLES}).select(F.col("entity").alias("name"), F.col("items").alias("n"))
-
-
-@query("H1-H11 E1 E2 E8 E10 E16 E17 E18", TABLES_SQL)
-def applied_events(lake: Lake) -> DataFrame:
-    """The same feed in one batch."""
-    tables = apply_events(empty_tables(lake.spark), lake.feed(), feed_raw(lake), now(), FEED_SKIP)
-    return lookup.entity_counts({n: tables[n] for n in FEED_TABLES}).select(F.col("entity").alias("name"), F.col("items").alias("n"))
-
-
 @query("T6", HISTORY_SQL)
 def stream_histories(lake: Lake) -> DataFrame:
     """Tolerance fold over a stream whose batches interleave in time; equals the batch result."""
@@ -523,32 +448,3 @@ def stream_worker_states(lake: Lake) -> DataFrame:
     states = new_path(lake.spark, "states")
     last = jobs.run_to_end(stream_of(lake, path), jobs.worker_sink(states), new_path(lake.spark, "checkpoint"))
     return lake.spark.read.parquet(f"{states}/v{last:09d}").select(*STATE)
-
-
-# ---- composite refresh ---------------------------------------------------
-
-
-@query("E25", """select 'project_topics' as name, count(*) as n from (select distinct project_id, topic_name from w_topics) t
-union all select 'project_languages', count(*) from (select distinct source, lang from documents) d
-union all select 'pull_requests', count(*) from v_prs where substr(base, 2)::bigint < 20
-union all select 'issues', count(*) from v_prs where substr(base, 2)::bigint < 20
-union all select 'refreshed', count(*) from w_projects where id < 20""")
-def refreshed_repos(lake: Lake) -> DataFrame:
-    """All refresh stages for a work list of repositories at once: rows per table."""
-    users, projects = lake["w_users"], lake["w_projects"]
-    tables = {**empty_tables(lake.spark), "users": users, "projects": projects, "commits": lake["w_commits"]}
-    place = "'u' || cast(project_id as string) as owner, 'r' || cast(project_id as string) as repo"
-    per_language = lake.sql("select cast(substr(source, 4) as bigint) as project_id, lang, sum(n_chars) as n from documents group by 1, 2")
-    raw = {
-        "users": feed_raw(lake)["users"],
-        "topics": lake.sql(f"select {place}, array(topic_name) as names from w_topics"),
-        "languages": per_language.groupBy("project_id").agg(F.map_from_entries(F.collect_list(F.struct("lang", F.col("n").cast("string")))).alias("languages")).selectExpr(*place.split(", "), "languages"),
-        "pull_requests": lake.sql(f"""select 'u' || substr(p.owner_repo, 2) as owner, p.owner_repo as repo, p.*, cast(null as string) as merged_at, cast(null as string) as closed_at,
-            cast(o_orderdate as string) as created_at, named_struct('login', 'u' || o_custkey) as user, named_struct('login', cast(null as string)) as merged_by
-            from (select *, base.repo.name as owner_repo from ({RAW_PRS})) p join orders on o_orderkey = number"""),
-    }
-    worklist = projects.filter("id < 20").select(F.concat(F.lit("u"), F.col("owner_id").cast("string")).alias("owner"), F.col("name").alias("repo"))
-    result = refresh_repos(tables, raw, worklist, now(), skip=["commits", "issues", "issue_events", "issue_comments", "watchers", "repo_labels", "forks"])
-    names = ["project_topics", "project_languages", "pull_requests", "issues"]
-    counts = lookup.entity_counts({**{n: result[n] for n in names}, "refreshed": result["projects"].filter(secs("updated_at") == NOW_SECS)})
-    return counts.select(F.col("entity").alias("name"), F.col("items").alias("n"))

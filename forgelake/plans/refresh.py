@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Collection
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forgelake.functions.scalars import url_owner, url_repo
 from forgelake.operators import handlers, identity
 from forgelake.operators.builders import code, people, tracker
-from forgelake.operators.changes import union_all
+from forgelake.operators.changes import missing, touch, union_all
 from forgelake.operators.history import history_candidates
 from forgelake.operators.keys import append_with_ids
 from forgelake.operators.lookup import pr_lookup, project_keys
@@ -43,12 +45,21 @@ def mentioned_logins(staged: handlers.Staged) -> DataFrame:
     return union_all(parts).distinct()
 
 
+def head_repos(prs: DataFrame) -> DataFrame:
+    """(owner, name) of the repositories that pull requests come from."""
+    return prs.select(F.col("head.repo.owner.login").alias("owner"), F.col("head.repo.name").alias("name")).filter(
+        "owner is not null and name is not null"
+    )
+
+
 def mentioned_repos(staged: handlers.Staged) -> DataFrame:
-    """(owner, name) of repositories named by staged rows, forks among them."""
+    """(owner, name) of repositories named by staged rows, forks and the heads of pull requests among them."""
     names = ["commits", "watchers", "project_members", "forks", "issues", "issue_comments", "pull_request_comments", "commit_comments", "repos", "pull_requests"]
     parts = [staged[n].select("owner", F.col("repo").alias("name")) for n in names if n in staged]
     if "forks" in staged:
         parts.append(code.fork_rows(staged["forks"]).select("owner", "name"))
+    if "pull_requests" in staged:
+        parts.append(head_repos(staged["pull_requests"]))
     return union_all(parts).distinct()
 
 
@@ -69,7 +80,10 @@ def store_commits(tables: Tables, raw_commits: DataFrame, raw_users: DataFrame,
 
 
 # Raw collections that a batch of events draws on, beside those of the refresh of created repositories.
-EVENT_COLLECTIONS = ["users", "repos", "commits", "commit_lists", "commit_comments", "pull_requests", "pull_request_comments", "issues", "issue_events", "issue_comments", "repo_labels"]
+EVENT_COLLECTIONS = [
+    "users", "org_members", "repos", "commits", "commit_lists", "commit_comments", "pull_requests", "pull_request_comments",
+    "pull_commit_lists", "issues", "issue_events", "issue_comments", "repo_labels",
+]
 
 
 def check_collections(raw: dict[str, DataFrame], needed: list[str], skip: Collection[str]) -> None:
@@ -84,13 +98,52 @@ def picked(raw: Tables, name: str, keys: DataFrame) -> DataFrame | None:
     return raw[name].join(keys.distinct(), keys.columns, "left_semi") if name in raw else None
 
 
+PR_KEYS = ["owner", "repo", "number"]
+
+
+def of_pull_requests(raw: Tables, prs: DataFrame) -> Tables:
+    """Commit lists, review comments and discussion of the given pull requests (owner, repo, number)."""
+    keys = prs.select(*PR_KEYS)
+    found = {}
+    if "pull_commit_lists" in raw:
+        found["pull_commit_lists"] = picked(raw, "pull_commit_lists", keys)
+    if "pull_request_comments" in raw:
+        reviews = raw["pull_request_comments"].withColumn("number", tracker.review_number())
+        found["pull_request_comments"] = reviews.join(keys.distinct(), PR_KEYS, "left_semi").drop("number")
+    if "issue_comments" in raw:
+        found["issue_comments"] = picked(raw, "issue_comments", keys.withColumnRenamed("number", "issue_id"))
+    return found
+
+
+def shas_of_pull_requests(prs: DataFrame, children: Tables, projects: DataFrame, users: DataFrame) -> DataFrame:
+    """Shas of the commits that pull requests and their children point to; heads of unknown repositories don't count."""
+    known = project_keys(projects, users).select(F.col("owner").alias("head_owner"), F.col("repo").alias("head_name"))
+    heads = prs.select(F.col("head.sha").alias("sha"), F.col("head.repo.owner.login").alias("head_owner"), F.col("head.repo.name").alias("head_name"))
+    parts = [prs.select(F.col("base.sha").alias("sha")), heads.join(known, ["head_owner", "head_name"], "left_semi").select("sha")]
+    if "pull_commit_lists" in children:
+        parts.append(children["pull_commit_lists"].select("sha"))
+    if "pull_request_comments" in children:
+        parts.append(children["pull_request_comments"].select(F.col("original_commit_id").alias("sha")))
+    return union_all(parts).filter("sha is not null").distinct()
+
+
+def issues_before_pull_requests(staged: handlers.Staged) -> DataFrame:
+    """Numbers (owner, repo, number) that the batch's events name as an issue before any names them as a pull request."""
+    def first(names: list[str], column: str) -> DataFrame:
+        return union_all([staged[n].select(*PR_KEYS, "event_id") for n in names]).groupBy(*PR_KEYS).agg(F.min("event_id").alias(column))
+
+    issues, prs = first(["issues", "issue_comments"], "issue_id"), first(["pull_requests", "pull_request_comments"], "pr_id")
+    return issues.join(prs, PR_KEYS, "left").filter("pr_id is null or issue_id < pr_id").select(*PR_KEYS)
+
+
 def picked_records(raw: Tables, staged: handlers.Staged) -> Tables:
     """Staged records that the events of a batch call for, by collection.
 
-    A comment brings its pull request or issue, and an issue event all of the issue's
-    own events and comments.
+    A comment brings its pull request or issue, an issue event all of the issue's own
+    events and comments, a pull request event its commits, reviews and discussion.
     """
     comments, issues, reviews = staged["issue_comments"], staged["issues"], staged["pull_request_comments"]
+    children = of_pull_requests(raw, staged["pull_requests"])
     wanted_issues = issues.select("owner", "repo", "number").unionByName(comments.select("owner", "repo", "number"))
     of_issues = issues.select("owner", "repo", F.col("number").alias("issue_id"))
     found = {
@@ -104,6 +157,8 @@ def picked_records(raw: Tables, staged: handlers.Staged) -> Tables:
     if "issue_comments" in raw:
         single = picked(raw, "issue_comments", comments.select("owner", "repo", F.col("number").alias("issue_id"), F.col("comment_id").alias("id")))
         found["issue_comments"] = single.unionByName(picked(raw, "issue_comments", of_issues))
+    for name, rows in children.items():
+        found[name] = rows if found.get(name) is None else found[name].unionByName(rows)
     return {name: cut_lineage(rows, name) for name, rows in found.items() if rows is not None}
 
 
@@ -112,7 +167,7 @@ def people_of_records(records: Tables) -> list[DataFrame]:
     columns = {
         "commit_comments": ["user.login"], "pull_requests": ["user.login", "merged_by.login", "head.repo.owner.login"],
         "pull_request_comments": ["user.login"], "issues": ["user.login", "assignee.login"], "issue_events": ["actor.login"],
-        "issue_comments": ["user.login"],
+        "issue_comments": ["user.login"], "watchers": ["login"],
     }
     return [records[n].select(F.col(c).alias("login")) for n, cs in columns.items() if n in records for c in cs]
 
@@ -135,8 +190,14 @@ def apply_events(tables: Tables, events: DataFrame, raw: dict[str, DataFrame], n
     next_tables["users"] = users
     projects = code.next_projects(tables["projects"], repos.join(wanted, ["owner", "name"], "left_semi"), users, now)
     next_tables["projects"] = cut_lineage(code.next_forks(projects, staged["forks"], users, now), "projects")
+    staged_prs = staged["pull_requests"]
+    if "pull_requests" in records:
+        record_columns = [c for c in staged_prs.columns if c in records["pull_requests"].columns]
+        staged_prs = staged_prs.unionByName(records["pull_requests"].select(*record_columns), allowMissingColumns=True)
+    staged_prs = cut_lineage(staged_prs, "pull_requests")
     if "commits" in raw:
         shas = staged["commits"].select("sha").unionByName(staged["commit_comments"].select("sha"))
+        shas = shas.unionByName(shas_of_pull_requests(staged_prs, records, next_tables["projects"], users))
         if "commit_lists" in raw:
             older = handlers.older_commits(events, raw["commit_lists"], tables["commits"], tables["project_commits"], next_tables["projects"], users)
             shas = shas.unionByName(older.select("sha"))
@@ -149,11 +210,6 @@ def apply_events(tables: Tables, events: DataFrame, raw: dict[str, DataFrame], n
     if "commit_comments" in records:
         next_tables["commit_comments"] = tracker.next_commit_comments(tables["commit_comments"], records["commit_comments"], commits, users)
 
-    staged_prs = staged["pull_requests"]
-    if "pull_requests" in records:
-        record_columns = [c for c in staged_prs.columns if c in records["pull_requests"].columns]
-        staged_prs = staged_prs.unionByName(records["pull_requests"].select(*record_columns), allowMissingColumns=True)
-    staged_prs = cut_lineage(staged_prs, "pull_requests")
     prs = cut_lineage(tracker.next_pull_requests(tables["pull_requests"], staged_prs, projects, users, commits), "next_pull_requests")
     numbers = pr_lookup(prs, projects, users)
     named = cut_lineage(staged_prs.join(numbers, ["owner", "repo", "number"]), "named_pull_requests")
@@ -161,7 +217,11 @@ def apply_events(tables: Tables, events: DataFrame, raw: dict[str, DataFrame], n
         F.col("number").alias("pullreq_id"), "base_repo_id"
     ).agg(F.min(tracker.stamp("created_at")).alias("created_at"))
     next_tables["pull_requests"] = prs
-    next_tables["issues"] = cut_lineage(tracker.next_shadow_issues(tables["issues"], prs, dates), "issues")
+    issues = tables["issues"]
+    if "issues" in records:
+        early = records["issues"].join(issues_before_pull_requests(staged), PR_KEYS, "left_semi")
+        issues = cut_lineage(tracker.next_issues(issues, early, projects, users, prs), "issues")
+    next_tables["issues"] = cut_lineage(tracker.next_shadow_issues(issues, prs, dates), "issues")
     reported = named.filter("event_id is not null").select(
         "pull_request_id", F.col("event_action").alias("action"), F.col("event_actor").alias("actor"),
         F.col("event_ts").alias("created_at"), F.col("event_id").alias("id"),
@@ -169,16 +229,50 @@ def apply_events(tables: Tables, events: DataFrame, raw: dict[str, DataFrame], n
     next_tables["pull_request_history"] = tracker.next_history(
         tables["pull_request_history"], cut_lineage(history_candidates(named, reported), "candidates"), users
     )
-    if "pull_request_comments" in records:
-        next_tables["pull_request_comments"] = tracker.next_pull_request_comments(
-            tables["pull_request_comments"], records["pull_request_comments"], prs, projects, users, commits
-        )
     if "issues" in records:
-        next_tables |= store_issues(next_tables, records)
+        next_tables |= store_issues(next_tables, {n: rows for n, rows in records.items() if n != "issue_comments"})
+    next_tables |= store_children(next_tables, records)
+    next_tables = expand_organizations(next_tables, tables["users"], raw, now)
     created = cut_lineage(staged["repos"].select("owner", "repo").distinct(), "created_repos")
     return next_tables if created.isEmpty() else refresh_repos(next_tables, raw, created, now, skip=skip)
 
 
+def store_children(tables: Tables, records: Tables) -> Tables:
+    """Commits and review comments of pull requests, and comments of issues and pull requests, as far as staged."""
+    projects, users, prs, commits = (tables[n] for n in ("projects", "users", "pull_requests", "commits"))
+    result = {}
+    if "pull_commit_lists" in records:
+        rows = tracker.pull_request_commit_rows(records["pull_commit_lists"], prs, projects, users, commits)
+        result["pull_request_commits"] = tracker.next_pull_request_commits(tables["pull_request_commits"], rows)
+    if "pull_request_comments" in records:
+        result["pull_request_comments"] = tracker.next_pull_request_comments(
+            tables["pull_request_comments"], records["pull_request_comments"], prs, projects, users, commits
+        )
+    if "issue_comments" in records:
+        result["issue_comments"] = tracker.next_issue_comments(tables["issue_comments"], records["issue_comments"], tables["issues"], projects, users)
+    return result
+
+
+def expand_organizations(tables: Tables, before: DataFrame, raw: Tables, now: Column) -> Tables:
+    """Members of the organizations that are in the users table but weren't in `before`.
+
+    Members are accounts too; one that is a new organization is expanded in the next
+    round, so the last round finds none. Nothing happens where no members are staged.
+    """
+    if "org_members" not in raw:
+        return tables
+    users, members, seen = tables["users"], tables["organization_members"], before
+    while True:
+        fresh = missing(users.filter("type = 'ORG'").select("login"), seen, ["login"])
+        listed = raw["org_members"].join(fresh.withColumnRenamed("login", "org"), "org", "left_semi")
+        listed = cut_lineage(listed.select("org", "login"), "org_members")
+        if listed.isEmpty():
+            return {**tables, "users": users, "organization_members": members}
+        seen = users
+        users = cut_lineage(ensure_users(users, listed, raw["users"], now), "users")
+        members = cut_lineage(people.next_organization_members(members, listed, users), "organization_members")
+
+
 def store_issues(tables: Tables, records: Tables) -> Tables:
     """Issues with their events, assignees, comments and labels, as far as their records are staged."""
     projects, users = tables["projects"], tables["users"]
@@ -233,33 +327,28 @@ def pull_requests_stage(tables: Tables, raw: dict[str, DataFrame], repos: DataFr
     rows = staged_for(raw, "pull_requests", repos)
     if rows is None:
         return tables
+    children = {n: cut_lineage(found, n) for n, found in of_pull_requests(raw, rows).items()}
+    if "commits" in raw:
+        shas = shas_of_pull_requests(rows, children, tables["projects"], tables["users"])
+        tables = store_commits(tables, raw["commits"].join(shas, "sha", "left_semi"), raw["users"], now)
     projects, users = tables["projects"], tables["users"]
-    prs = tracker.next_pull_requests(tables["pull_requests"], rows, projects, users, tables["commits"])
+    prs = cut_lineage(tracker.next_pull_requests(tables["pull_requests"], rows, projects, users, tables["commits"]), "next_pull_requests")
     named = cut_lineage(rows.join(pr_lookup(prs, projects, users), ["owner", "repo", "number"]), "named_pull_requests")
     dates = named.join(project_keys(projects, users).select("owner", "repo", F.col("project_id").alias("base_repo_id")), ["owner", "repo"]).select(
         F.col("number").alias("pullreq_id"), "base_repo_id", tracker.stamp("created_at").alias("created_at")
     ).groupBy("pullreq_id", "base_repo_id").agg(F.min("created_at").alias("created_at"))
     history = tracker.next_history(tables["pull_request_history"], cut_lineage(history_candidates(named), "candidates"), users)
-    return {
-        **tables, "pull_requests": prs, "pull_request_history": history,
-        "issues": tracker.next_shadow_issues(tables["issues"], prs, dates),
-    }
+    issues = cut_lineage(tracker.next_shadow_issues(tables["issues"], prs, dates), "issues")
+    tables = {**tables, "pull_requests": prs, "pull_request_history": history, "issues": issues}
+    return tables | store_children(tables, children)
 
 
 def issues_stage(tables: Tables, raw: dict[str, DataFrame], repos: DataFrame, now: Column) -> Tables:
     rows = staged_for(raw, "issues", repos)
     if rows is None:
         return tables
-    issues = tracker.next_issues(tables["issues"], rows, tables["projects"], tables["users"], tables["pull_requests"])
-    result = {**tables, "issues": issues}
-    events = staged_for(raw, "issue_events", repos)
-    if events is not None:
-        result["issue_events"] = tracker.next_issue_events(tables["issue_events"], events, issues, tables["projects"], tables["users"])
-        result["issues"] = tracker.with_assignees(issues, result["issue_events"])
-    comments = staged_for(raw, "issue_comments", repos)
-    if comments is not None:
-        result["issue_comments"] = tracker.next_issue_comments(tables["issue_comments"], comments, issues, tables["projects"], tables["users"])
-    return result
+    records = {"issues": rows} | {n: staged_for(raw, n, repos) for n in ("issue_events", "issue_comments", "repo_labels") if n in raw}
+    return tables | store_issues(tables, records)
 
 
 def watchers_stage(tables: Tables, raw: dict[str, DataFrame], repos: DataFrame, now: Column) -> Tables:
@@ -309,14 +398,56 @@ STAGE_COLLECTIONS: dict[str, list[str]] = {
     "commits": ["commits", "users"],
     "topics": ["topics"],
     "languages": ["languages"],
-    "pull_requests": ["pull_requests"],
-    "issues": ["issues", "issue_events", "issue_comments"],
+    "pull_requests": ["pull_requests", "pull_commit_lists", "pull_request_comments", "issue_comments"],
+    "issues": ["issues", "issue_events", "issue_comments", "repo_labels"],
     "watchers": ["watchers"],
     "labels": ["repo_labels", "issues"],
     "forks": ["forks"],
 }
 
 
+def prepare_refresh(tables: Tables, raw: dict[str, DataFrame], repos: DataFrame, now: Column) -> Tables:
+    """Accounts and projects that the staged records of the listed repositories need, the repositories themselves first."""
+    if "users" not in raw:
+        return tables
+    names = ["pull_requests", "pull_request_comments", "issues", "issue_events", "issue_comments", "watchers"]
+    staged = {n: raw[n].join(repos, ["owner", "repo"], "left_semi") for n in names if n in raw}
+    wanted = repos.select("owner", F.col("repo").alias("name"))
+    if "pull_requests" in staged:
+        wanted = wanted.unionByName(head_repos(staged["pull_requests"]))
+    logins = people_of_records(staged)
+    if "forks" in raw:
+        logins.append(code.fork_rows(raw["forks"].join(repos, ["owner", "repo"], "left_semi")).select(F.col("owner").alias("login")))
+    known = code.repo_rows(raw["repos"]) if "repos" in raw else None
+    wanted = cut_lineage(wanted.distinct() if known is None else code.with_parents(wanted, known), "wanted_repos")
+    users = cut_lineage(ensure_users(tables["users"], union_all([wanted.select(F.col("owner").alias("login")), *logins]), raw["users"], now), "users")
+    tables = {**tables, "users": users}
+    if known is None:
+        return tables
+    return {**tables, "projects": cut_lineage(code.next_projects(tables["projects"], known.join(wanted, ["owner", "name"], "left_semi"), users, now), "projects")}
+
+
+def refreshed_now(projects: DataFrame, users: DataFrame, repos: DataFrame, now: Column) -> DataFrame:
+    """The projects with the refresh date of the listed repositories set."""
+    done = project_keys(projects, users).join(repos, ["owner", "repo"], "left_semi")
+    return touch(projects, done.select(F.col("project_id").alias("id")), ["id"], now)
+
+
+def open_worklist(worklist: DataFrame, quarantined: DataFrame | None) -> DataFrame:
+    """(owner, repo) to refresh, without the quarantined."""
+    repos = worklist.select("owner", "repo").distinct()
+    return cut_lineage(repos if quarantined is None else repos.join(quarantined, ["owner", "repo"], "left_anti"), "worklist")
+
+
+def check_stages(raw: dict[str, DataFrame], only_stage: str | None, skip: Collection[str]) -> list[str]:
+    """Names of the stages to run, whose collections are staged or to be skipped."""
+    if only_stage is not None and only_stage not in STAGES:
+        raise ValueError(f"not a stage: {only_stage}")
+    names = [n for n in STAGES if only_stage in (None, n)]
+    check_collections(raw, [c for n in names for c in STAGE_COLLECTIONS[n]], skip)
+    return names
+
+
 def refresh_repos(
     tables: Tables, raw: dict[str, DataFrame], worklist: DataFrame, now: Column, only_stage: str | None = None,
     quarantined: DataFrame | None = None, skip: Collection[str] = (),
@@ -327,22 +458,68 @@ def refresh_repos(
     are left out. A single stage leaves the refresh date alone. A collection that is
     not staged is an error, unless `skip` names it.
     """
-    if only_stage is not None and only_stage not in STAGES:
-        raise ValueError(f"not a stage: {only_stage}")
-    check_collections(raw, [c for n, cs in STAGE_COLLECTIONS.items() if only_stage in (None, n) for c in cs], skip)
-    repos = worklist.select("owner", "repo").distinct()
-    if quarantined is not None:
-        repos = repos.join(quarantined, ["owner", "repo"], "left_anti")
-    repos = cut_lineage(repos, "worklist")
-    for name, stage in STAGES.items():
-        if only_stage in (None, name):
-            tables = stage(tables, raw, repos, now)
+    names = check_stages(raw, only_stage, skip)
+    repos = open_worklist(worklist, quarantined)
+    before = tables["users"]
+    tables = prepare_refresh(tables, raw, repos, now)
+    for name in names:
+        tables = STAGES[name](tables, raw, repos, now)
+    tables = expand_organizations(tables, before, raw, now)
     if only_stage is None:
-        done = project_keys(tables["projects"], tables["users"]).join(repos, ["owner", "repo"], "left_semi")
-        marks = done.select(F.col("project_id").alias("id"), F.lit(True).alias("is_done"))
-        projects = tables["projects"].join(marks, "id", "left")
-        tables = {**tables, "projects": projects.select(*[
-            F.when(F.col("is_done"), now).otherwise(F.col(c)).alias(c) if c == "updated_at" else F.col(f"`{c}`")
-            for c in tables["projects"].columns
-        ])}
+        tables = {**tables, "projects": refreshed_now(tables["projects"], tables["users"], repos, now)}
     return tables
+
+
+REPORT = "owner string, repo string, stage string, outcome string, staged_rows bigint, seconds double"
+
+
+def reported_refresh(
+    tables: Tables, raw: dict[str, DataFrame], worklist: DataFrame, now: Column, only_stage: str | None = None,
+    quarantined: DataFrame | None = None, skip: Collection[str] = (),
+) -> tuple[Tables, DataFrame]:
+    """The refresh, stage by stage, and a report with one row per repository and stage.
+
+    A stage's changed tables are written before the next one starts, so its time is its
+    own; the time is the stage's, for all repositories together. Only an error ends the
+    refresh: the failed stage is reported with its reason, those behind it have no row, the
+    tables are those before it and the refresh date stays. A repository that is in no table
+    after the preparation is skipped: its owner or itself is unknown.
+    """
+    names = check_stages(raw, only_stage, skip)
+    repos = open_worklist(worklist, quarantined)
+    spark = repos.sparkSession
+    before = tables["users"]
+    tables = prepare_refresh(tables, raw, repos, now)
+    keys = project_keys(tables["projects"], tables["users"]).select("owner", "repo")
+    unknown = repos.join(keys, ["owner", "repo"], "left_anti").selectExpr("owner", "repo", "cast(null as string) as stage", "'unknown' as outcome", "0L as staged_rows", "0D as seconds")
+    repos = cut_lineage(repos.join(keys, ["owner", "repo"], "left_semi"), "worklist")
+    rows = [unknown]
+    failed = False
+    for name in names:
+        started = time.monotonic()
+        try:
+            after = STAGES[name](tables, raw, repos, now)
+            tables = {n: t if t is tables.get(n) else cut_lineage(t, n) for n, t in after.items()}
+            outcome = "done"
+        except PySparkException as problem:
+            outcome, failed = f"error: {str(problem).splitlines()[0]}", True
+        seconds = time.monotonic() - started
+        staged = [rows_of_stage(raw, c, repos) for c in STAGE_COLLECTIONS[name] if c in raw and c != "users"]
+        counts = union_all([repos.select("owner", "repo", F.lit(0).alias("one")), *staged]).groupBy("owner", "repo").agg(F.sum("one").alias("staged_rows"))
+        rows.append(counts.select("owner", "repo", F.lit(name).alias("stage"), F.lit(outcome).alias("outcome"), "staged_rows", F.lit(seconds).alias("seconds")))
+        if failed:
+            break
+    report = cut_lineage(spark.createDataFrame([], REPORT).unionByName(union_all(rows)), "report")
+    if not failed:
+        tables = expand_organizations(tables, before, raw, now)
+        if only_stage is None:
+            tables = {**tables, "projects": refreshed_now(tables["projects"], tables["users"], repos, now)}
+    return tables, report
+
+
+def rows_of_stage(raw: dict[str, DataFrame], collection: str, repos: DataFrame) -> DataFrame:
+    """One row (owner, repo, one) per staged record of the listed repositories."""
+    rows = raw[collection]
+    if collection == "commits":
+        rows = rows.select(url_owner(F.col("url")).alias("owner"), url_repo(F.col("url")).alias("repo"))
+    return rows.select("owner", "repo", F.lit(1).alias("one")).join(repos, ["owner", "repo"], "left_semi")

@@ -129,6 +129,11 @@ FOREIGN_KEYS: list[tuple[str, str, str]] = [
     ("watchers", "user_id", "users"),
 ]
 
+# Tables that jobs keep beside the relational model, in the same versions.
+JOB_TABLES: dict[str, str] = {
+    "replay_marks": "owner string, repo string, event_id bigint",
+}
+
 # Order in which the tables are read and written.
 TABLE_ORDER: list[str] = [
     "users", "followers", "organization_members", "projects", "project_members", "commits",
@@ -237,6 +242,7 @@ RAW: dict[str, str] = {
         "commits array<struct<sha:string,commit:struct<author:struct<date:string>>,parents:array<struct<sha:string>>>>"
     ),
     "languages": "owner string, repo string, languages map<string,string>",
+    "pull_commit_lists": "owner string, repo string, number bigint, sha string, url string",
 }
 
 # Event types that have a handler.
@@ -252,7 +258,7 @@ def struct_of(ddl: str) -> StructType:
 
 
 def table_schema(name: str) -> StructType:
-    return struct_of(TABLES[name])
+    return struct_of(TABLES[name] if name in TABLES else JOB_TABLES[name])
 
 
 def raw_schema(name: str) -> StructType:

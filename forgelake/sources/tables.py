@@ -16,8 +16,8 @@ def empty_table(spark: SparkSession, name: str) -> DataFrame:
 
 
 def empty_tables(spark: SparkSession) -> dict[str, DataFrame]:
-    """All tables, empty, in reference order."""
-    return {name: empty_table(spark, name) for name in schemas.TABLE_ORDER}
+    """All tables, empty, in reference order; then those of the jobs."""
+    return {name: empty_table(spark, name) for name in [*schemas.TABLE_ORDER, *schemas.JOB_TABLES]}
 
 
 class TableSet:
@@ -59,9 +59,13 @@ class TableSet:
         return {
             name: self.spark.read.schema(schemas.table_schema(name)).parquet(self._path(name, places[name]))
             if name in places else empty_table(self.spark, name)
-            for name in schemas.TABLE_ORDER
+            for name in [*schemas.TABLE_ORDER, *schemas.JOB_TABLES]
         }
 
+    def write_job(self, tables: dict[str, DataFrame], base: dict[str, DataFrame]) -> bool:
+        """Write a version that belongs to no stream batch; its negative batch id follows from the version."""
+        return self.write_all(tables, -(self.current() + 1), base)
+
     def write_all(self, tables: dict[str, DataFrame], batch_id: int, base: dict[str, DataFrame] | None = None) -> bool:
         """Write a version; false when the batch is already in.
 
@@ -71,7 +75,7 @@ class TableSet:
             return False
         previous, places = self.newest()
         version = previous + 1
-        for name in schemas.TABLE_ORDER:
+        for name in [*schemas.TABLE_ORDER, *schemas.JOB_TABLES]:
             if name not in tables or (base is not None and tables[name] is base.get(name)):
                 continue
             df = tables[name]
