@@ -133,7 +133,7 @@ union all select 'issues', i.repo || '|' || cast(i.number as varchar) || '|' ||
 union all select 'issue_labels', repo || ':bug|' || repo || '!' || cast(number as varchar) from own_issues
 union all select 'issue_comments', repo || '!' || cast(number as varchar) || '|' || owner || '|' || cast(comment_id as varchar) || '|' || {EPOCH('created_at')} from comments
 union all select 'issue_events', cast(id + 3000000 as varchar) || '|' || repo || '!' || cast(k as varchar) || '|' || actor || '|' || case id % 4 when 0 then 'assigned' when 1 then 'closed' when 2 then 'referenced' else 'labeled' end || '|'
-   || case when id % 4 = 2 then md5(cast(k as varchar)) else '-' end || '|' || {EPOCH('created_at')} from v_feed where type = 'IssuesEvent' and (repo in (select repo from created) or (repo, k) in (select (repo, k) from f where type = 'IssuesEvent'))
+   || case when id % 4 in (1, 2) then md5(cast(k as varchar)) else '-' end || '|' || {EPOCH('created_at')} from v_feed where type = 'IssuesEvent' and (repo in (select repo from created) or (repo, k) in (select (repo, k) from f where type = 'IssuesEvent'))
 union all select 'project_languages', repo || '|ruby|' || cast(k * 10 as varchar) from created
 union all select 'project_topics', repo || '|x|false' from created
 union all select 'project_topics', repo || '|t' || cast(k % 5 as varchar) || '|false' from created"""

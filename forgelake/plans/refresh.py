@@ -180,6 +180,8 @@ def apply_events(tables: Tables, events: DataFrame, raw: dict[str, DataFrame], n
     what hangs on it is then left out.
     """
     check_collections(raw, [*EVENT_COLLECTIONS, *(c for cs in STAGE_COLLECTIONS.values() for c in cs)], skip)
+    # Every handler and many lookups start from the events, so they are parsed once.
+    events = cut_lineage(events.filter(F.col("type").isin(list(handlers.HANDLERS))), "events")
     staged = handlers.stage_events(events)
     records = picked_records(raw, staged)
     next_tables = dict(tables)
