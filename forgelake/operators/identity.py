@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from forgelake.functions.scalars import blank_to_null, forge_ts, user_type
 from forgelake.operators.changes import fill_null, missing, one_per_key, union_all
 from forgelake.operators.keys import append_with_ids
-from forgelake.operators.lookup import users_by_email
+from forgelake.operators.lookup import left_join_known, users_by_email
 from forgelake.session import cut_lineage
 
 WEB_LOGIN = "web-flow"  # Fixed value: account of commits made on the web site
@@ -58,11 +58,10 @@ def classify(identities: DataFrame, users: DataFrame, accounts: DataFrame) -> Da
     has_account = accounts.select("login", F.lit(True).alias("has_account"))
     rows = users_by_email(users).select("email", F.col("login").alias("row_login"))
     hits = accounts.filter("email is not null").groupBy("email").agg(F.min("login").alias("hit_login"))
-    joined = (
-        distinct_identities(identities)
-        .join(in_table, "login", "left").join(has_account, "login", "left")
-        .join(rows, "email", "left").join(hits, "email", "left")
-    )
+    # Most commits of some hosts name no login, and many no e-mail.
+    joined = distinct_identities(identities)
+    for side, key in ((in_table, "login"), (has_account, "login"), (rows, "email"), (hits, "email")):
+        joined = left_join_known(joined, side, key)
     known = F.coalesce("in_table", F.lit(False))
     exists = F.coalesce("has_account", F.lit(False))
     named = F.col("login").isNotNull()

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import re
-
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import IllegalArgumentException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,18 +23,24 @@ def find(df: DataFrame, query: dict[str, object]) -> DataFrame:
     return df
 
 
-def regex_filter(df: DataFrame, filters: list[str]) -> DataFrame:
-    """Rows that match every `path=regexp`; a bad filter is refused before anything runs."""
+def regex_filter(df: DataFrame, filters: list[str], whole_pattern: bool = True) -> DataFrame:
+    """Rows that match every `path=regexp`; a bad filter is refused before anything runs.
+
+    The path ends at the first `=`; the pattern may hold more of them, unless `whole_pattern`
+    is off: then it ends at the next one. Patterns are compiled by the engine that runs them.
+    """
+    compiler = df.sparkSession._jvm.java.util.regex.Pattern
     parsed = []
     for text in filters:
-        pieces = text.split("=")
-        if len(pieces) < 2 or not pieces[0] or not pieces[1]:
+        dotted, found, pattern = text.partition("=")
+        pattern = pattern if whole_pattern else pattern.split("=")[0]
+        if not found or not dotted or not pattern:
             raise ValueError(f"not a valid filter: {text}")
         try:
-            re.compile(pieces[1])
-        except re.error as problem:
+            compiler.compile(pattern)
+        except (IllegalArgumentException, Py4JJavaError) as problem:
             raise ValueError(f"not a valid filter: {text}") from problem
-        parsed.append((pieces[0], pieces[1]))
+        parsed.append((dotted, pattern))
     for dotted, pattern in parsed:
         df = df.filter(F.col(dotted).cast("string").rlike(pattern))
     return df
@@ -184,14 +190,43 @@ def fake_candidates(users: DataFrame, tables: dict[str, DataFrame]) -> DataFrame
     return shaped.join(roles_in_use(tables), "id", "left_anti")
 
 
-def commits_before(project_commits: DataFrame, commits: DataFrame, forks: DataFrame) -> DataFrame:
+COMMIT_BUCKET_SECONDS = 30 * 86_400
+BUCKET_SHARE = 100_000  # commits of one bucket that go to one task
+
+
+def commits_before(
+    project_commits: DataFrame, commits: DataFrame, forks: DataFrame, width: int = COMMIT_BUCKET_SECONDS, share: int = BUCKET_SHARE
+) -> DataFrame:
     """Commits of the parent created strictly before the fork commit, per fork.
 
-    `forks` has fork_id, parent_id and fork_ts, one row per fork.
+    `forks` has fork_id, parent_id and fork_ts, one row per fork. A range join by time buckets:
+    a fork asks for its parent's buckets up to its own date, whole ones by equality alone, and
+    only in the last one dates are compared; later buckets are never touched. Large buckets
+    are dealt over shares, so a parent with very many commits and forks is many tasks.
+    """
+    bucket = lambda c: F.floor(F.unix_seconds(F.col(c).cast("timestamp")) / F.lit(width))
+    sides = forks.filter("fork_ts is not null").select("fork_id", F.col("parent_id").alias("project_id"), "fork_ts", bucket("fork_ts").alias("last"))
+    asked = project_commits.select("project_id", "commit_id").join(sides.select("project_id").distinct(), "project_id", "left_semi")
+    dated = asked.join(commits.select(F.col("id").alias("commit_id"), "created_at"), "commit_id").withColumn("bucket", bucket("created_at"))
+    sizes = dated.filter("bucket is not null").groupBy("project_id", "bucket").agg(F.ceil(F.count("*") / F.lit(share)).alias("shares"))
+    wanted = sides.join(sizes, "project_id").filter("bucket <= last").select(
+        "fork_id", "project_id", "fork_ts", "bucket", (F.col("bucket") < F.col("last")).alias("whole"),
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("shares") - 1)).alias("share"),
+    )
+    dealt = dated.join(sizes, ["project_id", "bucket"]).withColumn("share", F.pmod(F.xxhash64("commit_id"), F.col("shares")))
+    met = dealt.join(wanted, ["project_id", "bucket", "share"]).filter("whole or created_at < fork_ts")
+    return met.select(F.col("fork_id").alias("project_id"), "commit_id")
+
+
+def left_join_known(df: DataFrame, side: DataFrame, key: str) -> DataFrame:
+    """A left join on a text key that is often null: null keys are dealt over keys that match nothing.
+
+    A plain left join sends all rows with a null key to one task. `side` has one row per key.
     """
-    dated = project_commits.join(commits.select(F.col("id").alias("commit_id"), "created_at"), "commit_id")
-    sides = forks.select("fork_id", F.col("parent_id").alias("project_id"), "fork_ts")
-    return dated.join(sides, "project_id").filter("created_at < fork_ts").select(F.col("fork_id").alias("project_id"), "commit_id")
+    others = [F.col(f"`{c}`") for c in df.columns if c != key]
+    dealt = F.coalesce(F.col(key), F.concat(F.lit("\0"), F.xxhash64(*others).cast("string")))
+    joined = df.withColumn("dealt_key", dealt).join(side.withColumnRenamed(key, "dealt_key"), "dealt_key", "left")
+    return joined.select(*df.columns, *[c for c in side.columns if c != key])
 
 
 def events_by_id(ids: DataFrame, events: DataFrame) -> DataFrame:

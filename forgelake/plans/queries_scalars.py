@@ -230,7 +230,7 @@ def found_by_paths(lake: Lake) -> DataFrame:
 
 @query("P2", "select id, type, repo from v_feed where regexp_matches(type, '^(Push|Pull)') and regexp_matches(repo, 'u[1-4]/r.*7')")
 def matched_by_regex(lake: Lake) -> DataFrame:
-    hits = lookup.regex_filter(feed(lake), ["type=^(Push|Pull)", "repo.name=u[1-4]/r.*7=ignored"])
+    hits = lookup.regex_filter(feed(lake), ["type=^(Push|Pull)", "repo.name=u[1-4]/r.*7=ignored"], whole_pattern=False)
     return hits.select(F.col("id").try_cast("bigint").alias("id"), "type", F.col("repo.name").alias("repo"))
 
 

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import json
+import uuid
+
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forgelake import schemas
 
-COMMIT_SCHEMA = "version bigint, batch_id bigint, places map<string,bigint>"
+COMMIT_SCHEMA = "version bigint, batch_id bigint, places map<string,string>"
 
 
 def empty_table(spark: SparkSession, name: str) -> DataFrame:
@@ -27,6 +31,12 @@ class TableSet:
     version and where each of its tables lies comes last. A reader never sees half
     a version, unchanged tables are not rewritten, and a batch that is repeated
     after a failure is recognised by its id.
+
+    There may be one writer at a time. Each one writes its tables to places of its own and
+    creates the commit entry of its version, which must not exist; of two writers that race
+    for a version the second gets an error and has changed nothing. (The file system must
+    refuse to create an existing file, as HDFS and local disks do. A writer that dies while it
+    writes the entry leaves an empty one, which blocks that version until it is removed.)
     """
 
     def __init__(self, spark: SparkSession, root: str) -> None:
@@ -39,7 +49,7 @@ class TableSet:
         except AnalysisException:
             return self.spark.createDataFrame([], COMMIT_SCHEMA)
 
-    def newest(self) -> tuple[int, dict[str, int]]:
+    def newest(self) -> tuple[int, dict[str, str]]:
         """The newest complete version and the place of each of its tables; 0 when there is none."""
         row = self._commits().agg(F.max_by(F.struct("version", "places"), "version").alias("c")).first()["c"]
         return (row["version"], dict(row["places"])) if row else (0, {})
@@ -50,8 +60,21 @@ class TableSet:
     def has_batch(self, batch_id: int) -> bool:
         return not self._commits().filter(F.col("batch_id") == batch_id).isEmpty()
 
-    def _path(self, name: str, version: int) -> str:
-        return f"{self.root}/{name}/v{version:09d}"
+    def _path(self, name: str, place: str) -> str:
+        return f"{self.root}/{name}/{place}"
+
+    def _claim(self, version: int, entry: str) -> None:
+        """Create the commit entry of a version; an error when there is one."""
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/commits/v{version:09d}.json")
+        files = place.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        try:
+            out = files.create(place, False)
+        except (PySparkException, Py4JJavaError) as problem:
+            raise RuntimeError(f"version {version} of {self.root} was written by another writer") from problem
+        try:
+            out.write(bytearray(entry.encode()))
+        finally:
+            out.close()
 
     def read_all(self) -> dict[str, DataFrame]:
         """All tables of the newest version; empty where it has none."""
@@ -75,6 +98,7 @@ class TableSet:
             return False
         previous, places = self.newest()
         version = previous + 1
+        own = f"v{version:09d}-{uuid.uuid4().hex[:8]}"
         for name in [*schemas.TABLE_ORDER, *schemas.JOB_TABLES]:
             if name not in tables or (base is not None and tables[name] is base.get(name)):
                 continue
@@ -83,12 +107,7 @@ class TableSet:
                 (F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
                 for f in schemas.table_schema(name).fields
             ])
-            shaped.write.mode("overwrite").parquet(self._path(name, version))
-            places[name] = version
-        entries = [e for name, place in sorted(places.items()) for e in (F.lit(name), F.lit(place).cast("bigint"))]
-        row = self.spark.range(1).select(
-            F.lit(version).cast("bigint").alias("version"), F.lit(batch_id).cast("bigint").alias("batch_id"),
-            F.create_map(*entries).alias("places"),
-        )
-        row.write.mode("append").json(f"{self.root}/commits")
+            shaped.write.parquet(self._path(name, own))
+            places[name] = own
+        self._claim(version, json.dumps({"version": version, "batch_id": batch_id, "places": places}) + "\n")
         return True

@@ -25,19 +25,6 @@ def dedup_stream(events: DataFrame, delay: str, ts: str = "created_at", key: str
     return events.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
 
 
-def dup_ratio_stream(events: DataFrame, delay: str, ts: str = "created_at", key: str = "id", width: str = "1 minute") -> DataFrame:
-    """New and duplicate sightings per time unit on a stream, for output mode append.
-
-    The first aggregation counts sightings per (unit, id); the second sums them
-    per unit, so that a repeated id is one row there.
-    """
-    sightings = events.withWatermark(ts, delay).groupBy(F.window(ts, width), key).agg(F.count("*").alias("n"))
-    totals = sightings.groupBy(F.window(F.window_time("window"), width)).agg(
-        F.count("*").alias("new_events"), F.sum(F.col("n") - 1).alias("duplicate_events")
-    )
-    return totals.select(F.col("window.start").alias("bucket"), "new_events", "duplicate_events")
-
-
 def route(events: DataFrame, projects_only: bool = False, requeue: list[str] = REQUEUED) -> DataFrame:
     """route_key and message of each event: by type, or project names plus the requeued types."""
     by_type = events.select(route_key(F.col("type")).alias("route_key"), F.col("id").cast("string").alias("message"))
@@ -127,15 +114,43 @@ def routes_sink(path: str, projects_only: bool = False) -> Callable[[DataFrame,
     return write
 
 
-def exact_dedup_sink(path: str, key: str = "id") -> Callable[[DataFrame, int], None]:
-    """foreachBatch: store events whose key no earlier batch stored, however late they come."""
+# Ids per folder of the store: event ids grow with time, so a batch meets few folders.
+ID_RANGE = 1_000_000
+MOST_RANGES = 1_000
+
+
+def id_range(key: str, width: int = ID_RANGE) -> Column:
+    """Folder of an id: its million; ids that are no numbers are dealt by hash below zero."""
+    number = F.col(key).try_cast("bigint")
+    return F.coalesce(F.floor(number / F.lit(width)), -1 - F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(64)))
+
+
+def stored_near(spark: SparkSession, path: str, batch: DataFrame, batch_id: int, key: str, width: int) -> DataFrame:
+    """Keys that earlier batches stored, of the folders that a batch touches only.
+
+    The touched folders, at most MOST_RANGES numbers, become a partition filter; a batch that is
+    spread wider reads the whole store.
+    """
+    like = batch.select(key).withColumns({"batch_id": F.lit(0), "id_range": F.lit(0).cast("bigint")})
+    earlier = read_or_empty(spark, path, like).filter(F.col("batch_id") < batch_id)
+    touched = [r["r"] for r in batch.select(id_range(key, width).alias("r")).distinct().limit(MOST_RANGES + 1).collect()]
+    return earlier.filter(F.col("id_range").isin(touched)) if len(touched) <= MOST_RANGES else earlier
+
+
+def exact_dedup_sink(path: str, key: str = "id", width: int = ID_RANGE) -> Callable[[DataFrame, int], None]:
+    """foreachBatch: store events whose key no earlier batch stored, however late they come.
+
+    The store is partitioned by batch and by range of ids. A batch is joined only with the
+    folders its ids fall into, so its cost follows the batch and not the store: new events have
+    new ids, and late copies reach back into few folders.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         previous_batch(batch.sparkSession, path, "batch_id=", batch_id)
-        stored = read_or_empty(batch.sparkSession, path, batch)
-        earlier = stored.filter(F.col("batch_id") < batch_id) if "batch_id" in stored.columns else stored
-        fresh = batch.dropDuplicates([key]).join(earlier.select(key), key, "left_anti").select(*batch.columns)
-        append_batch(path, batch_id, cut_lineage(fresh))
+        batch = cut_lineage(batch, "batch")
+        earlier = stored_near(batch.sparkSession, path, batch, batch_id, key, width)
+        fresh = batch.dropDuplicates([key]).join(earlier.select(key), key, "left_anti").select(*batch.columns, id_range(key, width).alias("id_range"))
+        cut_lineage(fresh).repartition("id_range").write.mode("overwrite").partitionBy("id_range").parquet(f"{path}/batch_id={batch_id}")
 
     return write
 
