@@ -232,13 +232,56 @@ def test_secrets(rows):
     assert secrets.scan(rows(ODD)).count() == 0
 
 
-def test_chunks_find_shifted_passages(rows):
+def plain_passages(docs, least):
+    """(doc, start, end) of all maximal passages of more than `least` whole words that a text shares with an earlier one, by comparing every pair."""
+    found = set()
+    texts = [(i, (t or "").encode()) for i, t in docs]
+    for i, text in texts:
+        for j, first in texts:
+            if j >= i:
+                continue
+            for shift in range(-len(first) + 1, len(text)):
+                low = max(0, shift)
+                a, b = text[low:], first[low - shift :]
+                n = min(len(a), len(b))
+                equal = np.frombuffer(a[:n], np.uint8) == np.frombuffer(b[:n], np.uint8)
+                if not equal.any():
+                    continue
+                edges = np.flatnonzero(np.diff(np.concatenate([[0], equal.astype(np.int8), [0]])))
+                for s, e in zip(edges[::2] + low, edges[1::2] + low, strict=True):
+                    if e - s > least and chunks.whole_words(np.frombuffer(text, np.uint8), int(s), int(e)) > least:
+                        found.add((i, int(s), int(e)))
+    return found
+
+
+def test_chunks_find_maximal_passages(rows):
     rng = random.Random(4)
     text = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
-    passage = text(60)
-    docs = [(i, f"{text(50)} {passage} {text(40)}") for i in range(20, 26)] + [(40, text(200))]
-    found = chunks.repeated_passages(rows([*[o for o in ODD if o[0] not in (5, 9)], *docs])).collect()
-    assert {(r["doc_id"], r["first_doc_id"]) for r in found} == {(i, 20) for i in range(21, 26)}
+    one, two, short = text(60), text(52), text(49)
+    docs = [(i, f"{text(20 + i)} {one} {text(10)}") for i in range(20, 26)] + [(30, f"{one}{text(9)}"), (40, text(120)), (41, f"{text(30)} {two}"), (42, f"é {two} {text(5)} {one}"), (50, f"{text(9)} {short} x"), (51, f"y {short} {text(9)}")]
+    found = chunks.repeated_passages(rows(docs)).collect()
+    wanted = plain_passages(docs, 50)
+    got = {(r["doc_id"], r["start"], r["end"]) for r in found}
+    # Every passage is one of the true ones, and every document and stretch that repeats is found.
+    assert got <= wanted
+    assert {d for d, _, _ in got} == {21, 22, 23, 24, 25, 30, 42} and len([1 for d, _, _ in got if d == 42]) == 2
+    assert all(r["first_doc_id"] in (20, 41) and r["n_words"] > 50 for r in found)
+
+
+def test_chunks_of_odd_rows(rows):
+    prose = " ".join(f"x{i * 7919}" for i in range(80))
+    extra = [(None, prose), (60, f"a {prose}"), (61, "word " * 30_000), (62, f"{prose} {prose}"), (7, prose)]
+    found = chunks.repeated_passages(rows([*ODD, *extra])).collect()
+    got = {(r["doc_id"], r["first_doc_id"]) for r in found}
+    # 7 has two texts, the second of which is the first to hold the prose; 61 copies 5 whole.
+    assert got == {(60, 7), (62, 7), (None, 7), (61, 5)}
+    assert len([r for r in found if r["doc_id"] == 62]) == 2
+    assert chunks.repeated_passages(rows([])).count() == 0
+    data = np.frombuffer(b"ab ab cd", np.uint8)
+    assert [chunks.whole_words(data, *span) for span in ((0, 8), (0, 7), (1, 8), (2, 6), (0, 0))] == [3, 2, 2, 1, 0]
+
+
+def test_chunk_boundaries_resist_insertions():
     data = np.random.default_rng(1).integers(0, 256, 3_000_000, dtype=np.uint8)
     shifted = np.concatenate([data[:100], data[:7], data[100:]])
     assert set((chunks.boundaries(data) + 7)[50:]) <= set(chunks.boundaries(shifted).tolist())
