@@ -65,7 +65,7 @@ def mix_sources(
     docs: DataFrame, quality: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
     weights: tuple[int, ...] = WEIGHTS, most: int = MOST_EPOCHS, seed: int = 1, size: Column | None = None, keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """doc_id, source, size, source_size, target, taken (words of the mix, repeats counted) for every row, and the columns in `keep`.
+    """doc_id, size, source_size, target, taken (words of the mix, repeats counted), source for every row, and the columns in `keep`.
 
     `quality` holds doc_id and a positive weight; a document it lacks, or of which the
     weight is null or not positive, weighs 1, and of several rows of an id the largest
@@ -73,11 +73,13 @@ def mix_sources(
     null source is a source of its own, after the others; a null id is hashed as such.
     Equal keys go by id, then size. Each document is taken `epochs` times whole; then documents in
     the order of their keys until the target is reached, the last in part, rounded down.
+    Kept columns travel as one, so their names may be any; one that is named like a column of
+    the result comes back with `_kept` behind its name.
     A source of size 0 takes nothing. Without documents the result is empty.
     """
     tune(docs.sparkSession)
     size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)) if size is None else size, F.lit(0)).cast("long")
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), size.alias("size"), *[F.col(c) for c in keep])
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), size.alias("size"), F.struct(*[F.col(f"`{c}`") for c in keep]).alias("carried") if keep else F.lit(True).alias("carried"))
     if quality is None:
         rows = rows.withColumn("w", F.lit(1.0))
     else:
@@ -97,7 +99,9 @@ def mix_sources(
     local = placed.withColumn("local", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     joined = local.join(offsets, local["source"].eqNullSafe(offsets["s"]) & (local["bucket"] == offsets["b"]))
     part = F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), F.col("rest") - F.col("ahead") - F.col("local")))
-    return joined.select("doc_id", "source", "size", "source_size", "target", (F.col("epochs") * F.col("size") + part).alias("taken"), *keep)
+    own = ("doc_id", "size", "source_size", "target", "taken", "source")
+    back = [F.col("carried")[c].alias(f"{c}_kept" if c in own else c) for c in keep]
+    return joined.select("doc_id", "size", "source_size", "target", (F.col("epochs") * F.col("size") + part).alias("taken"), "source", *back)
 
 
 def quality_weights(labels: DataFrame) -> DataFrame:

@@ -178,6 +178,17 @@ def test_mixing_meets_targets_and_bounds(spark, rows):
     assert mixing.mix_sources(rows([])).count() == 0
 
 
+def test_mixing_keeps_columns_of_any_name(spark):
+    names = ["size", "w", "key", "bucket", "epochs", "rest", "local", "target", "s", "carried"]
+    docs = spark.createDataFrame([(i, f"one two {i}", f"s{i % 3}", *range(i, i + len(names))) for i in range(30)], "doc_id long, text string, source string, " + ", ".join(f"{n} long" for n in names))
+    mixed = mixing.mix_sources(docs, keep=tuple(names))
+    own = ("size", "target")
+    for r in mixed.collect():
+        assert [r[f"{n}_kept" if n in own else n] for n in names] == list(range(r["doc_id"], r["doc_id"] + len(names)))
+    plain = {r["doc_id"]: r["taken"] for r in mixing.mix_sources(docs.select("doc_id", "text", "source")).collect()}
+    assert {r["doc_id"]: r["taken"] for r in mixed.collect()} == plain
+
+
 def test_language_of_held_out_texts(spark, rows):
     docs = read_table(spark, "/root/testdata/sf0.01", "documents")
     held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
