@@ -442,27 +442,27 @@ RAW_ISSUES = """select 'u' || cast(o_custkey % 97 as string) as owner, 'r' || ca
   case when o_orderpriority = '3-MEDIUM' then array(named_struct('name', 'Brand#' || cast(o_orderkey % 30 as string)), named_struct('name', 'bug')) else array() end as labels from orders"""
 
 
-@query("E13 K1 D2", f"""with t as (select id, repo_id, reporter_id, assignee_id, false as pull_request, issue_id from w_issues where repo_id < 20),
+@query("E13 K1 D2", f"""with t as (select id, repo_id, reporter_id, assignee_id, false as pull_request, issue_id from w_issues where repo_id % 5 = 0),
  pr as (select o_orderkey as pr, o_custkey % 97 as repo_id from orders where o_orderstatus <> 'O'),
  n as (select i.repo_id, i.reporter_id, u.id as assignee_id, o.o_orderstatus = 'F' as pull_request, i.issue_id from w_issues i join orders o on o.o_orderkey = i.id
-   left join w_users u on o.o_orderpriority = '5-LOW' and u.id = o.o_orderkey where i.repo_id >= 20)
+   left join w_users u on o.o_orderpriority = '5-LOW' and u.id = o.o_orderkey where i.repo_id % 5 <> 0)
 select t.id, t.repo_id, t.reporter_id, t.assignee_id, o.o_orderstatus = 'F' as pull_request, case when o.o_orderstatus = 'F' then t.issue_id end as pull_request_id, t.issue_id from t join orders o on o.o_orderkey = t.id
 union all select {new_id('t', "cast(repo_id as string) || chr(1) || cast(issue_id as string)", 'repo_id, issue_id')}, repo_id, reporter_id, assignee_id, pull_request, case when pull_request then issue_id end, issue_id from n""")
 def issues_table(lake: Lake) -> DataFrame:
     """New issues are inserted; stored ones turn into pull requests when the record shows it."""
-    table = lake["w_issues"].filter("repo_id < 20").withColumns({"pull_request": F.lit(False), "pull_request_id": F.lit(None).cast("bigint")})
+    table = lake["w_issues"].filter("repo_id % 5 = 0").withColumns({"pull_request": F.lit(False), "pull_request_id": F.lit(None).cast("bigint")})
     prs = lake.sql("select o_orderkey as id, o_orderkey as pullreq_id, o_custkey % 97 as base_repo_id from orders where o_orderstatus <> 'O'")
     rows = tracker.next_issues(table, lake.sql(RAW_ISSUES), lake["w_projects"], lake["w_users"], prs)
     return rows.select("id", "repo_id", "reporter_id", "assignee_id", "pull_request", "pull_request_id", "issue_id")
 
 
-@query("E18", f"""with t as (select * from w_issues where repo_id < 20 and reporter_id > 700), n as (select number as pr, cast(substr(base, 2) as bigint) as repo_id, created_at from v_prs p
+@query("E18", f"""with t as (select * from w_issues where repo_id % 5 = 0 and reporter_id % 2 = 0), n as (select number as pr, cast(substr(base, 2) as bigint) as repo_id, created_at from v_prs p
    where not exists (select 1 from t where t.repo_id = cast(substr(p.base, 2) as bigint) and t.issue_id = p.number))
 select id, repo_id, reporter_id, issue_id, true as pull_request, issue_id as pull_request_id from t
 union all select {new_id('t', "cast(repo_id as string) || chr(1) || cast(pr as string)", 'repo_id, pr')}, repo_id, null, pr, true, pr from n""")
 def shadow_issues_table(lake: Lake) -> DataFrame:
     """Every pull request gets an issue: a stored one is flipped, else a bare one is added."""
-    table = lake["w_issues"].filter("repo_id < 20 and reporter_id > 700")
+    table = lake["w_issues"].filter("repo_id % 5 = 0 and reporter_id % 2 = 0")
     dates = lake.sql("select number as pullreq_id, cast(substr(base, 2) as bigint) as base_repo_id, created_at from v_prs")
     rows = tracker.next_shadow_issues(table, lake["w_prs"], dates)
     return rows.select("id", "repo_id", "reporter_id", "issue_id", "pull_request", "pull_request_id")
@@ -571,8 +571,8 @@ GEO_RESPONSES = """select location, provider, case provider
       named_struct('long_name', n_name, 'short_name', 'CC', 'types', array('country'))), 'geometry', named_struct('location', named_struct('lat', 4.5D, 'lng', cast(key as double)))))))
   else '[]' end as body
 from (select raw as location, n_name, n_nationkey as key, case n_nationkey % 4 when 0 then 'osm' when 1 then 'bing' when 2 then 'gmaps' else 'none' end as provider
-  from v_locations join nation on raw like '%' || n_name || ',%' or raw like '%(' || n_name || ')%')"""
-GEO_SQL = f"""select {LOCATION_SQL.format('raw')} as key, n_name, n_nationkey as n, n_nationkey % 4 as provider from v_locations join nation on raw like '%' || n_name || ',%' or raw like '%(' || n_name || ')%'"""
+  from v_locations join nation on n_name = coalesce(nullif(regexp_extract(raw, '#([^,]+),', 1), ''), regexp_extract(raw, '[(]([^)]+)[)]', 1)))"""
+GEO_SQL = f"""select {LOCATION_SQL.format('raw')} as key, n_name, n_nationkey as n, n_nationkey % 4 as provider from v_locations join nation on n_name = coalesce(nullif(regexp_extract(raw, '#([^,]+),', 1), ''), regexp_extract(raw, '[(]([^)]+)[)]', 1))"""
 
 
 @query("E21 O2 J17", f"""select distinct key, cast(case provider when 0 then n + 0.25 when 1 then n when 2 then n end as double) as long, cast(case provider when 0 then 2.5 when 1 then 3.5 when 2 then 4.5 end as double) as lat,
@@ -589,7 +589,7 @@ def geo_cache_table(lake: Lake) -> DataFrame:
 @query("E21 J16 F12", f"""select u.id, cast(c.n as double) as long, c.city from w_users u left join (select key, min(n) as n, 'city' || cast(min(n) as string) as city from ({GEO_SQL}) g group by 1) c
 on c.key = {LOCATION_SQL.format('u.location')}""")
 def located_users(lake: Lake) -> DataFrame:
-    cache = lake.sql("select raw, n_nationkey as n from v_locations join nation on raw like '%' || n_name || ',%' or raw like '%(' || n_name || ')%'").groupBy(
+    cache = lake.sql("select raw, n_nationkey as n from v_locations join nation on n_name = coalesce(nullif(regexp_extract(raw, '#([^,]+),', 1), ''), regexp_extract(raw, '[(]([^)]+)[)]', 1))").groupBy(
         location_key(F.col("raw")).alias("key")
     ).agg(F.min("n").alias("long")).select(
         "key", "long", F.lit(1.0).alias("lat"), F.lit("cc").alias("country_code"), F.lit("s").alias("state"),

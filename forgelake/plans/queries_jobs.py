@@ -296,13 +296,13 @@ def repaired_fork_parents(lake: Lake) -> DataFrame:
 
 
 @query("R5 E17", """select h.pull_request_id, h.action, h.created_at, h.actor_id from (
- select number as pull_request_id, 'opened' as action, cast(floor(epoch(created_at)) as bigint) as created_at, cast(substr(author, 2) as bigint) as actor_id from v_prs where number <= 5000
- union all select number, 'merged', cast(floor(epoch(created_at)) as bigint), cast(substr(author, 2) as bigint) from v_prs where number <= 5000 and merged) h""")
+ select number as pull_request_id, 'opened' as action, cast(floor(epoch(created_at)) as bigint) as created_at, cast(substr(author, 2) as bigint) as actor_id from v_prs
+ union all select number, 'merged', cast(floor(epoch(created_at)) as bigint), cast(substr(author, 2) as bigint) from v_prs where merged) h""")
 def rebuilt_histories(lake: Lake) -> DataFrame:
     """Histories of listed pull requests dropped and rebuilt from their records."""
     raw = lake.sql("""select 'u' || substr(base, 2) as owner, base as repo, number, cast(created_at as string) as created_at, case when merged then cast(created_at as string) end as merged_at,
-      cast(null as string) as closed_at, named_struct('login', author) as user, named_struct('login', author) as merged_by from v_prs where number <= 5000""")
-    table = lake.sql("select number as id, number as pull_request_id, cast(created_at as timestamp) as created_at, 'closed' as action, cast(null as bigint) as actor_id from v_prs where number <= 5000")
+      cast(null as string) as closed_at, named_struct('login', author) as user, named_struct('login', author) as merged_by from v_prs""")
+    table = lake.sql("select number as id, number as pull_request_id, cast(created_at as timestamp) as created_at, 'closed' as action, cast(null as bigint) as actor_id from v_prs")
     rows = repair.rebuild_history(table, raw, lake["w_prs"], lake["w_projects"], lake["w_users"])
     return rows.select("pull_request_id", "action", secs("created_at").alias("created_at"), "actor_id")
 

@@ -2,6 +2,10 @@
 
 import math
 import os
+import shutil
+import subprocess
+import sys
+from pathlib import Path
 
 import duckdb
 import pytest
@@ -16,7 +20,7 @@ QUICK = [
     "handled_event_ratio", "duplicate_ratio", "forge_times", "location_keys", "missing_rows", "merged_by_commits", "dense_ids", "upserted_fields",
     "later_dates", "broken_references", "repeated_keys", "pushed_commits", "followers_table", "watchers_table", "commit_parents_table", "fork_points",
     "own_fork_commits", "topics_table", "pull_request_histories", "geo_cache_table", "request_points", "worker_states", "text_dump_round_trip", "typed_load",
-    "sync_decisions", "unique_review_comments", "merge_flags", "stream_dedup", "stream_histories", "stream_worker_states", "quarantined_events",
+    "sync_decisions", "unique_review_comments", "merge_flags", "replay_marks", "stream_dedup", "stream_duplicate_ratio", "stream_exact_dedup", "stream_histories", "stream_worker_states", "quarantined_events",
 ]
 NAMES = sorted(CATALOG) if os.environ.get("FORGELAKE_ALL") else QUICK
 
@@ -50,13 +54,28 @@ def test_every_query_has_a_check():
     assert set(CATALOG) <= set(entry_point.queries()) & set(entry_point.oracle_sql())
 
 
-@pytest.mark.parametrize("name", ["handled_event_ratio", "followers_table", "fork_points", "pull_request_histories", "merge_flags", "worker_states", "sync_decisions", "unique_review_comments"])
+@pytest.mark.parametrize("name", ["handled_event_ratio", "followers_table", "fork_points", "pull_request_histories", "merge_flags", "worker_states", "sync_decisions", "unique_review_comments", "located_users", "geo_cache_table", "inherited_commits", "parent_commits_before", "project_commits_table"])
 def test_plan_has_no_cross_join_and_no_python(spark, name):
     plan = entry_point.queries()[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
         assert word not in plan
 
 
+def test_entry_without_the_training_data_package(tmp_path):
+    """The package taken out, or its emptied folder left behind: the other queries are there."""
+    root = Path(entry_point.__file__).parent
+    for left in (False, True):
+        place = tmp_path / str(left)
+        shutil.copytree(root / "forgelake", place / "forgelake", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+        shutil.copy(root / "__spark_entry__.py", place)
+        if left:
+            (place / "forgelake" / "llm" / "__pycache__").mkdir(parents=True)
+            shutil.copy(root / "corpus_pipeline.py", place)
+        code = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+        out = subprocess.run([sys.executable, "-c", code], cwd=place, capture_output=True, text=True, timeout=120, env={**os.environ, "PYTHONPATH": str(place)})
+        assert out.stdout.split() == [str(len(CATALOG))] * 2, out.stderr
+
+
 def test_entry(spark):
     assert entry_point.entry(spark).count() > 0
 
