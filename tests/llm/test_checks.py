@@ -1,39 +1,12 @@
-"""Registered queries of the subpackage against their SQL, and the list of those without."""
-
-import math
-
-import duckdb
-import pytest
+"""The list of queries without SQL; `test_pipeline` runs the others against theirs."""
 
 from forgelake.llm import queries
 
-FOLDER = "/root/testdata/sf0.001"
 #: SQL cannot express these; other tests hold them against brute force or planted cases.
 WITHOUT_SQL = {
     "op3_ngram_lm", "op4_minhash_near_dup", "op5_language_id", "op6_license_scan", "op7_secret_scan", "op8_chunk_dedup", "op9_private_data", "op10_decontaminate",
 }
 
 
-@pytest.fixture(scope="module")
-def duck():
-    connection = duckdb.connect()
-    for table in ("documents", "embeddings", "labels", "conversations"):
-        connection.execute(f"create view {table} as select * from '{FOLDER}/{table}.parquet'")
-    return connection
-
-
-def plain(value):
-    return (None if math.isnan(value) else f"{value:.9g}") if isinstance(value, float) else value
-
-
 def test_every_other_query_has_sql():
     assert set(queries.runners()) - set(queries.checks()) == WITHOUT_SQL
-
-
-@pytest.mark.parametrize("name", sorted(queries.checks()))
-def test_query_matches_sql(spark, duck, name):
-    df = queries.runners()[name](spark, FOLDER)
-    found = duck.execute(queries.checks()[name])
-    columns = [c[0] for c in found.description]
-    assert sorted(columns) == sorted(df.columns)
-    assert sorted((tuple(plain(r[c]) for c in columns) for r in df.collect()), key=str) == sorted((tuple(plain(v) for v in row) for row in found.fetchall()), key=str)
