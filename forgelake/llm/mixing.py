@@ -79,7 +79,7 @@ def mix_sources(
     """
     tune(docs.sparkSession)
     size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)) if size is None else size, F.lit(0)).cast("long")
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), size.alias("size"), F.struct(*[F.col(f"`{c}`") for c in keep]).alias("carried") if keep else F.lit(True).alias("carried"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), size.alias("size"), *([F.struct(*[F.col(f"`{c}`") for c in keep]).alias("carried")] if keep else []))
     if quality is None:
         rows = rows.withColumn("w", F.lit(1.0))
     else:
