@@ -18,9 +18,9 @@ from forgelake.plans.queries import runners  # noqa: E402
 HEADLINE = [
     "handled_event_ratio", "duplicate_ratio", "event_feed", "staged_rows", "followers_table", "watchers_table", "project_commits_table",
     "commit_parents_table", "fork_points", "own_fork_commits", "inherited_commits", "pull_request_histories", "issue_events_table",
-    "merged_by_commits", "dense_ids", "upserted_fields", "resolved_identities", "request_points", "worker_states", "sync_decisions", "text_dump_round_trip",
+    "merged_by_commits", "commits_table", "dense_ids", "upserted_fields", "resolved_identities", "request_points", "worker_states", "sync_decisions", "text_dump_round_trip",
 ]
-RUNS = int(os.environ.get("BENCH_RUNS", "2"))
+RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 
 
 def main() -> None:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from forgelake import schemas
 from forgelake.operators.changes import one_per_key, tiebreak, union_all
+from forgelake.session import cut_lineage
 
 STALE_DAYS = 10  # Fixed value: age at which a project is refreshed
 FAKE_LOGIN_PATTERN = "[A-Z]{8}"  # Fixed value: shape of placeholder logins
@@ -208,7 +209,8 @@ def commits_before(
     sides = forks.filter("fork_ts is not null").select("fork_id", F.col("parent_id").alias("project_id"), "fork_ts", bucket("fork_ts").alias("last"))
     asked = project_commits.select("project_id", "commit_id").join(sides.select("project_id").distinct(), "project_id", "left_semi")
     dated = asked.join(commits.select(F.col("id").alias("commit_id"), "created_at"), "commit_id").withColumn("bucket", bucket("created_at"))
-    sizes = dated.filter("bucket is not null").groupBy("project_id", "bucket").agg(F.ceil(F.count("*") / F.lit(share)).alias("shares"))
+    dated = cut_lineage(dated.filter("bucket is not null"), "dated_commits")
+    sizes = dated.groupBy("project_id", "bucket").agg(F.ceil(F.count("*") / F.lit(share)).alias("shares"))
     wanted = sides.join(sizes, "project_id").filter("bucket <= last").select(
         "fork_id", "project_id", "fork_ts", "bucket", (F.col("bucket") < F.col("last")).alias("whole"),
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("shares") - 1)).alias("share"),
