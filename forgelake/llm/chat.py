@@ -22,6 +22,7 @@ import os
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -72,6 +73,17 @@ class Template:
         return re.sub(rf"\\(?={self._marks_pattern})", "", text)
 
 
+def _token_bytes(tokenizer) -> list[bytes]:
+    """The bytes of every id of a byte-level vocabulary, which writes printable bytes as themselves and the others, in order, from U+0100 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    byte_of = {chr(b): b for b in shown} | {chr(0x100 + n): b for n, b in enumerate(hidden)}
+    table = [b""] * tokenizer.get_vocab_size()
+    for token, number in tokenizer.get_vocab().items():
+        table[number] = bytes(byte_of[c] for c in token)
+    return table
+
+
 class Encoder:
     """A public tokenizer and the reserved ids above it, loaded once per worker process."""
 
@@ -84,6 +96,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.first = self.tokenizer.get_vocab_size()
+        self.bytes = _token_bytes(self.tokenizer) if type(self.tokenizer.decoder).__name__ == "ByteLevel" else None
 
     @classmethod
     def of(cls, path: str) -> Encoder:
@@ -95,7 +108,9 @@ class Encoder:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def decode(self, ids: list[list[int]]) -> list[str]:
-        return self.tokenizer.decode_batch(ids, skip_special_tokens=False)
+        if self.bytes is None:
+            return self.tokenizer.decode_batch(ids, skip_special_tokens=False)
+        return [b"".join(map(self.bytes.__getitem__, piece)).decode("utf-8", "replace") for piece in ids]
 
 
 def _shipped(spark, path: str) -> Callable[[], str]:
@@ -124,7 +139,7 @@ def assemble(roles: list[str], texts: list[str], encoder: Encoder, template: Tem
     for place, mark in ((0, 0), (2, 1), (4, 2)):
         ids[starts[:, place]] = encoder.first + mark
         reserved[starts[:, place]] = True
-    ids[~reserved] = np.fromiter((i for p in pieces for i in p), np.int32, total - 3 * turns)
+    ids[~reserved] = np.fromiter(chain.from_iterable(pieces), np.int32, total - 3 * turns)
     change = np.zeros(total + 1, dtype=np.int8)
     mine = np.array([r == template.learnt for r in roles], dtype=bool)
     np.add.at(change, starts[mine, 3], 1)

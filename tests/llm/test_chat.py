@@ -33,6 +33,14 @@ def test_tokens_render_to_the_text_and_masks_cover_the_learnt(turns):
         assert not learnt[own >= encoder.first].any()
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.text())
+def test_bytes_of_tokens_decode_as_the_library_does(text):
+    encoder = chat.Encoder.of(chat.VOCABULARY)
+    ids = encoder.encode([text])
+    assert encoder.decode(ids) == [text] == encoder.tokenizer.decode_batch(ids, skip_special_tokens=False)
+
+
 def plain(rows):
     out = []
     sort = lambda r: (r[1] is not None, r[1] or 0)
