@@ -100,7 +100,8 @@ def rows_sql(events: str = "select * from v_feed", dates: bool = True) -> str:
  shas as (select md5(cast(k as varchar)) as sha from f where type = 'CommitCommentEvent' union select base_sha from prs union select head_sha from prs union select sha from lists
    union select md5(cast(id as varchar) || '-1') || substr(md5(cast(id as varchar)), 1, 8) from f where type = 'PushEvent' and n_commits > 0
    union select md5(cast(id as varchar) || '-' || cast(n_commits + i as varchar)) || substr(md5(cast(id as varchar)), 1, 8) from (select *, unnest([1, 2]) as i from f where type = 'PushEvent' and n_commits >= 20) o),
- stored as (select sha, repo, owner, created_at from (select *, row_number() over (partition by sha order by seq) as rn from rc where sha in (select sha from shas) or repo in (select repo from created)) x where rn = 1),
+ places as (select distinct repo from f where type in ('WatchEvent', 'PullRequestEvent', 'ForkEvent', 'PullRequestReviewCommentEvent', 'IssuesEvent', 'IssueCommentEvent', 'CommitCommentEvent') or (type = 'PushEvent' and n_commits > 0) or (type = 'CreateEvent' and k % 2 = 0) or (type = 'MemberEvent' and actor_id = k % 10)),
+ stored as (select sha, case when repo in (select repo from places) then repo end as repo, owner, created_at from (select *, row_number() over (partition by sha order by seq) as rn from rc where sha in (select sha from shas) or repo in (select repo from created)) x where rn = 1),
  comments as (select repo, k as number, id + 1000000 as comment_id, owner, created_at from v_feed v where type = 'IssueCommentEvent'
    and (id in (select id from f) or (repo, k) in (select (repo, k) from f where type = 'IssuesEvent') or (repo, k) in (select (repo, number) from pr_keys) or repo in (select repo from created))),
  reviews as (select repo, k as number, id + 1000000 as comment_id, owner, created_at from v_feed v where type = 'PullRequestReviewCommentEvent' and (id in (select id from f) or (repo, k) in (select (repo, number) from pr_keys))),
@@ -118,8 +119,8 @@ union all select 'projects', owner || '|' || name || '|' || coalesce(max(parent)
    select owner, name, null as parent from f where type in ('WatchEvent', 'PullRequestEvent', 'ForkEvent', 'PullRequestReviewCommentEvent', 'IssuesEvent', 'IssueCommentEvent', 'CommitCommentEvent') or (type = 'PushEvent' and n_commits > 0) or (type = 'CreateEvent' and k % 2 = 0) or (type = 'MemberEvent' and actor_id = k % 10)
    union all select actor, 'f' || cast(k as varchar), repo from f where type = 'ForkEvent' union all select 'u' || cast(k + 3 as varchar), 'g' || cast(k as varchar), repo from created) p group by owner, name
 union all select 'project_members', repo || '|' || other{dated('min(created_at)')} from f where type = 'MemberEvent' and actor_id = k % 10 group by repo, other
-union all select 'commits', sha || '|' || owner || '|' || owner || '|' || repo || '|' || {EPOCH('created_at')} from stored
-union all select 'project_commits', repo || '|' || sha from stored
+union all select 'commits', sha || '|' || owner || '|' || owner || '|' || coalesce(repo, '-') || '|' || {EPOCH('created_at')} from stored
+union all select 'project_commits', repo || '|' || sha from stored where repo is not null
 union all select 'commit_comments', md5(cast(k as varchar)) || '|' || owner || '|text|' || cast(id + 1000000 as varchar) || '|' || {EPOCH('created_at')} from f where type = 'CommitCommentEvent'
 union all select 'pull_requests', p.repo || '|' || cast(number as varchar) || '|' || coalesce(head, '-') || '|' || coalesce(b.sha, '-') || '|' || coalesce(h.sha, '-') || '|' || cast(intra as varchar) from prs p left join stored b on b.sha = p.base_sha left join stored h on h.sha = p.head_sha
 union all select 'pull_request_comments', repo || '#' || cast(number as varchar) || '|' || owner || '|' || cast(comment_id as varchar) || '|text|' || {EPOCH('created_at')} from reviews
