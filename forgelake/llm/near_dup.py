@@ -14,11 +14,11 @@ coordinates, which a pair of similarity 0.8 misses as seldom.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from forgelake.llm.graph import components
@@ -32,6 +32,9 @@ CHECKED = 192
 CHECK_MATCH = 124
 #: Members of a posting list that are compared in one piece of work.
 BLOCK = 4096
+#: Full sets that are compared in one piece of work: shingles, and what a member counts beside its own.
+SET_BLOCK = 1 << 22
+SET_WEIGHT = 512
 #: Counters of the sketch that orders tokens from rare to frequent; the order only has to be the same everywhere.
 SKETCH_BITS = 20
 SLICES = 64
@@ -144,93 +147,167 @@ def _posted(representatives: DataFrame, sketch) -> DataFrame:
     return representatives.select("rep", "n", "sig").mapInArrow(run, "token long, rep long, n long")
 
 
-def _agree(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    return (left == right).sum(axis=-1, dtype=np.int64) >= CHECK_MATCH
-
-
 def _low_rows(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8).reshape(-1, CHECKED)
 
 
 def _agreeing(pairs: DataFrame, representatives: DataFrame) -> DataFrame:
-    """Pairs (a, b) that agree in CHECK_MATCH coordinates at least."""
+    """Of the pairs (rep, head) that agree in CHECK_MATCH coordinates at least, each document's best one, as (a, b)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = pa.array(_agree(_low_rows(batch.column("low_a")), _low_rows(batch.column("low_b"))))
-            yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
+            agree = (_low_rows(batch.column("low_a")) == _low_rows(batch.column("low_b"))).sum(axis=1, dtype=np.int64)
+            keep = pa.array(agree >= CHECK_MATCH)
+            yield pa.RecordBatch.from_arrays([c.filter(keep) for c in (batch.column("rep"), batch.column("head"), pa.array(agree))], names=["rep", "head", "agree"])
 
-    left = representatives.select(F.col("rep").alias("a"), F.col("low").alias("low_a"))
-    right = representatives.select(F.col("rep").alias("b"), F.col("low").alias("low_b"))
-    return pairs.join(right, "b").join(left, "a").select("a", "b", "low_a", "low_b").mapInArrow(count, "a long, b long")
+    left = representatives.select("rep", F.col("low").alias("low_a"))
+    right = representatives.select(F.col("rep").alias("head"), F.col("low").alias("low_b"))
+    counted = pairs.join(right, "head").join(left, "rep").select("rep", "head", "low_a", "low_b").mapInArrow(count, "rep long, head long, agree long")
+    best = counted.groupBy("rep").agg(F.max_by("head", F.struct("agree", "head")).alias("head"))
+    return best.select(F.least("rep", "head").alias("a"), F.greatest("rep", "head").alias("b")).distinct()
 
 
-def _list_pairs(rep: np.ndarray, n: np.ndarray, comp: np.ndarray, block: np.ndarray, low: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of one list (or of two of its blocks) that are in different components and agree, a few rows at a time."""
-    found = []
-    two = block.min() != block.max()
-    step = max(1, 2048 // len(rep))
-    for at in range(0, len(rep), step):
-        here = slice(at, at + step)
-        fit = (comp[here, None] != comp[None]) & (rep[here, None] < rep[None]) & (n[here, None] * 100 >= n[None] * percent) & (n[None] * 100 >= n[here, None] * percent)
-        if two:  # pairs inside a block belong to the block's own piece of work
-            fit &= block[here, None] != block[None]
-        i, j = np.nonzero(fit)
-        for k in range(0, len(i), 1 << 16):
-            x, y = i[k : k + (1 << 16)] + at, j[k : k + (1 << 16)]
-            keep = _agree(low[x], low[y])
-            found.append((rep[x[keep]], rep[y[keep]]))
-    return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else (rep[:0], rep[:0])
+def _pieces(rows: DataFrame, group: str, weight: Column, most: int) -> DataFrame:
+    """Rows of the groups that hold several components, dealt to pieces of work (group, p, q), with their block.
+
+    `most` bounds the weight of a block. A group within it is one piece. In a larger one the
+    members of its largest component need no comparison with each other: each of their
+    blocks meets the blocks of the other members only, and those meet each other.
+    """
+    mixed = rows.groupBy(group).agg(F.min("comp").alias("least"), F.max("comp").alias("most"), F.sum(weight).alias("whole")).where("least <> most")
+    small = rows.join(mixed.where(F.col("whole") <= most).select(group), group).select(*rows.columns, *[F.lit(0).cast("long").alias(c) for c in ("p", "q", "block")])
+    large = rows.join(mixed.where(F.col("whole") > most).select(group), group)
+    parts = large.groupBy(group, "comp").agg(F.sum(weight).alias("w"))
+    plan = parts.groupBy(group).agg(F.max_by("comp", F.struct("w", "comp")).alias("big"), F.ceil(F.max("w") / most).alias("big_blocks"), F.ceil((F.sum("w") - F.max("w")) / most).alias("open_blocks"))
+    dealt = large.join(plan, group).withColumn("open", F.col("comp") != F.col("big"))
+    block = F.when(F.col("open"), F.pmod(F.xxhash64("rep"), "open_blocks")).otherwise(F.col("open_blocks") + F.pmod(F.xxhash64("rep"), "big_blocks"))
+    last = F.when(F.col("open"), F.col("open_blocks") + F.col("big_blocks")).otherwise(F.col("open_blocks")) - 1
+    dealt = dealt.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    return small.unionByName(dealt.select(*rows.columns, F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "block"))
+
+
+def _by_piece(batches: Iterator[pa.RecordBatch], group: str) -> Iterator[pa.Table]:
+    """The rows of one piece at a time, from batches sorted by piece."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = np.stack([batch.column(c).to_numpy() for c in (group, "p", "q")], axis=1)
+        bounds = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), batch.num_rows]
+        for s, e in zip(bounds[:-1], bounds[1:], strict=True):
+            if last is not None and last != keys[s].tolist():
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(s, e - s))
+            last = keys[s].tolist()
+    if held:
+        yield pa.Table.from_batches(held)
 
 
-def _across(lists: DataFrame, representatives: DataFrame, percent: int) -> DataFrame:
-    """Agreeing pairs of all lists that have members of different components.
+def _forest(piece: pa.Table, percent: int, linked: Callable[[int, np.ndarray], np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs that join the components of a piece: fewer than it has components, and enough to connect all that agreeing pairs connect.
 
-    Lists are compared block by block in tasks; a list of up to BLOCK members is one piece
-    of work, a longer one a piece for each two of its blocks.
+    A member is compared with those behind it that are not yet in its component. `linked`
+    says which of some members are linked with one; without it all that agree are.
+    """
+    rep, n, comp, block = (piece.column(c).to_numpy() for c in ("rep", "n", "comp", "block"))
+    label = np.unique(comp, return_inverse=True)[1]
+    left = label.max()
+    low = _low_rows(piece.column("low").combine_chunks()) if left else None
+    two = block.min() != block.max()
+    found: list[tuple[int, int]] = []
+    for i in range(len(rep) - 1):
+        if not left:
+            break
+        fit = (label[i + 1 :] != label[i]) & (n[i + 1 :] * 100 >= n[i] * percent) & (n[i] * 100 >= n[i + 1 :] * percent)
+        if two:  # pairs inside a block belong to the block's own piece of work
+            fit &= block[i + 1 :] != block[i]
+        others = np.flatnonzero(fit) + i + 1
+        for at in range(0, len(others), 1 << 15):
+            some = others[at : at + (1 << 15)]
+            some = some[(low[some] == low[i]).sum(axis=1, dtype=np.int64) >= CHECK_MATCH]
+            if linked is not None and len(some):
+                some = some[linked(i, some)]
+            some = some[label[some] != label[i]]
+            met, first = np.unique(label[some], return_index=True)
+            found += [(i, j) for j in some[first].tolist()]
+            label[np.isin(label, met)] = label[i]
+            left -= len(met)
+    at = np.array(found, dtype=np.int64).reshape(-1, 2)
+    return np.minimum(rep[at[:, 0]], rep[at[:, 1]]), np.maximum(rep[at[:, 0]], rep[at[:, 1]])
+
+
+def _pair_batch(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+def _met(lists: DataFrame, representatives: DataFrame, percent: int) -> DataFrame:
+    """Agreeing pairs that connect all that the agreeing pairs of the lists connect, over what is linked already.
+
+    A list gives fewer pairs than it has components, however many of its members agree.
     """
-    mixed = lists.groupBy("key").agg(F.min("comp").alias("least"), F.max("comp").alias("most"), F.count("*").alias("members")).where("least <> most")
-    blocks = F.ceil(F.col("members") / BLOCK)
-    own = F.pmod(F.xxhash64("rep"), blocks)
-    rows = lists.join(mixed.select("key", "members"), "key").withColumn("block", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-    rows = rows.select("key", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "block", "rep", "n", "comp")
-    rows = rows.join(representatives.select("rep", "low"), "rep").repartition("key", "p", "q").sortWithinPartitions("key", "p", "q")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        columns = ("key", "p", "q", "rep", "n", "comp", "block")
-        kept = None
-        for batch in batches:
-            got = [batch.column(c).to_numpy() for c in columns] + [_low_rows(batch.column("low"))]
-            if kept is not None:
-                got = [np.concatenate(x) for x in zip(kept, got, strict=True)]
-            change = np.flatnonzero(np.any([g[1:] != g[:-1] for g in got[:3]], axis=0)) + 1
-            bounds = np.concatenate([[0], change])
-            yield compared(got, bounds)
-            kept = [g[bounds[-1] :].copy() for g in got]
-        if kept is not None:
-            yield compared(kept, np.array([0, len(kept[0])]))
-
-    def compared(got: list[np.ndarray], bounds: np.ndarray) -> pa.RecordBatch:
-        a, b = [got[3][:0]], [got[3][:0]]
-        for s, e in zip(bounds[:-1], bounds[1:], strict=True):
-            if e > s + 1:
-                x, y = _list_pairs(*[g[s:e] for g in got[3:]], percent)
-                a.append(x)
-                b.append(y)
-        pairs = np.unique(np.stack([np.concatenate(a), np.concatenate(b)], axis=1), axis=0)
-        return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(pairs[:, 0])), pa.array(np.ascontiguousarray(pairs[:, 1]))], names=["a", "b"])
+        for piece in _by_piece(batches, "key"):
+            a, b = _forest(piece, percent)
+            if len(a):
+                yield _pair_batch(a, b)
 
+    rows = _pieces(lists, "key", F.lit(1), BLOCK).join(representatives.select("rep", "low"), "rep").repartition("key", "p", "q").sortWithinPartitions("key", "p", "q", "rep")
     return rows.select("key", "p", "q", "rep", "n", "comp", "block", "low").mapInArrow(run, "a long, b long").distinct()
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Pairs whose full sets reach the similarity; only the texts of these pairs are read again."""
+def _linked_within(links: DataFrame, met: DataFrame, representatives: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Confirmed pairs between the components of `links` that pairs of `met` connect.
+
+    What `met` connects is a group; whatever is linked at all lies in one group. Its members
+    are compared on their full sets, which travel once per block and not once per pair, and
+    a piece gives no more pairs than join its components.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in _by_piece(batches, "key"):
+            sets = [np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in piece.column("grams").combine_chunks()]
+            sizes = np.array([len(x) for x in sets])
+            dense = np.split(np.unique(np.concatenate(sets), return_inverse=True)[1], np.cumsum(sizes)[:-1])
+            own = np.zeros(sizes.sum(), dtype=np.bool_)
+
+            def linked(i: int, others: np.ndarray, dense=dense, sizes=sizes, own=own) -> np.ndarray:
+                own[dense[i]] = True
+                both = np.array([np.count_nonzero(own[dense[j]]) for j in others])
+                own[dense[i]] = False
+                return 100 * both >= percent * (sizes[i] + sizes[others] - both)
+
+            a, b = _forest(piece, percent, linked)
+            if len(a):
+                yield _pair_batch(a, b)
+
+    placed = components(links.unionByName(met)).select(F.col("node").alias("rep"), F.col("component").alias("key"))
+    known = components(links).select(F.col("node").alias("rep"), F.col("component").alias("comp"))
+    placed = placed.join(known, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
+    rows = cut_lineage(placed.join(representatives.select("rep", "n"), "rep"), "groups")
+    pieces = cut_lineage(_pieces(rows, "key", F.col("n") + SET_WEIGHT, SET_BLOCK), "pieces")
+    sets = _full_sets(docs, pieces.select("rep").distinct(), shingle)
+    dealt = pieces.join(representatives.select("rep", "low"), "rep").join(sets, "rep").repartition("key", "p", "q").sortWithinPartitions("key", "p", "q", "rep")
+    return dealt.select("key", "p", "q", "rep", "n", "comp", "block", "low", "grams").mapInArrow(run, "a long, b long").distinct()
+
+
+def _full_sets(docs: DataFrame, needed: DataFrame, shingle: int) -> DataFrame:
+    """rep, grams: the full sets of the documents in `needed`, of which only the texts are read again."""
 
     def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [grams.tobytes() for grams in shingle_sets(batch.column(1), shingle)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["rep", "grams"])
 
+    texts = docs.join(needed.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi").select("doc_id", "text").mapInArrow(rebuild, "rep long, grams binary")
+    return cut_lineage(texts.dropDuplicates(["rep"]), "sets")
+
+
+def _confirmed(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Pairs whose full sets reach the similarity; only the texts of these pairs are read again."""
+
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
@@ -241,15 +318,13 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) ->
             keep = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
 
-    needed = pairs.select(F.col("a").alias("doc_id")).distinct().unionByName(pairs.select(F.col("b").alias("doc_id")).distinct()).distinct()
-    texts = docs.join(needed, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(rebuild, "rep long, grams binary")
-    sets = cut_lineage(texts.dropDuplicates(["rep"]), "sets")
+    sets = _full_sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), shingle)
     joined = pairs.join(sets.select(F.col("rep").alias("b"), F.col("grams").alias("right")), "b").join(sets.select(F.col("rep").alias("a"), F.col("grams").alias("left")), "a")
     return joined.select("a", "b", "left", "right").mapInArrow(compare, "a long, b long")
 
 
 def _heads(lists: DataFrame, salt: int) -> DataFrame:
-    """Pairs (a, b): each document with up to HEADS heads that most of its posting lists have.
+    """Pairs (rep, head): each document with up to HEADS heads that most of its posting lists have.
 
     The heads of a list are the members that stand in most lists, give or take salted
     hashes: copies that have most in common with the others. HEADS pairs per document at
@@ -258,7 +333,7 @@ def _heads(lists: DataFrame, salt: int) -> DataFrame:
     count = lists.groupBy("rep").agg(F.count("*").alias("stands"))
     lists = lists.join(count, "rep")
 
-    def head(k: int) -> F.Column:
+    def head(k: int) -> Column:
         hashed = F.xxhash64(F.lit(salt * HEADS + k), "rep")
         return F.min(F.struct((F.pmod(hashed, F.lit(2 * (salt + k) + 1)) - F.col("stands")).alias("order"), hashed.alias("h"), "rep", "comp"))
 
@@ -268,7 +343,7 @@ def _heads(lists: DataFrame, salt: int) -> DataFrame:
     counted = met.groupBy("rep", F.col("head.rep").alias("head")).agg(F.count("*").alias("times"))
     order = Window.partitionBy("rep").orderBy(F.desc("times"), F.xxhash64(F.lit(salt), "head"))
     most = counted.withColumn("place", F.row_number().over(order)).where(F.col("place") <= HEADS)
-    return most.select(F.least("rep", "head").alias("a"), F.greatest("rep", "head").alias("b")).distinct()
+    return most.select("rep", "head")
 
 
 def _with_components(keyed: DataFrame, found: DataFrame) -> DataFrame:
@@ -282,8 +357,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Texts with equal sets form a class, which its smallest id stands for; only these
     representatives are posted and compared. Two rounds compare each document
     with a few heads of its posting lists only, so a large group of copies costs a few rows
-    per copy. What then still is in different components of a list is compared in full,
-    block by block.
+    per copy. Of what then still is in different components, the lists name the groups that
+    agreeing pairs connect, and each group is compared on full sets, block by block; both
+    steps hand on only pairs that join components, not all that agree.
 
     A null or blank text has an empty set and is linked with nothing. Rows that repeat an
     id count once (the one with the smallest fingerprint). A null id stands alone: its
@@ -300,8 +376,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
     sketch = spark.sparkContext.broadcast(_rarity(representatives))
     posted = _posted(representatives, sketch)
-    met = posted.groupBy("token").agg(F.count("*").alias("posted")).where("posted > 1")
-    lists = cut_lineage(posted.join(met.select("token"), "token").select(F.col("token").alias("key"), "rep", "n", F.col("rep").alias("comp")), "lists")
+    shared = posted.groupBy("token").agg(F.count("*").alias("posted")).where("posted > 1")
+    lists = cut_lineage(posted.join(shared.select("token"), "token").select(F.col("token").alias("key"), "rep", "n", F.col("rep").alias("comp")), "lists")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         return cut_lineage(_confirmed(pairs, docs, shingle, percent), "links")
@@ -311,7 +387,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         found = confirmed(cut_lineage(_agreeing(_heads(lists, salt), representatives), "pairs"))
         links = found if links is None else links.unionByName(found)
         lists = _with_components(lists, components(links))
-    final = components(links.unionByName(confirmed(cut_lineage(_across(lists, representatives, percent), "pairs"))))
+    met = cut_lineage(_met(lists, representatives, percent), "met")
+    final = components(links.unionByName(cut_lineage(_linked_within(links, met, representatives, docs, shingle, percent), "links")))
 
     placed_docs = members.join(final.select(F.col("node").alias("rep"), "component"), "rep", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "doc_id").alias("component_id"), F.coalesce("n_class", F.lit(1)).alias("n_class"), F.coalesce("rep", "doc_id").alias("class_id")
