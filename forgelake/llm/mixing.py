@@ -6,9 +6,10 @@ in proportion to the weights. Running totals of words along that order say which
 a token budget reaches. A source whose target exceeds its size is taken whole as often as
 it fits (complete epochs), and only the rest of the target is sampled.
 
-The order of a source is cut into buckets of the key's range: running totals are taken
-inside a bucket and added to the totals of the buckets before it, one row per bucket. So a
-source with a third of all rows is many small windows.
+The order of a source is cut into buckets of the key's range. Totals per bucket say in
+which one the budget ends; only that one is sorted, and gives the place in the order where
+the source is cut. Every document is then compared with its source's cut, so no text is
+sorted or written on the way, and a source with a third of all rows is one small window.
 """
 
 from __future__ import annotations
@@ -71,7 +72,8 @@ def mix_sources(
     weight is null or not positive, weighs 1, and of several rows of an id the largest
     weight counts. `size` is the number of words unless given. A null text has size 0. A
     null source is a source of its own, after the others; a null id is hashed as such.
-    Equal keys go by id, then size. Each document is taken `epochs` times whole; then documents in
+    Equal keys go by id, then size, then a hash of the text; rows alike in all of these share
+    what the cut leaves them, rounded down. Each document is taken `epochs` times whole; then documents in
     the order of their keys until the target is reached, the last in part, rounded down.
     Kept columns travel as one, so their names may be any; one that is named like a column of
     the result comes back with `_kept` behind its name.
@@ -79,29 +81,50 @@ def mix_sources(
     """
     tune(docs.sparkSession)
     size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)) if size is None else size, F.lit(0)).cast("long")
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), size.alias("size"), *([F.struct(*[F.col(f"`{c}`") for c in keep]).alias("carried")] if keep else []))
-    if quality is None:
-        rows = rows.withColumn("w", F.lit(1.0))
-    else:
-        best = quality.where("weight > 0 and doc_id is not null").groupBy("doc_id").agg(F.max("weight").cast("double").alias("w"))
-        rows = rows.join(best, "doc_id", "left").withColumn("w", F.coalesce("w", F.lit(1.0)))
-    rows = cut_lineage(rows.withColumn("key", -F.log(uniform("doc_id", seed)) / F.col("w")), "keyed")
-    per_source = cut_lineage(targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most), "targets")
-    placed = rows.join(F.broadcast(per_source) if per_source.limit(100_001).count() <= 100_000 else per_source, rows["source"].eqNullSafe(per_source["source"])).drop(per_source["source"])
+    digest = F.xxhash64(text_col) if text_col in docs.columns else F.lit(0).cast("long")
+    best = None if quality is None else quality.where("weight > 0 and doc_id is not null").groupBy("doc_id").agg(F.max("weight").cast("double").alias("w"))
+
+    def ordered(*more: Column) -> DataFrame:
+        rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), size.alias("size"), digest.alias("digest"), *more)
+        weight = F.lit(1.0)
+        if best is not None:
+            rows, weight = rows.join(best, "doc_id", "left"), F.coalesce("w", weight)
+        return rows.withColumn("at", F.struct((-F.log(uniform("doc_id", seed)) / weight).alias("key"), "doc_id", "size", "digest")).drop("w", "digest")
+
+    keyed = cut_lineage(ordered(), "keyed")
+    per_source = cut_lineage(targets(keyed.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most), "targets")
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
-    placed = placed.withColumn("epochs", epochs).withColumn("rest", F.floor(F.col("target")).cast("long") - F.col("epochs") * F.col("source_size"))
-    # Keys of weight 1 are spread evenly over the buckets; other weights bend that, but keep it smooth.
-    placed = placed.withColumn("bucket", F.floor((1 - F.exp(-F.col("key"))) * BUCKETS).cast("int"))
-    per_bucket = placed.groupBy("source", "bucket").agg(F.sum("size").alias("in_bucket"))
-    before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_bucket.select(F.col("source").alias("s"), F.col("bucket").alias("b"), F.coalesce(F.sum("in_bucket").over(before), F.lit(0)).alias("ahead"))
-    inside = Window.partitionBy("source", "bucket").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    local = placed.withColumn("local", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    joined = local.join(offsets, local["source"].eqNullSafe(offsets["s"]) & (local["bucket"] == offsets["b"]))
-    part = F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), F.col("rest") - F.col("ahead") - F.col("local")))
+    per_source = per_source.withColumn("epochs", epochs).withColumn("rest", F.floor(F.col("target")).cast("long") - F.col("epochs") * F.col("source_size"))
+    plan = cut_lineage(_with_cuts(keyed, per_source), "cuts").withColumnRenamed("source", "s")
+    # One row per source; a free text as source column may make it many.
+    plan = F.broadcast(plan) if plan.limit(100_001).count() <= 100_000 else plan
+    rows = ordered(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("carried")) if keep else keyed
+    placed = rows.join(plan, rows["source"].eqNullSafe(plan["s"]))
+    part = F.when(F.col("at") < F.col("cut"), F.col("size")).when(F.col("at") == F.col("cut"), F.col("share"))
     own = ("doc_id", "size", "source_size", "target", "taken", "source")
     back = [F.col("carried")[c].alias(f"{c}_kept" if c in own else c) for c in keep]
-    return joined.select("doc_id", "size", "source_size", "target", (F.col("epochs") * F.col("size") + part).alias("taken"), "source", *back)
+    return placed.select("doc_id", "size", "source_size", "target", (F.col("epochs") * F.col("size") + F.coalesce(part, F.lit(0))).alias("taken"), "source", *back)
+
+
+def _with_cuts(keyed: DataFrame, per_source: DataFrame) -> DataFrame:
+    """`per_source` with cut, the place in a source's order where `rest` words are reached, and share, what the document there gives.
+
+    Only the one bucket per source that the rest ends in is sorted. Rows alike in all of
+    `at` stand at one place and share alike.
+    """
+    # Keys of weight 1 are spread evenly over the buckets; other weights bend that, but keep it smooth.
+    rows = keyed.withColumn("bucket", F.floor((1 - F.exp(-F.col("at.key"))) * BUCKETS).cast("int"))
+    per_bucket = rows.groupBy("source", "bucket").agg(F.sum("size").alias("in_bucket"))
+    before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    per_bucket = per_bucket.withColumn("ahead", F.coalesce(F.sum("in_bucket").over(before), F.lit(0)))
+    limits = per_source.select(F.col("source").alias("s"), "rest")
+    ends = per_bucket.join(limits, per_bucket["source"].eqNullSafe(limits["s"])).where("ahead <= rest and rest < ahead + in_bucket").select("s", F.col("bucket").alias("b"), "ahead", "rest")
+    last = rows.join(ends, rows["source"].eqNullSafe(ends["s"]) & (rows["bucket"] == ends["b"]))
+    alike = last.groupBy("s", "at", "ahead", "rest").agg(F.sum("size").alias("words"), F.count("*").alias("many"))
+    inside = Window.partitionBy("s").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    alike = alike.withColumn("left", F.col("rest") - F.col("ahead") - F.coalesce(F.sum("words").over(inside), F.lit(0)))
+    cuts = alike.where("0 <= left and left < words").select("s", F.col("at").alias("cut"), F.floor(F.col("left") / F.col("many")).cast("long").alias("share"))
+    return per_source.join(cuts, per_source["source"].eqNullSafe(cuts["s"]), "left").drop("s")
 
 
 def quality_weights(labels: DataFrame) -> DataFrame:
