@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from forgelake.llm.shared import cut_lineage, filled, tune
 from forgelake.llm.text import BASE, VALUE_OF_BYTE, hash_words, mix, text_blocks
@@ -259,11 +260,13 @@ class _Memory:
         self.keys, self.values = keys[order], np.concatenate([self.values, values])[order]
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
     """id, lang_pred, score: the likeliest language of each whole text and its posterior, all languages being equally likely before.
 
     `und` with score 0 if the text is null or has no letter, or no language was learned.
     Ties go to the first language in order. A null or repeated id is scored like any other.
+    With `carry` the whole row of docs comes along as the struct `row`, so that a decision
+    on it needs no join.
     """
     spark = tune(docs.sparkSession)
     shared = spark.sparkContext.broadcast(model)
@@ -297,8 +300,10 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                 posterior = 1.0 / np.exp(totals - totals.max(axis=1, keepdims=True)).sum(axis=1)
                 sure = lettered[low:high] & (k > 0)
                 names = [model.languages[t] if s else "und" for t, s in zip(top, sure, strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, n), pa.array(names, pa.string()), pa.array(np.where(sure, posterior, 0.0))], names=["doc_id", "lang_pred", "score"])
+                judged = [batch.column(0).slice(low, n), pa.array(names, pa.string()), pa.array(np.where(sure, posterior, 0.0))]
+                yield pa.RecordBatch.from_arrays([*judged, *[c.slice(low, n) for c in batch.columns[3:]]], names=["doc_id", "lang_pred", "score", *batch.schema.names[3:]])
 
     letters = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
-    rows = docs.select(F.col(id_col).alias("doc_id"), filled(text_col).alias("text"), letters.alias("lettered"))
-    return rows.mapInArrow(run, f"doc_id {dict(docs.dtypes)[id_col]}, lang_pred string, score double")
+    rows = docs.select(F.col(id_col).alias("doc_id"), filled(text_col).alias("text"), letters.alias("lettered"), *([F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if carry else []))
+    schema = StructType([StructField("doc_id", docs.schema[id_col].dataType), StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    return rows.mapInArrow(run, StructType([*schema, StructField("row", docs.schema)]) if carry else schema)

@@ -69,7 +69,7 @@ def tokens(signatures: np.ndarray) -> np.ndarray:
 
 
 def _signed(docs: DataFrame, shingle: int) -> DataFrame:
-    """doc_id, set size, fingerprint of the set, posted coordinates and a byte of each checked one (bytes never agree too seldom)."""
+    """doc_id, hash of the text, set size, fingerprint of the set, posted coordinates and a byte of each checked one (bytes never agree too seldom)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -88,11 +88,11 @@ def _signed(docs: DataFrame, shingle: int) -> DataFrame:
                 signatures.append(whole[:COORDINATES].tobytes())
                 lows.append(whole.astype(np.uint8).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()), pa.array(signatures, pa.binary()), pa.array(lows, pa.binary())],
-                names=["doc_id", "n", "fp", "sig", "low"],
+                [batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()), pa.array(signatures, pa.binary()), pa.array(lows, pa.binary())],
+                names=["doc_id", "text_hash", "n", "fp", "sig", "low"],
             )
 
-    return docs.mapInArrow(run, "doc_id long, n long, fp binary, sig binary, low binary")
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(run, "doc_id long, text_hash long, n long, fp binary, sig binary, low binary")
 
 
 def _rarity(representatives: DataFrame) -> np.ndarray:
@@ -352,7 +352,7 @@ def _with_components(keyed: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
-    """One row per doc_id: n_shingles (set size), component_id (smallest id reachable over links), kept, n_class, class_id.
+    """One row per doc_id: n_shingles (set size), component_id (smallest id reachable over links), kept, n_class, class_id, text_hash (xxhash64 of the text judged).
 
     Texts with equal sets form a class, which its smallest id stands for; only these
     representatives are posted and compared. Two rounds compare each document
@@ -368,9 +368,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = tune(docs.sparkSession)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), filled(text_col).alias("text"))
     rows = cut_lineage(_signed(docs, shingle), "signatures")
-    single = rows.where("doc_id is not null").groupBy("doc_id").agg(F.min(F.struct("fp", "n")).alias("x")).select("doc_id", "x.fp", "x.n")
+    single = rows.where("doc_id is not null").groupBy("doc_id").agg(F.min(F.struct("fp", "n", "text_hash")).alias("x")).select("doc_id", "x.*")
     classes = single.where("fp is not null").groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n_class"))
-    members = cut_lineage(single.join(classes, "fp", "left").select("doc_id", "n", "rep", "n_class"), "classes")
+    members = cut_lineage(single.join(classes, "fp", "left").select("doc_id", "n", "rep", "n_class", "text_hash"), "classes")
     representatives = cut_lineage(
         rows.join(classes.select("fp", F.col("rep").alias("doc_id")), ["fp", "doc_id"]).select(F.col("doc_id").alias("rep"), "n", "sig", "low").dropDuplicates(["rep"]), "representatives"
     )
@@ -391,7 +391,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     final = components(links.unionByName(cut_lineage(_linked_within(links, met, representatives, docs, shingle, percent), "links")))
 
     placed_docs = members.join(final.select(F.col("node").alias("rep"), "component"), "rep", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "doc_id").alias("component_id"), F.coalesce("n_class", F.lit(1)).alias("n_class"), F.coalesce("rep", "doc_id").alias("class_id")
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "doc_id").alias("component_id"), F.coalesce("n_class", F.lit(1)).alias("n_class"), F.coalesce("rep", "doc_id").alias("class_id"), "text_hash"
     )
-    alone = rows.where("doc_id is null").select("doc_id", F.col("n").alias("n_shingles"), F.lit(None).cast("long").alias("component_id"), F.lit(1).cast("long").alias("n_class"), F.lit(None).cast("long").alias("class_id"))
+    alone = rows.where("doc_id is null").select("doc_id", F.col("n").alias("n_shingles"), F.lit(None).cast("long").alias("component_id"), F.lit(1).cast("long").alias("n_class"), F.lit(None).cast("long").alias("class_id"), "text_hash")
     return placed_docs.unionByName(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
