@@ -2,48 +2,58 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forgelake.llm import decontaminate, language, mixing, near_dup, private
-from forgelake.llm.shared import new_path, read_table, tune
+from forgelake.llm.shared import cut_lineage, filled, new_path, read_table, tune
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Documents whose id is not among some; a null id stays."""
-    return docs.join(ids.select("doc_id").where("doc_id is not null").distinct(), "doc_id", "left_anti").select(*docs.columns)
+def _row_key() -> Column:
+    """A 64-bit hash of a document's id and text: tells rows apart that repeat an id or have none; equal rows share it.
+
+    Among n rows two different ones meet with a chance of n * n / 2 ** 65, and then share a decision.
+    """
+    return F.xxhash64(F.col("doc_id"), filled("text"))
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no language can be recognised (null texts, texts without a letter) go.
 
     Learns from the documents' own labels. Without any labelled document nothing is judged
-    but the letters.
+    but the letters. Every row is judged by itself, whatever its id.
     """
     tune(spark)
     model = language.fit(docs)
-    judged = language.score(docs, model)
+    judged = language.score(docs, model, carry=True)
     # `und` for want of a learned language is no reason to go.
-    rejected = judged.where("lang_pred = 'und'") if model.languages else docs.where(~F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
-    return _without(docs, rejected).where(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
+    kept = judged.where("lang_pred <> 'und'") if model.languages else judged.where(F.coalesce(F.col("row.text").rlike(r"\p{L}"), F.lit(False)))
+    return kept.select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (five words, 0.8) stays: the one with the smallest id.
 
-    Of rows that repeat an id, one stays; rows with a null id all stay.
+    Of rows that repeat an id, one stays: with the text that was judged for the id, and among
+    equal texts the one whose columns come first as JSON. Rows with a null id all stay.
     """
-    kept = near_dup.near_duplicates(docs, shingle=5, percent=80).where("kept and doc_id is not null").select("doc_id")
-    named = docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
-    repeated = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    once = named.join(repeated, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
-    return named.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(once).unionByName(docs.where("doc_id is null"))
+    found = near_dup.near_duplicates(docs, shingle=5, percent=80).where("kept and doc_id is not null").select("doc_id", "text_hash")
+    times = docs.where("doc_id is not null").groupBy("doc_id").agg((F.count("*") > 1).alias("many"))
+    kept = cut_lineage(found.join(times, "doc_id").select(F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash"), "many"), "kept")
+
+    def named(which: DataFrame) -> DataFrame:
+        return docs.join(which, (docs["doc_id"] == which["kept_id"]) & (F.xxhash64(filled("text")) == which["kept_hash"]), "left_semi")
+
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    once = named(kept.where("many")).groupBy("doc_id").agg(F.min_by(whole, F.to_json(whole)).alias("row")).select("row.*")
+    return named(kept.where("not many")).unionByName(once).unionByName(docs.where("doc_id is null"))
 
 
 def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold at least half of a test item, also edited, go."""
-    found = decontaminate.contaminated(docs, read_table(spark, sf_dir, "benchmark"))
-    return _without(docs, found)
+    """Documents that hold at least half of a test item, also edited, go; each row by its own text, whatever its id."""
+    found = decontaminate.contaminated(docs.select(_row_key().alias("doc_id"), "text"), read_table(spark, sf_dir, "benchmark"))
+    found = found.select(F.col("doc_id").alias("found_key")).distinct()
+    return docs.join(found, _row_key() == found["found_key"], "left_anti")
 
 
 def redact_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
