@@ -258,8 +258,8 @@ def _met(lists: DataFrame, representatives: DataFrame, percent: int) -> DataFram
     return rows.select("key", "p", "q", "rep", "n", "comp", "block", "low").mapInArrow(run, "a long, b long").distinct()
 
 
-def _linked_within(links: DataFrame, met: DataFrame, representatives: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Confirmed pairs between the components of `links` that pairs of `met` connect.
+def _linked_within(links: DataFrame, known: DataFrame, met: DataFrame, representatives: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Confirmed pairs between the components `known` of `links` that pairs of `met` connect.
 
     What `met` connects is a group; whatever is linked at all lies in one group. Its members
     are compared on their full sets, which travel once per block and not once per pair, and
@@ -284,8 +284,7 @@ def _linked_within(links: DataFrame, met: DataFrame, representatives: DataFrame,
                 yield _pair_batch(a, b)
 
     placed = components(links.unionByName(met)).select(F.col("node").alias("rep"), F.col("component").alias("key"))
-    known = components(links).select(F.col("node").alias("rep"), F.col("component").alias("comp"))
-    placed = placed.join(known, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
+    placed = placed.join(known.select(F.col("node").alias("rep"), F.col("component").alias("comp")), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
     rows = cut_lineage(placed.join(representatives.select("rep", "n"), "rep"), "groups")
     pieces = cut_lineage(_pieces(rows, "key", F.col("n") + SET_WEIGHT, SET_BLOCK), "pieces")
     sets = _full_sets(docs, pieces.select("rep").distinct(), shingle)
@@ -386,9 +385,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     for salt in range(HEAD_ROUNDS):
         found = confirmed(cut_lineage(_agreeing(_heads(lists, salt), representatives), "pairs"))
         links = found if links is None else links.unionByName(found)
-        lists = _with_components(lists, components(links))
+        known = components(links)
+        lists = _with_components(lists, known)
     met = cut_lineage(_met(lists, representatives, percent), "met")
-    final = components(links.unionByName(cut_lineage(_linked_within(links, met, representatives, docs, shingle, percent), "links")))
+    final = components(links.unionByName(cut_lineage(_linked_within(links, known, met, representatives, docs, shingle, percent), "links")))
 
     placed_docs = members.join(final.select(F.col("node").alias("rep"), "component"), "rep", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "doc_id").alias("component_id"), F.coalesce("n_class", F.lit(1)).alias("n_class"), F.coalesce("rep", "doc_id").alias("class_id"), "text_hash"
