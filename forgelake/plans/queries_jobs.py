@@ -409,9 +409,8 @@ def stream_duplicate_ratio(lake: Lake) -> DataFrame:
     path = new_path(lake.spark, "stream-input")
     rows = lake.sql(LATER.format("make_dt_interval(0, 0, cast(copy * (id % 4) as int))"))
     rows.select("id", F.col("created_at").cast("timestamp").alias("created_at")).repartition(3, "created_at").write.parquet(path)
-    out = new_path(lake.spark, "ratio")
-    with ratio.keyed_state(lake.spark):
-        jobs.run_to_end(ratio.sighting_changes(stream_of(lake, path)), ratio.ratio_sink(out), new_path(lake.spark, "checkpoint"))
+    out, firsts = new_path(lake.spark, "ratio"), new_path(lake.spark, "firsts")
+    jobs.run_to_end(ratio.sightings(stream_of(lake, path)), ratio.ratio_sink(out, firsts), new_path(lake.spark, "checkpoint"))
     return ratio.folded_ratio(lake.spark.read.parquet(out)).withColumn("bucket", secs("bucket"))
 
 

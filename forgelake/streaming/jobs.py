@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -125,13 +125,13 @@ def id_range(key: str, width: int = ID_RANGE) -> Column:
     return F.coalesce(F.floor(number / F.lit(width)), -1 - F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(64)))
 
 
-def stored_near(spark: SparkSession, path: str, batch: DataFrame, batch_id: int, key: str, width: int) -> DataFrame:
-    """Keys that earlier batches stored, of the folders that a batch touches only.
+def stored_near(spark: SparkSession, path: str, batch: DataFrame, batch_id: int, key: str, width: int, columns: Sequence[str] = ()) -> DataFrame:
+    """Keys (and other columns) that earlier batches stored, of the folders that a batch touches only.
 
     The touched folders, at most MOST_RANGES numbers, become a partition filter; a batch that is
     spread wider reads the whole store.
     """
-    like = batch.select(key).withColumns({"batch_id": F.lit(0), "id_range": F.lit(0).cast("bigint")})
+    like = batch.select(key, *columns).withColumns({"batch_id": F.lit(0), "id_range": F.lit(0).cast("bigint")})
     earlier = read_or_empty(spark, path, like).filter(F.col("batch_id") < batch_id)
     touched = [r["r"] for r in batch.select(id_range(key, width).alias("r")).distinct().limit(MOST_RANGES + 1).collect()]
     return earlier.filter(F.col("id_range").isin(touched)) if len(touched) <= MOST_RANGES else earlier

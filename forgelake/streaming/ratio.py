@@ -1,93 +1,58 @@
 """New and duplicate events per minute on a stream, right for any order and lateness.
 
-Two operators follow each other. The first keeps, per event id, the minute of its first
-sighting, in keyed state; it tells what a batch changes: sightings per minute, and a moved
-`new` when an earlier sighting comes in late. The second adds these changes up per minute and
-stores them batch by batch. Nothing is dropped behind a watermark; a late row is a change like
-any other. Folding the stored changes gives the batch operator's result at any moment.
+Per event id the minute of its first sighting is stored, by batch and by range of ids as in the
+store of `exact_dedup_sink`. A batch is joined with the ranges its ids fall into; that tells
+what it changes: sightings per minute, and a moved `new` when an earlier sighting comes in late.
+These changes are stored batch by batch. Nothing is dropped behind a watermark; a late row is a
+change like any other. Folding the stored changes gives the batch operator's result at any moment.
 """
 
 from __future__ import annotations
 
-import sys
-from collections import Counter
-from collections.abc import Iterator
-from contextlib import contextmanager
+import time
 
-from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor
 
-from forgelake.streaming.jobs import append_batch, previous_batch
+from forgelake.session import cut_lineage
+from forgelake.streaming.jobs import ID_RANGE, append_batch, id_range, previous_batch, stored_near
 
-# The processor goes to the workers by value: they need not have this library.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+def sightings(events: DataFrame, ts: str = "created_at", key: str = "id", width: str = "minute") -> DataFrame:
+    """key and unit (seconds) of each event that has both."""
+    units = events.select(F.col(key).alias("key"), F.unix_seconds(F.date_trunc(width, ts)).alias("unit"))
+    return units.filter("key is not null and unit is not null")
 
 
-@contextmanager
-def keyed_state(spark: SparkSession) -> Iterator[None]:
-    """Streams started inside keep their state in RocksDB, as keyed state needs it."""
-    before = spark.conf.get(_PROVIDER, None)
-    spark.conf.set(_PROVIDER, _ROCKSDB)
-    try:
-        yield
-    finally:
-        spark.conf.unset(_PROVIDER) if before is None else spark.conf.set(_PROVIDER, before)
+def ratio_sink(path: str, firsts: str, forget_after_ms: int | None = None, width: int = ID_RANGE):
+    """foreachBatch over sightings: what a batch changes (unit, total, fresh), one row per unit, under its own id.
 
-
-class FirstSightings(StatefulProcessor):
-    """Per id the first unit it was seen in; rows of any number are counted chunk by chunk."""
-
-    def __init__(self, forget_after_ms: int | None):
-        self.forget_after_ms = forget_after_ms
-
-    def init(self, handle) -> None:
-        self.first = handle.getValueState("first", "unit long", self.forget_after_ms)
-
-    def handleInputRows(self, key, rows, timerValues):
-        import pandas as pd
-
-        seen: Counter = Counter()
-        for chunk in rows:
-            seen.update(chunk["unit"].tolist())
-        new: Counter = Counter()
-        low = min(seen)
-        known = self.first.get()[0] if self.first.exists() else None
-        if known is None or low < known:
-            new[low] += 1
-            if known is not None:
-                new[known] -= 1
-            self.first.update((low,))
-        elif self.forget_after_ms is not None:
-            self.first.update((known,))  # seen again: remembered anew
-        units = sorted(set(seen) | set(new))
-        yield pd.DataFrame({"unit": units, "total": [seen[u] for u in units], "fresh": [new[u] for u in units]})
-
-    def close(self) -> None:
-        pass
-
-
-def sighting_changes(events: DataFrame, ts: str = "created_at", key: str = "id", width: str = "minute", forget_after_ms: int | None = None) -> DataFrame:
-    """unit (seconds), total, fresh: what each batch of a stream changes.
-
-    State grows by one number per id. With `forget_after_ms` an id that was silent so long, in
-    processing time, is forgotten; a copy after that counts as new.
+    `firsts` is the folder of the first sightings; it grows by one row per id, and one more when
+    an earlier sighting comes in. With `forget_after_ms` an id that was silent so long, in
+    processing time, is forgotten; a copy after that counts as new. Then every batch an id is
+    seen in stores it anew.
     """
-    units = events.select(F.col(key).alias("key"), F.unix_seconds(F.date_trunc(width, ts)).alias("unit")).filter("key is not null and unit is not null")
-    mode = "None" if forget_after_ms is None else "ProcessingTime"
-    return units.groupBy("key").transformWithStateInPandas(FirstSightings(forget_after_ms), "unit long, total long, fresh long", "Append", mode)
-
-
-def ratio_sink(path: str):
-    """foreachBatch: the changes of a batch, one row per unit, under its own id."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        previous_batch(batch.sparkSession, path, "batch_id=", batch_id)
-        append_batch(path, batch_id, batch.groupBy("unit").agg(F.sum("total").alias("total"), F.sum("fresh").alias("fresh")))
+        spark = batch.sparkSession
+        previous_batch(spark, path, "batch_id=", batch_id)
+        now = int(time.time() * 1000)
+        batch = cut_lineage(batch, "batch")
+        seen = batch.groupBy("key").agg(F.min("unit").alias("low")).withColumn("seen_ms", F.lit(now))
+        earlier = stored_near(spark, firsts, seen, batch_id, "key", width, ["low", "seen_ms"])
+        if forget_after_ms is not None:
+            earlier = earlier.filter(F.col("seen_ms") + forget_after_ms > now)
+        known = earlier.groupBy("key").agg(F.min("low").alias("known"))
+        moved = F.col("known").isNull() | (F.col("low") < F.col("known"))
+        judged = seen.join(known, "key", "left")
+        judged = judged.filter(moved) if forget_after_ms is None else judged
+        kept = judged.select("key", F.least("low", "known").alias("low"), "seen_ms", "known", id_range("key", width).alias("id_range"))
+        kept.repartition("id_range").write.mode("overwrite").partitionBy("id_range").parquet(f"{firsts}/batch_id={batch_id}")
+        stored = spark.read.schema(kept.schema).parquet(f"{firsts}/batch_id={batch_id}").filter(moved)
+        changes = batch.select("unit", F.lit(1).alias("total"), F.lit(0).alias("fresh")).unionByName(
+            stored.select(F.col("low").alias("unit"), F.lit(0).alias("total"), F.lit(1).alias("fresh"))
+        ).unionByName(stored.filter("known is not null").select(F.col("known").alias("unit"), F.lit(0).alias("total"), F.lit(-1).alias("fresh")))
+        append_batch(path, batch_id, changes.groupBy("unit").agg(F.sum("total").alias("total"), F.sum("fresh").alias("fresh")))
 
     return write
 
