@@ -134,20 +134,29 @@ def parse_worker_lines(lines: DataFrame) -> DataFrame:
         .when(line.contains("Forbidden"), "forbidden")
         .otherwise("request")
     )
-    url = F.split(extract(line, REQUEST, 4), "/")
-    stage = F.coalesce(F.get(F.split(F.get(url, F.lit(6)), r"\?"), F.lit(0)), F.lit("repo"))
     asked = F.col("kind") == "request"
     slept = F.col("kind") == "sleep"
-    rows = lines.filter(line.contains("api_client.rb")).withColumn("kind", kind).select(once(
-        F.coalesce(F.when(asked, extract(line, REQUEST, 2)).when(slept, extract(line, SLEEPING, 2)).otherwise(extract(line, WORKER, 1))).alias("pid"),
+    # Each part of a line is searched for once; what is made of the parts comes after.
+    found = lines.filter(line.contains("api_client.rb")).withColumn("kind", kind).select("seq", "line", "kind", once(
+        *[F.when(asked, F.regexp_extract(line, REQUEST, n)).alias(f"r{n}") for n in range(1, 7)],
+        *[F.when(slept, F.regexp_extract(line, SLEEPING, n)).alias(f"s{n}") for n in range(1, 4)],
+    ))
+
+    def part(name: str) -> Column:
+        return F.nullif(F.col(name), F.lit(""))
+
+    url = F.split(part("r4"), "/")
+    stage = F.coalesce(F.get(F.split(F.get(url, F.lit(6)), r"\?"), F.lit(0)), F.lit("repo"))
+    rows = found.select(once(
+        F.coalesce(part("r2"), part("s2"), extract(line, WORKER, 1)).alias("pid"),
         F.col("seq"), F.col("kind"),
-        F.unix_seconds(F.try_to_timestamp(F.when(asked, extract(line, REQUEST, 1)).when(slept, extract(line, SLEEPING, 1)))).alias("ts"),
-        F.when(asked, extract(line, REQUEST, 3)).alias("ip"),
+        F.unix_seconds(F.try_to_timestamp(F.when(asked, part("r1")).when(slept, part("s1")))).alias("ts"),
+        part("r3").alias("ip"),
         F.when(asked, F.concat_ws("/", F.get(url, F.lit(4)), F.get(url, F.lit(5)))).alias("repo"),
         F.when(asked, stage).alias("stage"),
-        F.when(asked, extract(line, REQUEST, 5).try_cast("bigint")).alias("remaining"),
-        F.when(asked, extract(line, REQUEST, 6).try_cast("bigint")).alias("ms"),
-        F.when(slept, extract(line, SLEEPING, 3).try_cast("bigint")).alias("sleep"),
+        part("r5").try_cast("bigint").alias("remaining"),
+        part("r6").try_cast("bigint").alias("ms"),
+        part("s3").try_cast("bigint").alias("sleep"),
         F.lit(1).cast("bigint").alias("weight"),
     ))
     return rows.filter("pid is not null")

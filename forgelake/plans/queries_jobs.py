@@ -79,7 +79,7 @@ WORKER_LINES = """select event_id as seq, case event_type
   when 'error' then '[x #' || pid || '] WARN api_client.rb: 404 Not Found'
   when 'signup' then '[' || day || '.1 #' || pid || '] INFO api_client.rb: sleeping for ' || k || ' seconds'
   else '[' || day || '.1 #' || pid || '] DEBUG api_client.rb: [10.0.0.' || k || '] Request: https://api.github.com/repos/o/r' || (k % 3) || '/commits?page=1 (' || k || ' remaining) took ' || user_id || ' ms' end as line
-from (select event_id, event_type, user_id, user_id % 8 as pid, date_format(ts, "yyyy-MM-dd'T'HH:mm:ss") as day, cast(regexp_extract(props, '([0-9]+)', 1) as bigint) as k from events) e"""
+from (select event_id, event_type, user_id, user_id % 8 as pid, date_format(ts, "yyyy-MM-dd'T'HH:mm:ss") as day, cast(regexp_extract(props, '([0-9]+)', 1) as bigint) as k from v_dealt_events) e"""
 WORKER_SQL = f"""with l as ({WORKER_PARTS}), r as (select *, 'o/r' || cast(k % 3 as varchar) as repo from l where kind not in ('error', 'signup')),
  last as (select pid, arg_max(repo, seq) as repo, max(seq) as seq, arg_max(k, seq) as remaining from r group by 1),
  other as (select r.pid, max(r.seq) as seq from r join last on last.pid = r.pid and r.repo <> last.repo group by 1),
@@ -450,8 +450,9 @@ def stream_worker_states(lake: Lake) -> DataFrame:
     path = new_path(lake.spark, "stream-input")
     lines = lake.sql(WORKER_LINES)
     middle = lines.select(F.expr("approx_percentile(seq, 0.5)")).first()[0]
-    lines.filter(F.col("seq") <= middle).coalesce(1).write.parquet(path)
-    lines.filter(F.col("seq") > middle).coalesce(1).write.mode("append").parquet(path)
-    states = new_path(lake.spark, "states")
-    last = jobs.run_to_end(stream_of(lake, path), jobs.worker_sink(states), new_path(lake.spark, "checkpoint"))
+    states, checkpoint = new_path(lake.spark, "states"), new_path(lake.spark, "checkpoint")
+    # The log grows and the stream goes on from where it was: each half is one batch, in any number of files.
+    for half in (F.col("seq") <= middle, F.col("seq") > middle):
+        lines.filter(half).write.mode("append").parquet(path)
+        last = jobs.run_to_end(stream_of(lake, path, None), jobs.worker_sink(states), checkpoint)
     return lake.spark.read.parquet(f"{states}/v{last:09d}").select(*STATE)

@@ -16,7 +16,8 @@ COMMIT_SCHEMA = "version bigint, batch_id bigint, places map<string,string>"
 
 
 def empty_table(spark: SparkSession, name: str) -> DataFrame:
-    return spark.createDataFrame([], schemas.table_schema(name))
+    """No rows, and known to have none: joins with it are left out of a plan."""
+    return spark.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schemas.table_schema(name).fields]).limit(0)
 
 
 def empty_tables(spark: SparkSession) -> dict[str, DataFrame]:

@@ -206,7 +206,7 @@ def worker_sink(states: str) -> Callable[[DataFrame, int], None]:
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        lines = parse_worker_lines(batch).select(*WORKER_COLUMNS)
+        lines = cut_lineage(parse_worker_lines(batch).select(*WORKER_COLUMNS), "worker_lines")
         previous = previous_version(spark, states, batch_id, worker_latest(lines))
         touched = previous.join(lines.select("pid").distinct(), "pid", "left_semi")
         fresh = worker_latest(state_lines(touched).unionByName(lines))
