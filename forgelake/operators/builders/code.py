@@ -151,12 +151,27 @@ def next_commits(table: DataFrame, commits: DataFrame, resolution: DataFrame, pr
     return append_with_ids(table, rows, ["sha"])
 
 
+#: A parent of more commits than this is looked up by broadcast.
+MANY_CHILDREN = 100_000
+
+
 def commit_parent_rows(raw_commits: DataFrame, commits: DataFrame) -> DataFrame:
     """commit_id, parent_id edges; an edge to an unknown parent is dropped."""
-    edges = raw_commits.select("sha", F.explode("parents").alias("p")).select(
+    edges = cut_lineage(raw_commits.select("sha", F.explode("parents").alias("p")).select(
         "sha", F.coalesce(url_sha(F.col("p.url")), F.col("p.sha")).alias("parent_sha")
-    ).distinct()
-    return resolve_edges(edges, commits)
+    ), "edges")
+    # A parent of very many commits would bring all their edges into one task: its edges are looked up by broadcast.
+    # There are few such parents, at most one in MANY_CHILDREN edges; counts are summed before the shuffle.
+    counted = edges.groupBy(F.xxhash64("parent_sha").alias("h")).agg(F.count("*").alias("n")).filter(F.col("n") > MANY_CHILDREN)
+    many = cut_lineage(counted.select("h"), "many")
+    hashed = edges.withColumn("h", F.xxhash64("parent_sha"))
+    known = commits.withColumn("h", F.xxhash64("sha")).join(F.broadcast(many), "h", "left_semi")
+    frequent = hashed.join(F.broadcast(many), "h", "left_semi").drop("h")
+    frequent = frequent.join(F.broadcast(known.select(F.col("sha").alias("parent_sha")).distinct()), "parent_sha", "left_semi")
+    others = hashed.join(F.broadcast(many), "h", "left_anti").drop("h")
+    named = frequent.distinct().join(commits.select("sha", F.col("id").alias("commit_id")), "sha")
+    told = named.join(F.broadcast(known.select(F.col("sha").alias("parent_sha"), F.col("id").alias("parent_id"))), "parent_sha")
+    return told.select("commit_id", "parent_id").unionByName(resolve_edges(others.distinct(), commits))
 
 
 def resolve_edges(edges: DataFrame, commits: DataFrame) -> DataFrame:

@@ -156,8 +156,8 @@ from (select *, row_number() over (partition by line_key, pos_key order by l_shi
       from (select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, case when l_linenumber is not null then l_orderkey end as line_key,
                    case when l_orderkey is not null then l_linenumber end as pos_key from lineitem) k) f where rn = 1""",
     "v_parents": f"""select {_SHA.format(pos='l_linenumber')} as sha, {_SHA.format(pos='(l_linenumber - 1)')} as parent_sha
-from (select distinct l_orderkey, l_linenumber from lineitem) a
-left semi join lineitem b on a.l_orderkey = b.l_orderkey and a.l_linenumber = b.l_linenumber + 1""",
+from (select l_orderkey, l_linenumber, row_number() over (partition by l_orderkey, l_linenumber order by l_linenumber) as rn
+      from lineitem a left semi join lineitem b on a.l_orderkey = b.l_orderkey and a.l_linenumber = b.l_linenumber + 1) f where rn = 1""",
     "w_project_commits": "select distinct cast(l_partkey as bigint) as project_id, l_orderkey * 8 + l_linenumber as commit_id from lineitem",
     "w_pr_commits": "select distinct l_orderkey as pull_request_id, l_orderkey * 8 + l_linenumber as commit_id from lineitem",
     # The feed as JSON documents, as the event API delivers them.

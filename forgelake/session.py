@@ -58,5 +58,5 @@ def cut_lineage(df: DataFrame, label: str = "stage") -> DataFrame:
     any executor, and come with a measured size for the join strategies.
     """
     path = new_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression="zstd")
     return df.sparkSession.read.schema(df.schema).parquet(path)
