@@ -1,15 +1,18 @@
 """Near-duplicate documents by an inverted join on MinHash signature coordinates.
 
-Every (coordinate, value) pair of a signature is a token under which the document is
-posted. Two documents whose sets have similarity s agree in about s * COORDINATES
-coordinates; a pair is retained when it agrees in at least MATCH of them, and confirmed
-on its full sets. Prefix and skip merging keep the lists short: a pair with MATCH common
-tokens has a common one among the COORDINATES - MATCH + 1 rarest of either document, so
-only these are posted, and the other coordinates are compared only for pairs met there.
-
-With 64 coordinates and a threshold of 34, a pair of similarity 0.8 is missed with a
-probability below 1e-6, a closer pair with less. Pairs that met must agree in 124 of 192
-coordinates, which a pair of similarity 0.8 misses as seldom.
+A coordinate is made of WIDTH least values, and every (coordinate, value) pair of a
+signature is a token under which the document is posted. Two documents whose sets have
+similarity s agree in about s ** WIDTH * COORDINATES coordinates; a pair is retained when
+it agrees in at least MATCH of them, and confirmed on its full sets. Prefix and skip
+merging keep the lists short: a pair with MATCH common tokens has a common one among the
+COORDINATES - MATCH + 1 rarest of either document, so only these are posted, and all least
+values are compared only for pairs met there. Coordinates of one least value each would
+meet documents that share little but frequent shingles, ever more of them as the input
+grows.
+
+With 36 coordinates of 4 least values and a threshold of 2, a pair of similarity 0.8 is
+missed with a probability below 1e-6, a closer pair with less. Pairs that met must agree
+in 124 of 192 least values, which a pair of similarity 0.8 misses as seldom.
 """
 
 from __future__ import annotations
@@ -25,9 +28,10 @@ from forgelake.llm.graph import components
 from forgelake.llm.shared import cut_lineage, filled, tune
 from forgelake.llm.text import mix, ngram_hashes, hash_words, text_blocks
 
-COORDINATES = 64
-MATCH = 34
-#: Coordinates compared of pairs that met, the posted ones among them, and how many must agree.
+COORDINATES = 36
+WIDTH = 4
+MATCH = 2
+#: Least values compared of pairs that met, those of the posted coordinates among them, and how many must agree.
 CHECKED = 192
 CHECK_MATCH = 124
 #: Members of a posting list that are compared in one piece of work.
@@ -63,13 +67,22 @@ def signature(grams: np.ndarray) -> np.ndarray:
     return (mix(low) >> np.uint64(32)).astype(np.uint32)
 
 
+def coordinates(least: np.ndarray) -> np.ndarray:
+    """The COORDINATES values that stand for WIDTH least values each."""
+    parts = least[: COORDINATES * WIDTH].reshape(COORDINATES, WIDTH).astype(np.uint64)
+    value = np.zeros(COORDINATES, dtype=np.uint64)
+    for k in range(WIDTH):
+        value = mix((value << np.uint64(32)) ^ (value >> np.uint64(32)) ^ parts[:, k])
+    return (value >> np.uint64(32)).astype(np.uint32)
+
+
 def tokens(signatures: np.ndarray) -> np.ndarray:
     """64-bit tokens of signature rows: one per (coordinate, value)."""
     return mix(signatures.astype(np.uint64) | (np.arange(COORDINATES, dtype=np.uint64) << np.uint64(32)))
 
 
 def _signed(docs: DataFrame, shingle: int) -> DataFrame:
-    """doc_id, hash of the text, set size, fingerprint of the set, posted coordinates and a byte of each checked one (bytes never agree too seldom)."""
+    """doc_id, hash of the text, set size, fingerprint of the set, posted coordinates and a byte of each least value (bytes never agree too seldom)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -85,7 +98,7 @@ def _signed(docs: DataFrame, shingle: int) -> DataFrame:
                 total, other = mixed.sum(dtype=np.uint64), mix(mixed + np.uint64(7)).sum(dtype=np.uint64)
                 prints.append(np.array([total, other, len(grams)], dtype=np.uint64).tobytes())
                 whole = signature(grams)
-                signatures.append(whole[:COORDINATES].tobytes())
+                signatures.append(coordinates(whole).tobytes())
                 lows.append(whole.astype(np.uint8).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()), pa.array(signatures, pa.binary()), pa.array(lows, pa.binary())],
@@ -152,7 +165,7 @@ def _low_rows(column: pa.Array) -> np.ndarray:
 
 
 def _agreeing(pairs: DataFrame, representatives: DataFrame) -> DataFrame:
-    """Of the pairs (rep, head) that agree in CHECK_MATCH coordinates at least, each document's best one, as (a, b)."""
+    """Of the pairs (rep, head) that agree in CHECK_MATCH least values at least, each document's best one, as (a, b)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -370,9 +383,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     single = rows.where("doc_id is not null").groupBy("doc_id").agg(F.min(F.struct("fp", "n", "text_hash")).alias("x")).select("doc_id", "x.*")
     classes = single.where("fp is not null").groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n_class"))
     members = cut_lineage(single.join(classes, "fp", "left").select("doc_id", "n", "rep", "n_class", "text_hash"), "classes")
-    representatives = cut_lineage(
-        rows.join(classes.select("fp", F.col("rep").alias("doc_id")), ["fp", "doc_id"]).select(F.col("doc_id").alias("rep"), "n", "sig", "low").dropDuplicates(["rep"]), "representatives"
-    )
+    # A representative has one set, so rows that repeat it are found where the join put them: signatures are shuffled once.
+    kept = rows.join(classes.select("fp", F.col("rep").alias("doc_id")), ["fp", "doc_id"]).dropDuplicates(["fp", "doc_id"])
+    representatives = cut_lineage(kept.select(F.col("doc_id").alias("rep"), "n", "sig", "low"), "representatives")
     sketch = spark.sparkContext.broadcast(_rarity(representatives))
     posted = _posted(representatives, sketch)
     shared = posted.groupBy("token").agg(F.count("*").alias("posted")).where("posted > 1")

@@ -72,6 +72,22 @@ def test_near_duplicates_of_a_large_group_and_odd_rows(spark, rows):
     assert near_dup.near_duplicates(rows([]), shingle=2).count() == 0
 
 
+def test_documents_that_share_frequent_shingles_only_do_not_meet(spark, rows):
+    rng = random.Random(2)
+    # Four fifths of the shingles are frequent ones, in an eighth of the documents each; two documents have a twentieth in common.
+    frequent = [" ".join(f"{c}{i}" for c in "abcde") for i in range(160)]
+    texts = [" ".join(rng.sample(frequent, 20)) for _ in range(300)]
+    signed = near_dup._signed(rows(list(enumerate(texts))), 2).selectExpr("doc_id as rep", "n", "sig")
+    sketch = spark.sparkContext.broadcast(near_dup._rarity(signed))
+    posted = near_dup._posted(signed, sketch)
+    shared = posted.join(posted.groupBy("token").count().where("count > 1"), "token")
+    assert 20 * shared.count() < posted.count()
+    # Documents that are four fifths alike have many a coordinate in common.
+    grams = near_dup.mix(np.arange(1, 101, dtype=np.uint64))
+    alike = [near_dup.coordinates(near_dup.signature(grams[i : i + 90])) for i in (0, 10)]
+    assert (alike[0] == alike[1]).sum() >= near_dup.MATCH
+
+
 def plain_kneser_ney(train, tests):
     uni, bi, starts = Counter(), Counter(), 0
     for t in train:
