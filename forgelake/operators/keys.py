@@ -44,9 +44,10 @@ def assign_dense_ids(
 def append_with_ids(table: DataFrame, rows: DataFrame, keys: list[str], id_col: str = "id") -> DataFrame:
     """Insert the rows whose key is new, with fresh ids; `rows` has one row per key.
 
-    The new rows are computed once and written; the steps that follow read them
-    beside the stored table.
+    The rows are computed once and written, since numbering reads their keys several
+    times; so are the new ones, which the steps that follow read beside the stored table.
     """
-    ids = assign_dense_ids(rows, table, keys, id_col)
-    fresh = cut_lineage(rows.drop(id_col).join(ids, keys), "new_rows")
+    staged = cut_lineage(rows.drop(id_col), "staged_rows")
+    ids = assign_dense_ids(staged, table, keys, id_col)
+    fresh = cut_lineage(staged.join(ids, keys), "new_rows")
     return table.unionByName(fresh, allowMissingColumns=True)

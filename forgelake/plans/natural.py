@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from forgelake.operators.changes import union_all
 from forgelake.operators.lookup import project_lookup
+from forgelake.session import cut_lineage
 
 Tables = dict[str, DataFrame]
 
@@ -63,11 +64,14 @@ def _text(name: str, kind: str) -> Column:
 def natural_rows(tables: Tables, names: list[str] | None = None, without: dict[str, list[str]] | None = None) -> DataFrame:
     """name and row: every row of the named tables as one text, ids written as what they name, null as `-`.
 
-    `without` lists columns to leave out, per table.
+    `without` lists columns to leave out, per table. Labels that take a join are stored: many tables point to them.
     """
-    labels = _labels(tables)
+    names = names or list(SAYS)
+    pointed_to = {said[1] for name in names for said in SAYS[name] if not isinstance(said, str)}
+    plain = ("users", "commits")
+    labels = {n: rows if n in plain else cut_lineage(rows, "labels") for n, rows in _labels(tables).items() if n in pointed_to}
     parts = []
-    for name in names or list(SAYS):
+    for name in names:
         dropped = (without or {}).get(name, [])
         df, texts = tables[name], []
         kinds = dict(df.dtypes)

@@ -28,43 +28,47 @@ FEED_COMMITS = """select md5(cast(k as string)) as sha, repo, owner, min(id) as
 union all select md5(cast(id as string) || '-1') || substr(md5(cast(id as string)), 1, 8), repo, owner, id, created_at from v_feed where type = 'PushEvent' and n_commits > 0
 union all select md5('p' || cast(id as string) || '-' || cast(i as string)) as sha, repo, owner, id, created_at from (select *, {one_to}(k % 3) as i from v_feed where type = 'PullRequestEvent' and k % 3 > 0)
 union all select md5(cast(id as string) || '-' || cast(i as string)) || substr(md5(cast(id as string)), 1, 8), repo, owner, id, created_at from (select *, n_commits + {one_to}(2) as i from v_feed where type = 'PushEvent' and n_commits >= 20)"""
-SPARK_COMMITS = FEED_COMMITS.replace("{one_to}(k % 3)", "explode(sequence(1L, k % 3))").replace("n_commits + {one_to}(2)", "explode(array(n_commits + 1, n_commits + 2))")
+SPARK_COMMITS = FEED_COMMITS.replace("v_feed", "w_feed").replace("{one_to}(k % 3)", "explode(sequence(1L, k % 3))").replace("n_commits + {one_to}(2)", "explode(array(n_commits + 1, n_commits + 2))")
 DUCK_COMMITS = FEED_COMMITS.replace("{one_to}(k % 3)", "unnest(range(1, k % 3 + 1))").replace("{one_to}(2)", "unnest([1, 2])").replace("as string)", "as varchar)")
 
 
 def feed_raw(lake: Lake) -> dict[str, DataFrame]:
-    """Staged records for the feed: accounts, repositories, and what events and refreshes point to."""
+    """Staged records for the feed: accounts, repositories, and what events and refreshes point to.
+
+    Each collection is stored, as a forge's raw records are: stages and batches read it again and again.
+    """
     person = "named_struct('login', owner) as user"
     repo = f"named_struct('sha', {TEXT}, 'repo', named_struct('name', name, 'full_name', repo, 'owner', named_struct('login', owner)))"
     mail = f"named_struct('name', owner, 'email', {TEXT}, 'date', cast(created_at as string))"
-    return {
-        "commits": lake.sql(f"""select sha, 'https://api.github.com/repos/' || repo || '/commits/' || sha as url, named_struct('login', owner) as author, named_struct('login', owner) as committer,
-            named_struct('author', {mail}, 'committer', {mail}) as commit, cast(array() as array<struct<sha:string,url:string>>) as parents, seq from ({SPARK_COMMITS}) c"""),
-        "commit_lists": lake.sql("""select owner, name as repo, -id * 100 + case when i <= n_commits then n_commits - i else i end as pos,
-            md5(concat(id, '-', i)) || substr(md5(cast(id as string)), 1, 8) as sha from (select *, explode(sequence(1L, n_commits + 2)) as i from v_feed where type = 'PushEvent' and n_commits >= 20)"""),
-        "commit_comments": lake.sql(f"""select id + 1000000 as id, md5(cast(k as string)) as commit_id, {person}, 'text' as body, 1 as line, 1 as position, cast(created_at as string) as created_at
-            from v_feed where type = 'CommitCommentEvent'"""),
-        "pull_requests": lake.sql(f"""select owner, name as repo, k as number, cast(min(created_at) as string) as created_at, {TEXT} as merged_at, {TEXT} as closed_at, named_struct('login', {TEXT}) as user,
-            named_struct('login', {TEXT}) as merged_by, {repo} as head, {repo} as base from v_feed where type = 'PullRequestReviewCommentEvent' group by owner, name, repo, k"""),
-        "pull_commit_lists": lake.sql("""select owner, name as repo, id as number, md5(concat('p', id, '-', i)) as sha, 'https://api.github.com/repos/' || repo || '/commits/x' as url
-            from (select *, explode(sequence(1L, k % 3)) as i from v_feed where type = 'PullRequestEvent' and k % 3 > 0)"""),
-        "pull_request_comments": lake.sql(f"""select cast(id + 1000000 as string) as id, owner, name as repo, cast(k as string) as pullreq_id, {TEXT} as issue_id, {person}, 'text' as body, 1 as original_position,
-            {TEXT} as original_commit_id, cast(created_at as string) as created_at from v_feed where type = 'PullRequestReviewCommentEvent'"""),
-        "issues": lake.sql(f"""select owner, name as repo, k as number, cast(min(created_at) as string) as created_at, {person}, named_struct('login', {TEXT}) as assignee,
-            named_struct('patch_url', {TEXT}) as pull_request, array(named_struct('name', 'bug')) as labels from v_feed where type in ('IssuesEvent', 'IssueCommentEvent') group by owner, name, k"""),
-        "issue_events": lake.sql("""select id + 3000000 as id, owner, name as repo, k as issue_id, case id % 4 when 0 then 'assigned' when 1 then 'closed' when 2 then 'referenced' else 'labeled' end as event,
-            md5(cast(k as string)) as commit_id, named_struct('login', actor) as actor, cast(created_at as string) as created_at from v_feed where type = 'IssuesEvent'"""),
-        "issue_comments": lake.sql(f"""select id + 1000000 as id, owner, name as repo, k as issue_id, {person}, cast(created_at as string) as created_at from v_feed where type = 'IssueCommentEvent'"""),
-        "repo_labels": lake.sql("select distinct owner, name as repo, 'bug' as name from v_feed union all select distinct owner, name, 'l' || cast(k % 5 as string) from v_feed"),
-        "users": lake.sql("select login, name, cast(null as string) as company, email, location, type, cast(created_at as string) as created_at from v_users"),
-        "org_members": lake.sql("select org, login from (select login as org, 'u' || cast(cast(substr(login, 2) as bigint) + 1 as string) as login from v_users) m where cast(substr(org, 2) as bigint) % 3 < 2"),
-        "repos": lake.sql("""select named_struct('login', owner) as owner, name, 'url' as url, 'd' as description, 'l' as language, cast(min(created_at) as string) as created_at,
-            named_struct('name', cast(null as string), 'owner', named_struct('login', cast(null as string))) as parent from v_feed group by owner, name"""),
-        "topics": lake.sql("select owner, name as repo, array('x', 't' || cast(min(k) % 5 as string)) as names from v_feed group by owner, name"),
-        "languages": lake.sql("select owner, name as repo, map('Ruby', cast(min(k) * 10 as string)) as languages from v_feed group by owner, name"),
-        "watchers": lake.sql("select distinct owner, name as repo, 'u' || cast(k + 7 as string) as login, '2020-01-01 00:00:00' as created_at from v_feed"),
-        "forks": lake.sql("select distinct owner, name as repo, k as id, cast(null as string) as url, 'u' || cast(k + 3 as string) || '/g' || cast(k as string) as full_name from v_feed"),
+    texts = {
+        "commits": f"""select sha, 'https://api.github.com/repos/' || repo || '/commits/' || sha as url, named_struct('login', owner) as author, named_struct('login', owner) as committer,
+            named_struct('author', {mail}, 'committer', {mail}) as commit, cast(array() as array<struct<sha:string,url:string>>) as parents, seq from ({SPARK_COMMITS}) c""",
+        "commit_lists": """select owner, name as repo, -id * 100 + case when i <= n_commits then n_commits - i else i end as pos,
+            md5(concat(id, '-', i)) || substr(md5(cast(id as string)), 1, 8) as sha from (select *, explode(sequence(1L, n_commits + 2)) as i from w_feed where type = 'PushEvent' and n_commits >= 20)""",
+        "commit_comments": f"""select id + 1000000 as id, md5(cast(k as string)) as commit_id, {person}, 'text' as body, 1 as line, 1 as position, cast(created_at as string) as created_at
+            from w_feed where type = 'CommitCommentEvent'""",
+        "pull_requests": f"""select owner, name as repo, k as number, cast(min(created_at) as string) as created_at, {TEXT} as merged_at, {TEXT} as closed_at, named_struct('login', {TEXT}) as user,
+            named_struct('login', {TEXT}) as merged_by, {repo} as head, {repo} as base from w_feed where type = 'PullRequestReviewCommentEvent' group by owner, name, repo, k""",
+        "pull_commit_lists": """select owner, name as repo, id as number, md5(concat('p', id, '-', i)) as sha, 'https://api.github.com/repos/' || repo || '/commits/x' as url
+            from (select *, explode(sequence(1L, k % 3)) as i from w_feed where type = 'PullRequestEvent' and k % 3 > 0)""",
+        "pull_request_comments": f"""select cast(id + 1000000 as string) as id, owner, name as repo, cast(k as string) as pullreq_id, {TEXT} as issue_id, {person}, 'text' as body, 1 as original_position,
+            {TEXT} as original_commit_id, cast(created_at as string) as created_at from w_feed where type = 'PullRequestReviewCommentEvent'""",
+        "issues": f"""select owner, name as repo, k as number, cast(min(created_at) as string) as created_at, {person}, named_struct('login', {TEXT}) as assignee,
+            named_struct('patch_url', {TEXT}) as pull_request, array(named_struct('name', 'bug')) as labels from w_feed where type in ('IssuesEvent', 'IssueCommentEvent') group by owner, name, k""",
+        "issue_events": """select id + 3000000 as id, owner, name as repo, k as issue_id, case id % 4 when 0 then 'assigned' when 1 then 'closed' when 2 then 'referenced' else 'labeled' end as event,
+            md5(cast(k as string)) as commit_id, named_struct('login', actor) as actor, cast(created_at as string) as created_at from w_feed where type = 'IssuesEvent'""",
+        "issue_comments": f"""select id + 1000000 as id, owner, name as repo, k as issue_id, {person}, cast(created_at as string) as created_at from w_feed where type = 'IssueCommentEvent'""",
+        "repo_labels": "select distinct owner, name as repo, 'bug' as name from w_feed union all select distinct owner, name, 'l' || cast(k % 5 as string) from w_feed",
+        "users": "select login, name, cast(null as string) as company, email, location, type, cast(created_at as string) as created_at from v_users",
+        "org_members": "select org, login from (select login as org, 'u' || cast(cast(substr(login, 2) as bigint) + 1 as string) as login from v_users) m where cast(substr(org, 2) as bigint) % 3 < 2",
+        "repos": """select named_struct('login', owner) as owner, name, 'url' as url, 'd' as description, 'l' as language, cast(min(created_at) as string) as created_at,
+            named_struct('name', cast(null as string), 'owner', named_struct('login', cast(null as string))) as parent from w_feed group by owner, name""",
+        "topics": "select owner, name as repo, array('x', 't' || cast(min(k) % 5 as string)) as names from w_feed group by owner, name",
+        "languages": "select owner, name as repo, map('Ruby', cast(min(k) * 10 as string)) as languages from w_feed group by owner, name",
+        "watchers": "select distinct owner, name as repo, 'u' || cast(k + 7 as string) as login, '2020-01-01 00:00:00' as created_at from w_feed",
+        "forks": "select distinct owner, name as repo, k as id, cast(null as string) as url, 'u' || cast(k + 3 as string) || '/g' || cast(k as string) as full_name from w_feed",
     }
+    return {name: lake.staged(name, text) for name, text in texts.items()}
 
 
 # ---- the same in SQL -----------------------------------------------------

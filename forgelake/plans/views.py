@@ -140,6 +140,8 @@ from documents""",
 from (select event_id as id, ts as created_at, user_id as actor_id, 'u' || cast(user_id as string) as actor,
              cast(regexp_extract(props, '([0-9]+)', 1) as bigint) as k, event_type as kind
       from events) e""",
+    # The feed as a stored table, for jobs that read it many times.
+    "w_feed": "select * from v_feed",
 }
 
 SPARK_VIEWS: dict[str, str] = {
@@ -278,6 +280,16 @@ class Lake:
             _written[key] = path
         return _written[key]
 
+    def staged(self, name: str, text: str) -> DataFrame:
+        """A staged collection as stored records, made once per session and table folder: jobs read it many times."""
+        key = (self.spark.sparkContext.applicationId, self.folder, f"staged {name}: {text}")
+        found = self.sql(text)
+        if key not in _written:
+            path = new_path(self.spark, name)
+            found.write.parquet(path, compression="zstd")
+            _written[key] = path
+        return self.spark.read.schema(found.schema).parquet(_written[key])
+
     def feed(self) -> DataFrame:
         """The event feed as the handlers take it."""
         return read_events(self.spark, self.feed_files())

@@ -7,9 +7,10 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from forgelake.operators import logs
+from forgelake.operators import keys, logs
 from forgelake.operators.builders import code
 from forgelake.plans import views
+from forgelake.plans.queries_apply import feed_raw
 from forgelake.sources.tables import empty_table
 from forgelake.streaming import jobs
 
@@ -78,3 +79,42 @@ def test_empty_tables_are_known_to_be_empty(spark):
     empty = empty_table(spark, "commits")
     assert "LocalTableScan" in empty._jdf.queryExecution().executedPlan().toString()
     assert empty.count() == 0
+
+
+def test_staged_collections_are_stored_once_and_read_without_the_events(lake):
+    day = datetime(2024, 1, 1)
+    spark = lake.spark
+    for name, schema, row in [
+        ("customer", "c_custkey bigint, c_name string, c_nationkey bigint, c_mktsegment string", (1, "n", 1, "BUILDING")), ("nation", "n_nationkey bigint, n_name string, n_regionkey bigint", (1, "x", 1)),
+        ("region", "r_regionkey bigint, r_name string", (1, "r")), ("orders", "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp", (1, 1, day)), ("labels", "doc_id bigint", (1,)),
+    ]:
+        spark.createDataFrame([row], schema).write.mode("overwrite").parquet(f"{lake.folder}/{name}.parquet")
+    raw, again = feed_raw(lake), feed_raw(lake)
+    for name, rows in raw.items():
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan and "Aggregate" not in plan and "regexp_extract" not in plan, name
+        assert rows.inputFiles() == again[name].inputFiles()
+        assert not any(f"{lake.folder}/" in file for file in rows.inputFiles())
+    numbers = lake.sql("select owner, name as repo, id as number, 'x' as s from v_feed where type = 'PullRequestEvent' and k % 3 > 0").select("owner", "repo", "number")
+    assert set(raw["pull_commit_lists"].select("owner", "repo", "number").collect()) == set(numbers.collect())
+    places = lake.sql("select distinct owner, name from v_feed")
+    assert sorted(raw["repos"].select("owner.login", "name").collect(), key=str) == sorted(places.collect(), key=str)
+
+
+def test_rows_are_computed_once_before_they_are_numbered(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(n):
+        made.add(1)
+        return f"u{n % 50}" if n else None
+
+    login = F.udf(counted, "string").asNondeterministic()
+    table = spark.createDataFrame([(7, "u3", None), (9, None, "x")], "id bigint, login string, name string")
+    rows = spark.range(0, 50, 1, 2).select(login("id").alias("login"), F.lit("n").alias("name"))
+    found = keys.append_with_ids(table, rows, ["login"]).collect()
+    assert made.value == 50
+    assert sorted(r["login"] for r in found if r["login"]) == sorted(f"u{n}" for n in range(1, 50))
+    # As before, a row without a key gets no id and is left out, yet takes a number.
+    assert sum(r["login"] is None for r in found) == 1
+    ids = [r["id"] for r in found if r["name"] == "n"]
+    assert len(set(ids)) == len(ids) == 48 and min(ids) >= 10 and max(ids) <= 58
