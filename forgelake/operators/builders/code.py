@@ -191,8 +191,8 @@ def project_commit_rows(pairs: DataFrame, projects: DataFrame, users: DataFrame,
     )
 
 
-def next_project_commits(table: DataFrame, rows: DataFrame) -> DataFrame:
-    return insert_missing(table, rows, ["project_id", "commit_id"])
+def next_project_commits(table: DataFrame, rows: DataFrame, stored: bool = False) -> DataFrame:
+    return insert_missing(table, rows, ["project_id", "commit_id"], stored=stored)
 
 
 def language_rows(staged: DataFrame, projects: DataFrame, users: DataFrame, now: Column) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forgelake.operators.changes import insert_missing, update_later, upsert
+from forgelake.operators.changes import insert_missing, kept, update_later, upsert
 from forgelake.operators.lookup import project_keys, user_keys
 
 
@@ -39,12 +39,12 @@ def follower_rows(staged: DataFrame, users: DataFrame) -> DataFrame:
     )
 
 
-def next_followers(table: DataFrame, staged: DataFrame, users: DataFrame) -> DataFrame:
+def next_followers(table: DataFrame, staged: DataFrame, users: DataFrame, stored: bool = False) -> DataFrame:
     """A dated sighting overwrites the date; an undated one only inserts."""
-    rows = follower_rows(staged, users)
+    rows = kept(follower_rows(staged, users), stored)
     keys = ["follower_id", "user_id"]
-    inserted = insert_missing(table, rows.drop("dated"), keys, ["created_at"])
-    return upsert(inserted, rows.filter("dated").drop("dated"), keys, ["created_at"])
+    inserted = insert_missing(table, rows.drop("dated"), keys, ["created_at"], stored)
+    return upsert(inserted, rows.filter("dated").drop("dated"), keys, ["created_at"], stored=stored)
 
 
 def watcher_rows(staged: DataFrame, projects: DataFrame, users: DataFrame) -> DataFrame:
@@ -63,8 +63,8 @@ def watcher_rows(staged: DataFrame, projects: DataFrame, users: DataFrame) -> Da
     )
 
 
-def next_watchers(table: DataFrame, staged: DataFrame, projects: DataFrame, users: DataFrame) -> DataFrame:
-    return update_later(table, watcher_rows(staged, projects, users), ["repo_id", "user_id"], "created_at")
+def next_watchers(table: DataFrame, staged: DataFrame, projects: DataFrame, users: DataFrame, stored: bool = False) -> DataFrame:
+    return update_later(table, watcher_rows(staged, projects, users), ["repo_id", "user_id"], "created_at", stored)
 
 
 def project_member_rows(staged: DataFrame, projects: DataFrame, users: DataFrame) -> DataFrame:
@@ -77,8 +77,10 @@ def project_member_rows(staged: DataFrame, projects: DataFrame, users: DataFrame
     )
 
 
-def next_project_members(table: DataFrame, staged: DataFrame, projects: DataFrame, users: DataFrame) -> DataFrame:
-    return insert_missing(table, project_member_rows(staged, projects, users), ["repo_id", "user_id"], ["created_at"])
+def next_project_members(
+    table: DataFrame, staged: DataFrame, projects: DataFrame, users: DataFrame, stored: bool = False
+) -> DataFrame:
+    return insert_missing(table, project_member_rows(staged, projects, users), ["repo_id", "user_id"], ["created_at"], stored)
 
 
 def organization_member_rows(staged: DataFrame, users: DataFrame) -> DataFrame:

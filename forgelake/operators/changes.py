@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from forgelake import schemas
+from forgelake.session import cut_lineage
 
 SENTINEL_ID = -1
 
@@ -39,34 +40,43 @@ def missing(staged: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
     return staged.join(known_keys(table, staged, keys), keys, "left_anti")
 
 
-def insert_missing(table: DataFrame, rows: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
-    """Insert if absent; of several new rows with one key the first by `order` is taken."""
+def kept(rows: DataFrame, stored: bool) -> DataFrame:
+    """The rows, written when they are to be: a table that takes several change sets names itself and the set more
+    than once in each, so its plan would double with every one."""
+    return cut_lineage(rows, "new_rows") if stored else rows
+
+
+def insert_missing(
+    table: DataFrame, rows: DataFrame, keys: list[str], order: list[str] | None = None, stored: bool = False
+) -> DataFrame:
+    """Insert if absent; of several new rows with one key the first by `order` is taken. `stored` writes the new rows."""
     fresh = one_per_key(rows, keys, tiebreak(rows, order or keys))
-    return table.unionByName(missing(fresh, table, keys), allowMissingColumns=True)
+    return table.unionByName(kept(missing(fresh, table, keys), stored), allowMissingColumns=True)
 
 
 def upsert(
-    table: DataFrame, rows: DataFrame, keys: list[str], order: list[str], present: str | None = None
+    table: DataFrame, rows: DataFrame, keys: list[str], order: list[str], present: str | None = None, stored: bool = False
 ) -> DataFrame:
     """Set the given fields, keep the others, insert when absent.
 
     `present` names an array column that lists the fields a row sets; a listed
     field is set even when its value is null. Without it every column of the
-    change set is set. Several rows of one key apply in the given order.
+    change set is set. Several rows of one key apply in the given order. `stored` writes the
+    changes and the new rows.
     """
     fields = [c for c in rows.columns if c not in keys and c != present and c in table.columns]
     ordering = F.struct(*[F.col(o) for o in order])
     sets = {c: F.array_contains(F.col(present), c) if present else F.lit(True) for c in fields}
     # The value sits in a struct: max_by would skip nothing, yet a null value must survive.
-    changes = rows.groupBy(*keys).agg(
+    changes = kept(rows.groupBy(*keys).agg(
         *[F.max_by(F.struct(F.col(c).alias("v")), F.when(sets[c], ordering)).alias(f"set_{c}") for c in fields]
-    )
+    ), stored)
     flagged = changes.withColumn("is_change", F.lit(True))
     updated = table.join(flagged, keys, "left").select(*[
         F.when(F.col(f"set_{c}").isNotNull(), F.col(f"set_{c}.v")).otherwise(F.col(c)).alias(c) if c in fields else F.col(c)
         for c in table.columns
     ])
-    fresh = missing(changes, table, keys).select(*keys, *[F.col(f"set_{c}.v").alias(c) for c in fields])
+    fresh = kept(missing(changes, table, keys).select(*keys, *[F.col(f"set_{c}.v").alias(c) for c in fields]), stored)
     return updated.unionByName(fresh, allowMissingColumns=True)
 
 
@@ -106,13 +116,13 @@ def soft_delete(table: DataFrame, keys_df: DataFrame, keys: list[str]) -> DataFr
     return flagged.withColumn("deleted", F.col("is_hit") | F.coalesce("deleted", F.lit(False))).drop("is_hit")
 
 
-def update_later(table: DataFrame, rows: DataFrame, keys: list[str], ts: str) -> DataFrame:
-    """Insert new keys; for known ones move the timestamp forward, never back."""
-    latest = rows.groupBy(*keys).agg(F.max(ts).alias(f"new_{ts}"))
+def update_later(table: DataFrame, rows: DataFrame, keys: list[str], ts: str, stored: bool = False) -> DataFrame:
+    """Insert new keys; for known ones move the timestamp forward, never back. `stored` writes the dates and the new rows."""
+    latest = kept(rows.groupBy(*keys).agg(F.max(ts).alias(f"new_{ts}")), stored)
     moved = table.join(latest, keys, "left").select(*[
         F.greatest(ts, f"new_{ts}").alias(ts) if c == ts else F.col(c) for c in table.columns
     ])
-    fresh = missing(latest, table, keys).withColumnRenamed(f"new_{ts}", ts)
+    fresh = kept(missing(latest, table, keys).withColumnRenamed(f"new_{ts}", ts), stored)
     return moved.unionByName(fresh, allowMissingColumns=True)
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from forgelake.operators.changes import union_all
 from forgelake.operators.lookup import project_lookup
-from forgelake.session import cut_lineage
+from forgelake.session import cut_all, cut_lineage
 
 Tables = dict[str, DataFrame]
 
@@ -15,7 +15,7 @@ Tables = dict[str, DataFrame]
 def _labels(tables: Tables) -> dict[str, DataFrame]:
     """Per table with ids: id and the text that names the row."""
     users = tables["users"].select("id", F.col("login").alias("label"))
-    projects = project_lookup(tables["projects"], tables["users"]).select("id", F.concat_ws("/", "owner", "name").alias("label"))
+    projects = cut_lineage(project_lookup(tables["projects"], tables["users"]).select("id", F.concat_ws("/", "owner", "name").alias("label")), "labels")
     repo = projects.select(F.col("id").alias("repo_id"), F.col("label").alias("repo"))
 
     def inside(name: str, column: str, mark: str, text: str) -> DataFrame:
@@ -68,8 +68,9 @@ def natural_rows(tables: Tables, names: list[str] | None = None, without: dict[s
     """
     names = names or list(SAYS)
     pointed_to = {said[1] for name in names for said in SAYS[name] if not isinstance(said, str)}
-    plain = ("users", "commits")
-    labels = {n: rows if n in plain else cut_lineage(rows, "labels") for n, rows in _labels(tables).items() if n in pointed_to}
+    plain = ("users", "commits", "projects")  # the last is stored already
+    labels = {n: rows for n, rows in _labels(tables).items() if n in pointed_to}
+    labels |= cut_all({n: rows for n, rows in labels.items() if n not in plain})
     parts = []
     for name in names:
         dropped = (without or {}).get(name, [])

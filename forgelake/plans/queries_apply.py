@@ -15,7 +15,7 @@ from forgelake.plans.refresh import apply_events, refresh_repos, reported_refres
 from forgelake.plans.replay import EventWindow, next_marks, pending, replay_events
 from forgelake.plans.sync_job import sync_repos, sync_users
 from forgelake.plans.views import Lake
-from forgelake.session import cut_lineage, new_path
+from forgelake.session import cut_lineage, new_path, together
 from forgelake.sources.entities import json_reader
 from forgelake.sources.tables import TableSet, empty_tables
 from forgelake.streaming import jobs
@@ -68,7 +68,8 @@ def feed_raw(lake: Lake) -> dict[str, DataFrame]:
         "watchers": "select distinct owner, name as repo, 'u' || cast(k + 7 as string) as login, '2020-01-01 00:00:00' as created_at from w_feed",
         "forks": "select distinct owner, name as repo, k as id, cast(null as string) as url, 'u' || cast(k + 3 as string) || '/g' || cast(k as string) as full_name from w_feed",
     }
-    return {name: lake.staged(name, text) for name, text in texts.items()}
+    lake.place("w_feed")  # what most of them are made of
+    return together(lake.spark, {name: lambda name=name, text=text: lake.staged(name, text) for name, text in texts.items()})
 
 
 # ---- the same in SQL -----------------------------------------------------

@@ -16,7 +16,7 @@ from forgelake.operators.changes import missing, touch, union_all
 from forgelake.operators.history import history_candidates
 from forgelake.operators.keys import append_with_ids
 from forgelake.operators.lookup import pr_lookup, project_keys
-from forgelake.session import cut_lineage
+from forgelake.session import cut_all, cut_lineage, together
 
 Tables = dict[str, DataFrame]
 
@@ -67,16 +67,17 @@ def store_commits(tables: Tables, raw_commits: DataFrame, raw_users: DataFrame,
     """Commits with their people, parents and project associations."""
     firsts = cut_lineage(code.first_commits(raw_commits), "commits")
     people_found = identity.resolve_identities(code.commit_identities(firsts), tables["users"], raw_users, now)
-    users = cut_lineage(people_found.users, "users")
-    resolution = cut_lineage(people_found.resolution, "resolution")
+    cut = cut_all({"users": people_found.users, "resolution": people_found.resolution})
+    users, resolution = cut["users"], cut["resolution"]
     commits = code.next_commits(tables["commits"], firsts, resolution, tables["projects"], users)
-    parents = code.commit_parent_rows(raw_commits, commits)
-    pairs = code.project_commit_rows(firsts, tables["projects"], users, commits)
-    return {
-        **tables, "users": users, "commits": commits,
-        "commit_parents": code.insert_missing(tables["commit_parents"], parents, ["commit_id", "parent_id"]),
-        "project_commits": code.next_project_commits(tables["project_commits"], pairs),
-    }
+    return {**tables, "users": users, "commits": commits} | together(commits.sparkSession, {
+        "commit_parents": lambda: code.insert_missing(
+            tables["commit_parents"], code.commit_parent_rows(raw_commits, commits), ["commit_id", "parent_id"], stored=True
+        ),
+        "project_commits": lambda: code.next_project_commits(
+            tables["project_commits"], code.project_commit_rows(firsts, tables["projects"], users, commits), stored=True
+        ),
+    })
 
 
 # Raw collections that a batch of events draws on, beside those of the refresh of created repositories.
@@ -159,7 +160,7 @@ def picked_records(raw: Tables, staged: handlers.Staged) -> Tables:
         found["issue_comments"] = single.unionByName(picked(raw, "issue_comments", of_issues))
     for name, rows in children.items():
         found[name] = rows if found.get(name) is None else found[name].unionByName(rows)
-    return {name: cut_lineage(rows, name) for name, rows in found.items() if rows is not None}
+    return cut_all({name: rows for name, rows in found.items() if rows is not None})
 
 
 def people_of_records(records: Tables) -> list[DataFrame]:
@@ -183,10 +184,13 @@ def apply_events(tables: Tables, events: DataFrame, raw: dict[str, DataFrame], n
     # Every handler and many lookups start from the events, so they are parsed once.
     events = cut_lineage(events.filter(F.col("type").isin(list(handlers.HANDLERS))), "events")
     staged = handlers.stage_events(events)
-    records = picked_records(raw, staged)
     next_tables = dict(tables)
     repos = code.repo_rows(raw["repos"])
-    wanted = cut_lineage(code.with_parents(mentioned_repos(staged), repos), "wanted_repos")
+    first = together(events.sparkSession, {
+        "records": lambda: picked_records(raw, staged),
+        "wanted": lambda: cut_lineage(code.with_parents(mentioned_repos(staged), repos), "wanted_repos"),
+    })
+    records, wanted = first["records"], first["wanted"]
     logins = union_all([mentioned_logins(staged), wanted.select(F.col("owner").alias("login")), *people_of_records(records)])
     users = cut_lineage(ensure_users(tables["users"], logins, raw["users"], now), "users")
     next_tables["users"] = users
@@ -206,12 +210,26 @@ def apply_events(tables: Tables, events: DataFrame, raw: dict[str, DataFrame], n
         next_tables = store_commits(next_tables, raw["commits"].join(shas.distinct(), "sha", "left_semi"), raw["users"], now)
     users, projects, commits = next_tables["users"], next_tables["projects"], next_tables["commits"]
 
-    next_tables["followers"] = people.next_followers(tables["followers"], staged["followers"], users)
-    next_tables["watchers"] = people.next_watchers(tables["watchers"], staged["watchers"], projects, users)
-    next_tables["project_members"] = people.next_project_members(tables["project_members"], staged["project_members"], projects, users)
+    steps = {
+        "tracker": lambda: store_tracker(next_tables, staged, records, staged_prs),
+        "followers": lambda: people.next_followers(tables["followers"], staged["followers"], users, stored=True),
+        "watchers": lambda: people.next_watchers(tables["watchers"], staged["watchers"], projects, users, stored=True),
+        "project_members": lambda: people.next_project_members(tables["project_members"], staged["project_members"], projects, users, stored=True),
+    }
     if "commit_comments" in records:
-        next_tables["commit_comments"] = tracker.next_commit_comments(tables["commit_comments"], records["commit_comments"], commits, users)
+        steps["commit_comments"] = lambda: tracker.next_commit_comments(tables["commit_comments"], records["commit_comments"], commits, users)
+    done = together(events.sparkSession, steps)
+    next_tables |= done.pop("tracker")
+    next_tables |= done
+    next_tables = expand_organizations(next_tables, tables["users"], raw, now)
+    created = cut_lineage(staged["repos"].select("owner", "repo").distinct(), "created_repos")
+    return next_tables if created.isEmpty() else refresh_repos(next_tables, raw, created, now, skip=skip)
+
 
+def store_tracker(tables: Tables, staged: handlers.Staged, records: Tables, staged_prs: DataFrame) -> Tables:
+    """Pull requests and issues of a batch of events, with their histories and children."""
+    projects, users, commits = tables["projects"], tables["users"], tables["commits"]
+    next_tables = dict(tables)
     prs = cut_lineage(tracker.next_pull_requests(tables["pull_requests"], staged_prs, projects, users, commits), "next_pull_requests")
     numbers = pr_lookup(prs, projects, users)
     named = cut_lineage(staged_prs.join(numbers, ["owner", "repo", "number"]), "named_pull_requests")
@@ -228,31 +246,40 @@ def apply_events(tables: Tables, events: DataFrame, raw: dict[str, DataFrame], n
         "pull_request_id", F.col("event_action").alias("action"), F.col("event_actor").alias("actor"),
         F.col("event_ts").alias("created_at"), F.col("event_id").alias("id"),
     )
-    next_tables["pull_request_history"] = tracker.next_history(
-        tables["pull_request_history"], cut_lineage(history_candidates(named, reported), "candidates"), users
-    )
-    if "issues" in records:
-        next_tables |= store_issues(next_tables, {n: rows for n, rows in records.items() if n != "issue_comments"})
-    next_tables |= store_children(next_tables, records)
-    next_tables = expand_organizations(next_tables, tables["users"], raw, now)
-    created = cut_lineage(staged["repos"].select("owner", "repo").distinct(), "created_repos")
-    return next_tables if created.isEmpty() else refresh_repos(next_tables, raw, created, now, skip=skip)
+
+    def discussion() -> Tables:
+        issue_tables = {}
+        if "issues" in records:
+            issue_tables = store_issues(next_tables, {n: rows for n, rows in records.items() if n != "issue_comments"})
+        return issue_tables | store_children(next_tables | issue_tables, records)
+
+    done = together(projects.sparkSession, {
+        "discussion": discussion,
+        "pull_request_history": lambda: tracker.next_history(
+            tables["pull_request_history"], cut_lineage(history_candidates(named, reported), "candidates"), users
+        ),
+    })
+    return next_tables | done.pop("discussion") | done
 
 
 def store_children(tables: Tables, records: Tables) -> Tables:
     """Commits and review comments of pull requests, and comments of issues and pull requests, as far as staged."""
     projects, users, prs, commits = (tables[n] for n in ("projects", "users", "pull_requests", "commits"))
-    result = {}
+    steps = {}
     if "pull_commit_lists" in records:
-        rows = tracker.pull_request_commit_rows(records["pull_commit_lists"], prs, projects, users, commits)
-        result["pull_request_commits"] = tracker.next_pull_request_commits(tables["pull_request_commits"], rows)
+        steps["pull_request_commits"] = lambda: tracker.next_pull_request_commits(
+            tables["pull_request_commits"],
+            tracker.pull_request_commit_rows(records["pull_commit_lists"], prs, projects, users, commits), stored=True,
+        )
     if "pull_request_comments" in records:
-        result["pull_request_comments"] = tracker.next_pull_request_comments(
-            tables["pull_request_comments"], records["pull_request_comments"], prs, projects, users, commits
+        steps["pull_request_comments"] = lambda: tracker.next_pull_request_comments(
+            tables["pull_request_comments"], records["pull_request_comments"], prs, projects, users, commits, stored=True
         )
     if "issue_comments" in records:
-        result["issue_comments"] = tracker.next_issue_comments(tables["issue_comments"], records["issue_comments"], tables["issues"], projects, users)
-    return result
+        steps["issue_comments"] = lambda: tracker.next_issue_comments(
+            tables["issue_comments"], records["issue_comments"], tables["issues"], projects, users, stored=True
+        )
+    return together(projects.sparkSession, steps)
 
 
 def expand_organizations(tables: Tables, before: DataFrame, raw: Tables, now: Column) -> Tables:
@@ -279,16 +306,25 @@ def store_issues(tables: Tables, records: Tables) -> Tables:
     """Issues with their events, assignees, comments and labels, as far as their records are staged."""
     projects, users = tables["projects"], tables["users"]
     issues = cut_lineage(tracker.next_issues(tables["issues"], records["issues"], projects, users, tables["pull_requests"]), "issues")
-    result = {"issues": issues}
-    if "issue_events" in records:
-        result["issue_events"] = cut_lineage(tracker.next_issue_events(tables["issue_events"], records["issue_events"], issues, projects, users), "issue_events")
-        result["issues"] = tracker.with_assignees(issues, result["issue_events"])
-    if "issue_comments" in records:
-        result["issue_comments"] = tracker.next_issue_comments(tables["issue_comments"], records["issue_comments"], issues, projects, users)
-    if "repo_labels" in records:
-        labels = cut_lineage(tracker.next_repo_labels(tables["repo_labels"], records["repo_labels"], projects, users), "repo_labels")
+
+    def with_events() -> Tables:
+        events = tracker.next_issue_events(tables["issue_events"], records["issue_events"], issues, projects, users, stored=True)
+        return {"issue_events": events, "issues": cut_lineage(tracker.with_assignees(issues, events), "issues")}
+
+    def with_comments() -> Tables:
+        return {"issue_comments": tracker.next_issue_comments(
+            tables["issue_comments"], records["issue_comments"], issues, projects, users, stored=True
+        )}
+
+    def with_labels() -> Tables:
+        labels = tracker.next_repo_labels(tables["repo_labels"], records["repo_labels"], projects, users)
         links = tracker.issue_label_rows(tracker.labelled_issues(records["issues"]), labels, issues, projects, users)
-        result |= {"repo_labels": labels, "issue_labels": tracker.next_issue_labels(tables["issue_labels"], links)}
+        return {"repo_labels": labels, "issue_labels": tracker.next_issue_labels(tables["issue_labels"], links, stored=True)}
+
+    steps = {"issue_events": with_events, "issue_comments": with_comments, "repo_labels": with_labels}
+    result = {"issues": issues}
+    for found in together(issues.sparkSession, {n: step for n, step in steps.items() if n in records}).values():
+        result |= found
     return result
 
 
@@ -329,7 +365,7 @@ def pull_requests_stage(tables: Tables, raw: dict[str, DataFrame], repos: DataFr
     rows = staged_for(raw, "pull_requests", repos)
     if rows is None:
         return tables
-    children = {n: cut_lineage(found, n) for n, found in of_pull_requests(raw, rows).items()}
+    children = cut_all(of_pull_requests(raw, rows))
     if "commits" in raw:
         shas = shas_of_pull_requests(rows, children, tables["projects"], tables["users"])
         tables = store_commits(tables, raw["commits"].join(shas, "sha", "left_semi"), raw["users"], now)
@@ -339,10 +375,19 @@ def pull_requests_stage(tables: Tables, raw: dict[str, DataFrame], repos: DataFr
     dates = named.join(project_keys(projects, users).select("owner", "repo", F.col("project_id").alias("base_repo_id")), ["owner", "repo"]).select(
         F.col("number").alias("pullreq_id"), "base_repo_id", tracker.stamp("created_at").alias("created_at")
     ).groupBy("pullreq_id", "base_repo_id").agg(F.min("created_at").alias("created_at"))
-    history = tracker.next_history(tables["pull_request_history"], cut_lineage(history_candidates(named), "candidates"), users)
-    issues = cut_lineage(tracker.next_shadow_issues(tables["issues"], prs, dates), "issues")
-    tables = {**tables, "pull_requests": prs, "pull_request_history": history, "issues": issues}
-    return tables | store_children(tables, children)
+    before = tables
+
+    def shadows_and_children() -> Tables:
+        issues = cut_lineage(tracker.next_shadow_issues(before["issues"], prs, dates), "issues")
+        return {"issues": issues} | store_children({**before, "pull_requests": prs, "issues": issues}, children)
+
+    done = together(prs.sparkSession, {
+        "children": shadows_and_children,
+        "pull_request_history": lambda: tracker.next_history(
+            before["pull_request_history"], cut_lineage(history_candidates(named), "candidates"), users
+        ),
+    })
+    return before | {"pull_requests": prs} | done.pop("children") | done
 
 
 def issues_stage(tables: Tables, raw: dict[str, DataFrame], repos: DataFrame, now: Column) -> Tables:
@@ -361,7 +406,7 @@ def watchers_stage(tables: Tables, raw: dict[str, DataFrame], repos: DataFrame,
         "owner", "repo", "login", F.lit(None).cast("timestamp").alias("event_ts"),
         tracker.stamp("created_at").alias("record_ts"), F.lit(0).alias("id"),
     )
-    return {**tables, "watchers": people.next_watchers(tables["watchers"], staged, tables["projects"], tables["users"])}
+    return {**tables, "watchers": people.next_watchers(tables["watchers"], staged, tables["projects"], tables["users"], stored=True)}
 
 
 def labels_stage(tables: Tables, raw: dict[str, DataFrame], repos: DataFrame, now: Column) -> Tables:
@@ -373,7 +418,7 @@ def labels_stage(tables: Tables, raw: dict[str, DataFrame], repos: DataFrame, no
     issues = staged_for(raw, "issues", repos)
     if issues is not None:
         links = tracker.issue_label_rows(tracker.labelled_issues(issues), labels, tables["issues"], tables["projects"], tables["users"])
-        result["issue_labels"] = tracker.next_issue_labels(tables["issue_labels"], links)
+        result["issue_labels"] = tracker.next_issue_labels(tables["issue_labels"], links, stored=True)
     return result
 
 

@@ -4,8 +4,13 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+from collections.abc import Callable, Hashable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings every job relies on: UTC time zone, and adaptive execution
@@ -19,6 +24,13 @@ RUNTIME_CONF = {
 }
 
 _local_dirs: dict[str, str] = {}
+_local_lock = threading.Lock()
+
+# Steps of one `together` that run at the same time: enough to hide planning, few enough for the driver's memory.
+AT_ONCE = 4
+
+K = TypeVar("K", bound=Hashable)
+V = TypeVar("V")
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -41,8 +53,9 @@ def shared_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
     app = spark.sparkContext.applicationId
-    if app not in _local_dirs:
-        _local_dirs[app] = tempfile.mkdtemp(prefix="forgelake-")
+    with _local_lock:
+        if app not in _local_dirs:
+            _local_dirs[app] = tempfile.mkdtemp(prefix="forgelake-")
     return _local_dirs[app]
 
 
@@ -60,3 +73,28 @@ def cut_lineage(df: DataFrame, label: str = "stage") -> DataFrame:
     path = new_path(df.sparkSession, label)
     df.write.parquet(path, compression="zstd")
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def together(spark: SparkSession, steps: dict[K, Callable[[], V]]) -> dict[K, V]:
+    """Run steps that do not depend on each other at the same time; the result of each under its name.
+
+    A batch is hundreds of small jobs, most of whose time is planning and waiting. When a step
+    fails its error is raised, after the steps that had started are through.
+    """
+    if len(steps) < 2:
+        return {name: step() for name, step in steps.items()}
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        running = {name: pool.submit(inheritable_thread_target(spark)(step)) for name, step in steps.items()}
+        try:
+            return {name: found.result() for name, found in running.items()}
+        except BaseException:
+            pool.shutdown(wait=False, cancel_futures=True)
+            raise
+
+
+def cut_all(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """`cut_lineage` of several frames that do not depend on each other."""
+    if not frames:
+        return {}
+    spark = next(iter(frames.values())).sparkSession
+    return together(spark, {name: lambda df=df, name=name: cut_lineage(df, name) for name, df in frames.items()})

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forgelake import schemas
+from forgelake.session import together
 
 COMMIT_SCHEMA = "version bigint, batch_id bigint, places map<string,string>"
 
@@ -100,15 +101,20 @@ class TableSet:
         previous, places = self.newest()
         version = previous + 1
         own = f"v{version:09d}-{uuid.uuid4().hex[:8]}"
-        for name in [*schemas.TABLE_ORDER, *schemas.JOB_TABLES]:
-            if name not in tables or (base is not None and tables[name] is base.get(name)):
-                continue
+
+        def write(name: str) -> None:
             df = tables[name]
             shaped = df.select(*[
                 (F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
                 for f in schemas.table_schema(name).fields
             ])
             shaped.write.parquet(self._path(name, own))
-            places[name] = own
+
+        changed = [
+            name for name in [*schemas.TABLE_ORDER, *schemas.JOB_TABLES]
+            if name in tables and not (base is not None and tables[name] is base.get(name))
+        ]
+        together(self.spark, {name: lambda name=name: write(name) for name in changed})
+        places |= dict.fromkeys(changed, own)
         self._claim(version, json.dumps({"version": version, "batch_id": batch_id, "places": places}) + "\n")
         return True
