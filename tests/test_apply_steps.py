@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from forgelake.operators import changes
 from forgelake.plans import refresh
-from forgelake.session import together
+from forgelake.plans.views import Lake
+from forgelake.session import cut_lineage, together
 from forgelake.sources.tables import empty_tables
 
 
@@ -50,3 +51,18 @@ def test_steps_run_together_and_the_first_error_is_raised(spark):
     with pytest.raises(ZeroDivisionError):
         together(spark, {"a": lambda: 1 / 0, "b": lambda: 1})
     assert together(spark, {}) == {}
+
+
+def test_packed_tables_are_not_broadcast_by_the_size_of_their_files(spark, tmp_path):
+    """200,000 keys in a file of far less than a byte-wise copy: rows of 16 bytes each would be broadcast."""
+    lake = Lake(spark, str(tmp_path))
+    keys = cut_lineage(lake.spark.range(0, 200_000, 1, 1), "keys")
+    facts = cut_lineage(lake.spark.range(0, 400_000, 1, 1), "facts")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1600000")
+    try:
+        joined = facts.join(keys, "id")
+        assert "BroadcastHashJoin" not in joined._jdf.queryExecution().executedPlan().toString()
+        few = cut_lineage(lake.spark.range(10), "few")
+        assert "BroadcastHashJoin" in facts.join(few, "id")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
