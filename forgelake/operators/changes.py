@@ -17,7 +17,17 @@ SENTINEL_ID = -1
 
 
 def one_per_key(df: DataFrame, keys: list[str], order: list[Column | str], last: bool = False) -> DataFrame:
-    """The first (or last) row of each key. Rows are combined before the shuffle."""
+    """The first (or last) row of each key. Rows are combined before the shuffle.
+
+    When the order names all other columns, the row is its own order and goes through the shuffle once.
+    """
+    others = [c for c in df.columns if c not in keys]
+    if set(keys) <= set(df.columns) and all(isinstance(o, str) and o in df.columns for o in order) and set(others) <= set(order):
+        if not others:
+            return df.distinct()
+        ordered = [o for o in dict.fromkeys(order) if o in others]
+        row = (F.max if last else F.min)(F.struct(*[F.col(f"`{o}`") for o in ordered])).alias("picked")
+        return df.groupBy(*keys).agg(row).select(*[F.col(f"`{c}`") if c in keys else F.col(f"picked.`{c}`") for c in df.columns])
     pick = F.max_by if last else F.min_by
     ordering = F.struct(*[F.col(o) if isinstance(o, str) else o for o in order])
     picked = df.groupBy(*keys).agg(pick(F.struct(*[F.col(c) for c in df.columns]), ordering).alias("picked"))

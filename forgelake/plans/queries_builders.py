@@ -286,11 +286,11 @@ left join w_projects p on p.name = f.project and p.owner_id in (select id from w
 def commits_table(lake: Lake) -> DataFrame:
     """First occurrence of each sha with author and committer resolved through their identities."""
     users = lake["w_users"].withColumn("company", F.lit(None).cast("string"))
-    commits = cut_lineage(code.first_commits(lake.sql(RAW_COMMITS)), "commits")
+    commits = cut_lineage(code.first_commits(lake.made(RAW_COMMITS)), "commits")
     accounts = lake.sql("select login, name, cast(null as string) as company, email, location, type, cast(created_at as string) as created_at from v_users").limit(0)
     found = identity.resolve_identities(code.commit_identities(commits), users, accounts, now())
     known = cut_lineage(found.resolution.filter("rule <> 'placeholder'"), "resolution")
-    table = lake["w_commits"].limit(0)
+    table = lake.made("select * from w_commits").limit(0)
     rows = code.next_commits(table, commits, known, lake["w_projects"], cut_lineage(found.users, "users"))
     return rows.select("id", "sha", "author_id", "committer_id", "project_id", secs("created_at").alias("created_at"))
 

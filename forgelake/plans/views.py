@@ -269,6 +269,10 @@ class Lake:
     def sql(self, text: str) -> DataFrame:
         return self.spark.sql(expand(text, self.folder, self.place).replace(":tasks", str(self.spark.sparkContext.defaultParallelism)))
 
+    def made(self, text: str) -> DataFrame:
+        """As `sql`, with stored views computed in place: for a view that is read once, in part or not at all."""
+        return self.spark.sql(expand(text, self.folder).replace(":tasks", str(self.spark.sparkContext.defaultParallelism)))
+
     def feed_files(self) -> str:
         """Folder with the event feed as packed JSON lines, one file per task, written once per session and table folder."""
         key = (self.spark.sparkContext.applicationId, self.folder, "feed")

@@ -1,12 +1,14 @@
 """Steps of a batch of events: plans grow with the change sets, and steps that don't depend on each other run together."""
 
 import threading
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
-from forgelake.operators import changes
-from forgelake.plans import refresh
+from forgelake.operators import changes, keys
+from forgelake.plans import refresh, views
+from forgelake.plans.queries import CATALOG
 from forgelake.plans.views import Lake
 from forgelake.session import cut_lineage, together
 from forgelake.sources.tables import empty_tables
@@ -66,3 +68,47 @@ def test_packed_tables_are_not_broadcast_by_the_size_of_their_files(spark, tmp_p
         assert "BroadcastHashJoin" in facts.join(few, "id")._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("last", [False, True])
+def test_the_first_row_of_a_key_is_shuffled_once(spark, last):
+    rows = spark.createDataFrame(
+        [("a", 1, None, 2.0), ("a", 1, "x", 1.0), ("a", None, "y", 5.0), (None, 3, "z", None), (None, 2, "z", 7.0), ("b", 1, "q", 1.0), ("b", 1, "q", 1.0)], "k string, o bigint, t string, f double"
+    )
+    pick = F.max_by if last else F.min_by
+    plain = rows.groupBy("k").agg(pick(F.struct(*rows.columns), F.struct("o", "k", "t", "f")).alias("p")).select("p.*")
+    found = changes.one_per_key(rows, ["k"], changes.tiebreak(rows, ["o"]), last)
+    assert found.columns == rows.columns
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+    text = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "_by(" not in text and text.count("struct(") == 1
+    keys_only = changes.one_per_key(rows.select("o", "k"), ["k", "o"], ["k", "o"])
+    assert sorted(map(tuple, keys_only.collect()), key=str) == sorted([(1, "a"), (None, "a"), (3, None), (2, None), (1, "b")], key=str)
+
+
+def test_rows_are_numbered_as_their_keys_are(spark):
+    table = spark.createDataFrame([(41, "u1", 1)], "id bigint, login string, n bigint")
+    rows = spark.range(300).select(F.when(F.col("id") % 50 > 0, F.concat(F.lit("u"), F.col("id") % 90)).alias("login"), (F.col("id") % 2).alias("n"), F.col("id").alias("v"))
+    ids = keys.assign_dense_ids(rows, table, ["login", "n"])
+    wanted = rows.join(ids, ["login", "n"]).select("login", "n", "v", "id")
+    found = keys.numbered_rows(changes.missing(rows, table, ["login", "n"]), table, ["login", "n"])
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, wanted.collect()))
+    # The rows with a null in their key: two numbers, which no row gets.
+    assert sorted(set(range(42, 42 + ids.count())) - {r["id"] for r in found.collect()}) == sorted(r["id"] for r in ids.filter("login is null").collect())
+
+
+def test_commits_are_made_without_storing_the_commits_table(spark, tmp_path):
+    day = datetime(2024, 1, 1)
+    tables = {
+        "lineitem": ("l_orderkey bigint, l_linenumber int, l_partkey bigint, l_suppkey bigint, l_shipdate timestamp", [(1, 1, 10, 5, day), (1, 1, 9, 5, day), (1, 2, 3, 4, None), (1, 2, 3, 4, None), (2, 3, None, 1, day)]),
+        "customer": ("c_custkey bigint, c_name string, c_nationkey bigint, c_mktsegment string", [(5, "n", 1, "BUILDING"), (10, "m", 1, None)]),
+        "nation": ("n_nationkey bigint, n_name string, n_regionkey bigint", [(1, "x", 1)]), "region": ("r_regionkey bigint, r_name string", [(1, "r")]),
+        "orders": ("o_orderkey bigint, o_custkey bigint, o_orderdate timestamp", [(1, 5, day)]),
+        "part": ("p_partkey bigint, p_name string, p_type string", [(9, "a", "b"), (10, "c", "d")]),
+    }
+    for name, (schema, rows) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    lake = Lake(spark, str(tmp_path))
+    found = sorted((r["author_id"], r["project_id"]) for r in CATALOG["commits_table"].build(lake).select("author_id", "project_id").na.fill(-1).collect())
+    assert found == [(-1, -1), (-1, -1), (5, 10)]
+    assert not {name for _, folder, name in views._written if folder == lake.folder} & {"w_commits", "v_commits"}
