@@ -182,12 +182,18 @@ def resolve_edges(edges: DataFrame, commits: DataFrame) -> DataFrame:
 
 
 def project_commit_rows(pairs: DataFrame, projects: DataFrame, users: DataFrame, commits: DataFrame) -> DataFrame:
-    """project_id, commit_id of (owner, repo, sha) sightings."""
-    return (
-        pairs.select("owner", "repo", "sha").distinct()
-        .join(project_keys(projects, users).select("owner", "repo", "project_id"), ["owner", "repo"])
-        .join(commits.select("sha", F.col("id").alias("commit_id")), "sha")
-        .select("project_id", "commit_id")
+    """project_id, commit_id of (owner, repo, sha) sightings, each once: of numbers, behind the joins, not of texts before them."""
+    places = project_keys(projects, users).select("owner", "repo", "project_id")
+    named = pairs.select("owner", "repo", packed_sha(F.col("sha")).alias("sha")).join(places, ["owner", "repo"])
+    known = commits.select(packed_sha(F.col("sha")).alias("sha"), F.col("id").alias("commit_id"))
+    return named.join(known, "sha").select("project_id", "commit_id").distinct()
+
+
+def packed_sha(sha: Column) -> Column:
+    """Bytes that stand for one text only, half as many for small hexadecimal digits: what a shuffle carries and a join compares."""
+    digits = F.unhex(sha)
+    return F.when(F.lower(F.hex(digits)) == sha, F.concat(F.lit(bytearray(b"\x01")), digits)).otherwise(
+        F.concat(F.lit(bytearray(b"\x00")), F.encode(sha, "UTF-8"))
     )
 
 

@@ -304,9 +304,10 @@ def commit_parents_table(lake: Lake) -> DataFrame:
 
 @query("E6 D1", "select project_id, commit_id from w_project_commits p join w_projects r on r.id = p.project_id union select pull_request_id, commit_id from w_pr_commits")
 def project_commits_table(lake: Lake) -> DataFrame:
-    pairs = lake.sql("select 'u' || cast(cast(substr(project, 2) as bigint) % 150 as string) as owner, project as repo, sha from v_commits")
+    pairs = lake.made("select 'u' || cast(cast(substr(project, 2) as bigint) % 150 as string) as owner, project as repo, sha from v_commits")
     table = lake.sql("select pull_request_id as project_id, commit_id from w_pr_commits")
-    rows = code.project_commit_rows(pairs, lake["w_projects"], lake["w_users"], lake["w_commits"])
+    commits = lake.made("select id, sha from w_commits")  # read once, two of its columns
+    rows = code.project_commit_rows(pairs, lake["w_projects"], lake["w_users"], commits)
     return code.next_project_commits(table, rows)
 
 

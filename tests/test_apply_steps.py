@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from forgelake.operators import changes, keys
+from forgelake.operators.builders import code
 from forgelake.plans import refresh, views
 from forgelake.plans.queries import CATALOG
 from forgelake.plans.views import Lake
@@ -112,3 +113,19 @@ def test_commits_are_made_without_storing_the_commits_table(spark, tmp_path):
     found = sorted((r["author_id"], r["project_id"]) for r in CATALOG["commits_table"].build(lake).select("author_id", "project_id").na.fill(-1).collect())
     assert found == [(-1, -1), (-1, -1), (5, 10)]
     assert not {name for _, folder, name in views._written if folder == lake.folder} & {"w_commits", "v_commits"}
+
+
+def test_project_commits_are_made_distinct_as_numbers(spark):
+    shas = ["ab" * 20, "AB" * 20, "abc", "", "x" * 40, None, "é"]
+    packed = spark.createDataFrame([(s,) for s in shas], "sha string").select("sha", code.packed_sha(F.col("sha")).alias("p")).collect()
+    assert len({r["p"] for r in packed}) == 7 and all((r["p"] is None) == (r["sha"] is None) for r in packed)
+    assert len(next(r["p"] for r in packed if r["sha"] == "ab" * 20)) == 21
+    pairs = spark.createDataFrame([(o, "r", s) for o in ("ann", "bob", None) for s in [*shas, *shas, "gone"]], "owner string, repo string, sha string")
+    commits = spark.createDataFrame(list(enumerate(shas)), "id bigint, sha string")
+    users = spark.createDataFrame([(1, "ann"), (2, None)], "id bigint, login string")
+    projects = spark.createDataFrame([(5, 1, "r"), (6, 2, "r")], "id bigint, owner_id bigint, name string").withColumn("created_at", F.lit(None).cast("timestamp"))
+    found = code.project_commit_rows(pairs, projects, users, commits)
+    assert sorted(map(tuple, found.collect())) == [(5, n) for n in range(7) if n != 5]
+    # One aggregate, of numbers: no text is shuffled to find repeated sightings.
+    aggregates = [line for line in found._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Aggregate [" in line]
+    assert len(aggregates) == 1 and "sha" not in aggregates[0]
