@@ -129,3 +129,21 @@ def test_project_commits_are_made_distinct_as_numbers(spark):
     # One aggregate, of numbers: no text is shuffled to find repeated sightings.
     aggregates = [line for line in found._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Aggregate [" in line]
     assert len(aggregates) == 1 and "sha" not in aggregates[0]
+
+
+def test_labels_of_issues_do_not_double_the_plan(spark):
+    now = F.timestamp_seconds(F.lit(0))
+    users = spark.createDataFrame([(1, "ann")], "id bigint, login string")
+    projects = spark.createDataFrame([(5, 1, "r")], "id bigint, owner_id bigint, name string").withColumn("created_at", F.lit(None).cast("timestamp"))
+    issues = spark.createDataFrame([(n, 5, n) for n in range(4)], "id bigint, repo_id bigint, issue_id bigint")
+    tables = empty_tables(spark) | {"users": users, "projects": projects, "issues": issues}
+    repos = spark.createDataFrame([("ann", "r")], "owner string, repo string")
+    for n in range(3):
+        raw = {
+            "repo_labels": spark.createDataFrame([("ann", "r", "bug"), ("ann", "r", f"l{n}"), ("ann", "r", None)], "owner string, repo string, name string"),
+            "issues": spark.createDataFrame([("ann", "r", n, [("bug",), (f"l{n}",)]), ("ann", "r", 3, [("bug",)]), ("ann", "r", None, [("bug",)])], "owner string, repo string, number bigint, labels array<struct<name:string>>"),
+        }
+        tables = refresh.labels_stage(tables, raw, repos, now)
+    named = tables["issue_labels"].join(tables["repo_labels"].select(F.col("id").alias("label_id"), "name"), "label_id")
+    assert sorted(map(tuple, named.select("issue_id", "name").collect())) == [(0, "bug"), (0, "l0"), (1, "bug"), (1, "l1"), (2, "bug"), (2, "l2"), (3, "bug")]
+    assert scans(tables["issue_labels"]) <= 4
